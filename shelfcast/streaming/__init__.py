@@ -1,0 +1 @@
+"""Nothing lives here: every table of the forecasting work is a batch table."""
