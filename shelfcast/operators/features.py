@@ -41,14 +41,34 @@ def lag_columns(lag_days: list[int], w: WindowSpec) -> dict[str, Column]:
     return {f"sales_lag_{n}": F.lag("sales", n).over(w) for n in lag_days}
 
 
-def rolling_columns(windows: list[int], lag: int, w: WindowSpec) -> dict[str, Column]:
-    """Mean and deviation over the ``k`` rows that end ``lag`` rows back."""
+def with_rolling(df: DataFrame, windows: list[int], lag: int, group_cols: list[str]) -> DataFrame:
+    """Mean and deviation over the ``k`` rows that end ``lag`` rows back.
+
+    Running counts, sums and squares are kept once per series and each window
+    is a difference of two of them, so the work does not grow with the window
+    lengths. Sales are first shifted by the series' mean, rounded to a whole
+    number: unit counts stay exact and squares stay small.
+    """
+    w = by_series(group_cols)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shift = F.coalesce(F.rint(F.avg("sales").over(Window.partitionBy(*group_cols))), F.lit(0.0))
+    moved = F.col("sales") - F.col("_shift")
+    df = df.withColumn("_shift", shift).withColumns(
+        {
+            "_n": F.count("sales").over(run),
+            "_s": F.coalesce(F.sum(moved).over(run), F.lit(0.0)),
+            "_q": F.coalesce(F.sum(moved * moved).over(run), F.lit(0.0)),
+        }
+    )
+    between = lambda c, k: F.lag(c, lag, 0).over(w) - F.lag(c, lag + k, 0).over(w)
+    sums = {f"_{c}{k}": between(f"_{c}", k) for k in windows for c in ("n", "s", "q")}
     out = {}
     for k in windows:
-        frame = w.rowsBetween(-(lag + k - 1), -lag)
-        out[f"rolling_mean_{k}"] = F.avg("sales").over(frame)
-        out[f"rolling_std_{k}"] = F.stddev_samp("sales").over(frame)
-    return out
+        n, s, q = F.col(f"_n{k}"), F.col(f"_s{k}"), F.col(f"_q{k}")
+        spread = F.greatest(q - s * s / n, F.lit(0.0))
+        out[f"rolling_mean_{k}"] = F.when(n > 0, F.col("_shift") + s / n)
+        out[f"rolling_std_{k}"] = F.when(n > 1, F.sqrt(spread / (n - 1)))
+    return df.withColumns(sums).withColumns(out).drop("_shift", "_n", "_s", "_q", *sums)
 
 
 def add_lag_features(df: DataFrame, lag_days: list[int] = LAGS, group_cols: list[str] = ["id"]) -> DataFrame:
@@ -62,7 +82,7 @@ def add_rolling_features(
     lag: int = ROLLING_LAG,
     group_cols: list[str] = ["id"],
 ) -> DataFrame:
-    return df.withColumns(rolling_columns(windows, lag, by_series(group_cols)))
+    return with_rolling(df, windows, lag, group_cols)
 
 
 def add_calendar_lags(df: DataFrame, lag_days: list[int] = LAGS, group_cols: list[str] = ["id"]) -> DataFrame:
@@ -167,9 +187,8 @@ def build_features(
     ``id`` stands for item and store in the price windows too, so that every
     window shares one partitioning.
     """
-    w = by_series(["id"])
     df = add_context_features(add_event_features(add_calendar_features(df)), context_lag)
-    df = df.withColumns(lag_columns(LAGS, w) | rolling_columns(WINDOWS, ROLLING_LAG, w))
+    df = add_rolling_features(add_lag_features(df))
     df = add_price_features(df, ["id"], as_of)
     return drop_missing_lags(df) if training else df
 

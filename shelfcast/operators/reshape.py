@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.fixed_values import ID_COLUMNS
+from shelfcast.session import cut_lineage
 
 
 def day_columns(df: DataFrame) -> list[str]:
@@ -20,29 +21,22 @@ def melt_sales(sales: DataFrame) -> DataFrame:
     """
     ids = [c for c in ID_COLUMNS if c in sales.columns]
     days = day_columns(sales)
-    labels = F.array(*[F.lit(d) for d in days])
-    packed = sales.select(*ids, F.array(*[F.col(d).cast("double") for d in days]).alias("_days"))
+    labels = F.split(F.lit(",".join(days)), ",")
+    packed = sales.select(*ids, F.array(*days).cast("array<double>").alias("_days"))
     exploded = packed.select(*ids, F.posexplode("_days").alias("_at", "sales"))
     return exploded.select(*ids, F.get(labels, F.col("_at")).alias("d"), "sales")
 
 
-def widen_sales(long: DataFrame, first, last) -> DataFrame:
-    """Long sales to one row per series with a column ``d_i`` per day.
+def widen_sales(panel: DataFrame, n_days: int) -> DataFrame:
+    """Dense panel to one row per series with a column ``d_i`` per day.
 
-    ``first`` and ``last`` are dates; a series holds one value per day, so the
-    collected group is as long as the calendar. Days without a row are 0.
+    A series' days are packed into one array, as long as the calendar, and
+    written once; thousands of pivot columns would each scan the group.
     """
-    ids = [c for c in ID_COLUMNS if c in long.columns]
-    n_days = (last - first).days + 1
-    by_day = F.map_from_entries(
-        F.collect_list(F.struct(F.datediff("date", F.lit(first)).alias("day"), F.col("sales").alias("sales")))
-    )
-    days = F.transform(
-        F.sequence(F.lit(0), F.lit(n_days - 1)),
-        lambda i: F.coalesce(F.try_element_at("_map", i), F.lit(0.0)),
-    )
-    packed = long.groupBy(*ids).agg(by_day.alias("_map")).select(*ids, days.alias("_days"))
-    return packed.select(*ids, *[F.col("_days")[i].alias(f"d_{i + 1}") for i in range(n_days)])
+    ids = [c for c in ID_COLUMNS if c in panel.columns]
+    days = F.array_sort(F.collect_list(F.struct("date", "sales")))
+    packed = cut_lineage(panel.groupBy(*ids).agg(days.alias("_days")).select(*ids, F.col("_days.sales").alias("_days")))
+    return packed.selectExpr(*ids, *[f"_days[{i}] AS d_{i + 1}" for i in range(n_days)])
 
 
 def metric_matrix(df: DataFrame, entity: str, metrics: list[str], values: list[str]) -> DataFrame:

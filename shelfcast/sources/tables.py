@@ -36,39 +36,26 @@ PRICES_SCHEMA = T.StructType(
 )
 
 
-def sales_schema(columns: list[str]) -> T.StructType:
-    """Keys are text, every other column is a day of unit sales."""
-    return T.StructType(
-        [
-            T.StructField(c, T.StringType() if c in ID_COLUMNS else T.IntegerType())
-            for c in columns
-        ]
-    )
+def read_csv(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
+    """CSV by declared types in the order of the header line.
 
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, read by declared types."""
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
+    Key columns are text and day columns whole numbers; no values are scanned
+    to guess types.
+    """
+    types = {f.name: f.dataType for f in declared} | {c: T.StringType() for c in ID_COLUMNS}
+    header = spark.read.csv(path, header=True).columns
+    fields = [T.StructField(c, types.get(c, T.IntegerType())) for c in header]
+    return spark.read.csv(path, header=True, schema=T.StructType(fields))
 
 
 def read_dataset(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """The sales, calendar and prices tables of one folder.
-
-    CSV day columns are taken from the header line; no values are scanned to
-    guess types.
-    """
+    """The sales, calendar and prices tables of one folder."""
+    names = {"sales": T.StructType([]), "calendar": CALENDAR_SCHEMA, "prices": PRICES_SCHEMA}
     if fmt == "parquet":
-        names = ("sales", "calendar", "prices")
         return {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in names}
     if fmt != "csv":
         raise ValueError(f"unknown format {fmt!r}; use csv or parquet")
-    sales_path = f"{folder}/sales.csv"
-    header = spark.read.csv(sales_path, header=True).columns
-    return {
-        "sales": read_csv(spark, sales_path, sales_schema(header)),
-        "calendar": read_csv(spark, f"{folder}/calendar.csv", CALENDAR_SCHEMA),
-        "prices": read_csv(spark, f"{folder}/prices.csv", PRICES_SCHEMA),
-    }
+    return {n: read_csv(spark, f"{folder}/{n}.csv", declared) for n, declared in names.items()}
 
 
 def write_dataset(tables: dict[str, DataFrame], folder: str, fmt: str = "csv") -> None:
