@@ -69,17 +69,20 @@ def bottom_up(forecasts: DataFrame, hierarchy: DataFrame | None = None) -> DataF
     return roll_up(with_hierarchy(forecasts, hierarchy) if missing else forecasts)
 
 
-def compute_proportions(history: DataFrame, recent_days: int = 365) -> DataFrame:
-    """Mean daily share of each series in the total, scaled to sum to 1.
+def daily_shares(df: DataFrame, keys: list[str] = ["id"]) -> DataFrame:
+    """Share of each key in the total of its day.
 
-    Daily totals are one row per day of the window and are broadcast.
+    Daily totals are one row per day and are broadcast.
     """
-    recent = trailing_days(history, recent_days)
-    daily = recent.groupBy("id", "date").agg(F.sum("sales").alias("sales"))
-    totals = recent.groupBy("date").agg(F.sum("sales").alias("total"))
-    shares = daily.join(F.broadcast(totals), "date").withColumn(
-        "share", F.col("sales") / F.greatest("total", F.lit(1e-6))
-    )
+    daily = df.groupBy(*keys, "date").agg(F.sum("sales").alias("sales"))
+    totals = df.groupBy("date").agg(F.sum("sales").alias("total"))
+    share = F.col("sales") / F.greatest("total", F.lit(1e-6))
+    return daily.join(F.broadcast(totals), "date").withColumn("share", share)
+
+
+def compute_proportions(history: DataFrame, recent_days: int = 365) -> DataFrame:
+    """Mean daily share of each series in the total, scaled to sum to 1."""
+    shares = daily_shares(trailing_days(history, recent_days))
     means = shares.groupBy("id").agg(F.avg("share").alias("proportion"))
     whole = means.agg(F.nullif(F.sum("proportion"), F.lit(0.0))).scalar()
     return means.withColumn("proportion", F.col("proportion") / whole)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.fixed_values import HORIZON, LEVELS, SCORED_LEVELS
+from shelfcast.fixed_values import HORIZON, ID_COLUMNS, SCORED_LEVELS
 from shelfcast.functions.errors import report_columns
 from shelfcast.functions.scalars import percent_change
+from shelfcast.operators.hierarchy import roll_up, with_hierarchy
 
 SCALE_FLOOR = 1e-10
 METRICS = ["MAE", "RMSE", "MAPE", "SMAPE"]
@@ -106,15 +105,20 @@ def revenue_weights(train: DataFrame, prices: DataFrame, days: int = HORIZON) ->
     return revenue.select("id", (F.col("revenue") / overall).alias("weight"))
 
 
-def wrmsse(
-    actuals: DataFrame, forecasts: DataFrame, train: DataFrame, weights: DataFrame, h: int = HORIZON
-) -> DataFrame:
-    """One row: weighted mean of the series' scaled errors, 0 without weight."""
-    scores = rmsse(actuals, forecasts, train, h).join(weights, "id", "left")
+def weighted_score(scores: DataFrame, weights: DataFrame, keys: list[str], by: list[str] = []) -> DataFrame:
+    """Weighted mean of the scaled errors; a missing weight counts 0, no weight at all scores 0."""
     w = F.coalesce("weight", F.lit(0.0))
     total = F.sum(w)
     score = F.when(total > 0, F.sum(w * F.col("rmsse")) / F.nullif(total, F.lit(0.0)))
-    return scores.agg(F.coalesce(score, F.lit(0.0)).alias("wrmsse"))
+    joined = scores.join(weights, keys, "left")
+    return joined.groupBy(*by).agg(F.coalesce(score, F.lit(0.0)).alias("wrmsse"))
+
+
+def wrmsse(
+    actuals: DataFrame, forecasts: DataFrame, train: DataFrame, weights: DataFrame, h: int = HORIZON
+) -> DataFrame:
+    """One row: the weighted scaled error over all series."""
+    return weighted_score(rmsse(actuals, forecasts, train, h), weights, ["id"])
 
 
 def wrmsse_levels(
@@ -126,29 +130,21 @@ def wrmsse_levels(
     levels: list[str] = SCORED_LEVELS,
     h: int = HORIZON,
 ) -> DataFrame:
-    """Weighted scaled error of each level: sums of sales, forecasts and weights."""
-    keys = [c for c in hierarchy.columns if c != "id"]
-    joined = lambda df: df.select("id", *[c for c in df.columns if c not in keys and c != "id"]).join(
-        hierarchy, "id"
-    )
+    """Weighted scaled error of each level: sums of sales, forecasts and weights.
 
-    def rolled(df: DataFrame, level: str, value: str, dated: bool) -> DataFrame:
-        cols = LEVELS[level]
-        node = F.concat_ws("|", F.lit(level), *[F.col(c) for c in cols]).alias("id")
-        return df.groupBy(node, *(["date"] if dated else [])).agg(F.sum(value).alias(value))
-
-    parts = []
-    for level in levels:
-        parts.append(
-            wrmsse(
-                rolled(joined(actuals), level, "sales", True),
-                rolled(joined(forecasts), level, "forecast", True),
-                rolled(joined(train), level, "sales", True),
-                rolled(joined(weights), level, "weight", False),
-                h,
-            ).select(F.lit(level).alias("level"), "wrmsse")
-        )
-    return reduce(DataFrame.unionByName, parts)
+    All levels go through one roll-up and one scoring pass.
+    """
+    node = F.concat_ws("|", *ID_COLUMNS).alias("node")
+
+    def rolled(df: DataFrame, value: str) -> DataFrame:
+        keyed = with_hierarchy(df, hierarchy)
+        if "date" not in keyed.columns:
+            keyed = keyed.withColumn("date", F.lit(None).cast("date"))
+        return roll_up(keyed, value, levels).select("level", node, "date", value)
+
+    keys = ["level", "node"]
+    scores = rmsse(rolled(actuals, "sales"), rolled(forecasts, "forecast"), rolled(train, "sales"), h, keys)
+    return weighted_score(scores, rolled(weights, "weight").drop("date"), keys, ["level"])
 
 
 def naive_baseline(val: DataFrame, train: DataFrame, h: int = HORIZON) -> DataFrame:

@@ -27,13 +27,18 @@ def one_event_per_day(events: DataFrame, place: str) -> DataFrame:
 
 def holiday_table(spark: SparkSession, events: list[tuple[str, str, str]] = EVENTS) -> DataFrame:
     """Dated holidays with the days around them that count as holiday."""
-    rows = [
-        (name, day, *HOLIDAY_WINDOWS[name]) for name, _, day in events if name in HOLIDAY_WINDOWS
-    ]
-    schema = "holiday string, day string, lower_window int, upper_window int"
-    return spark.createDataFrame(rows, schema).select(
-        "holiday", F.to_date("day").alias("ds"), "lower_window", "upper_window"
-    )
+    return holidays_of(event_table(spark, events))
+
+
+def holidays_of(events: DataFrame) -> DataFrame:
+    """Holiday table of the calendar's event days, with the fixed windows."""
+    name = F.col("event_name_1")
+    window = F.lit(None)
+    for holiday, (lower, upper) in HOLIDAY_WINDOWS.items():
+        span = F.struct(F.lit(lower).alias("lower_window"), F.lit(upper).alias("upper_window"))
+        window = F.when(name == holiday, span).otherwise(window)
+    found = events.withColumn("w", window).filter(F.col("w").isNotNull())
+    return found.select(name.alias("holiday"), F.col("date").alias("ds"), "w.lower_window", "w.upper_window")
 
 
 def days_between(bounds: DataFrame) -> DataFrame:
