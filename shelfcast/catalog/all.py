@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from shelfcast.catalog import data, joins  # noqa: F401
+from shelfcast.catalog import aggregates, data, joins, windows  # noqa: F401

@@ -192,7 +192,7 @@ def j10_calendar_rolling(spark, sf_dir):
 _NEAR_SQL = """
 near AS (
   SELECT event_name_1, date AS event_date, date + o AS near_day, o AS event_offset,
-         1 - 0.2 * abs(o) AS event_weight
+         CAST(1 - 0.2 * abs(o) AS DOUBLE) AS event_weight
   FROM events_found CROSS JOIN (SELECT CAST(unnest(generate_series(-2, 2)) AS INTEGER) AS o)
 )"""
 
@@ -362,7 +362,7 @@ def x2_rolling_origin(spark, sf_dir):
     return R.rounded(B.rolling_origin_report(R.panel(spark, sf_dir), folds=5))
 
 
-_WEIGHT_SQL = """
+WEIGHT_SQL = """
 mean_prices AS (SELECT item_id, store_id, avg(sell_price) AS avg_price FROM prices GROUP BY ALL),
 revenue AS (
   SELECT t.id, t.item_id, t.store_id, t.dept_id, t.cat_id,
@@ -393,7 +393,7 @@ _LEVEL_KEYS = {"item_store": "id", "item": "item_id", "dept": "dept_id", "cat":
         " UNION ALL ".join(_level_sql(n, _LEVEL_KEYS[n]) for n in SCORED_LEVELS),
         NAIVE_SQL,
         R.PRICES_SQL,
-        _WEIGHT_SQL,
+        WEIGHT_SQL,
     ),
 )
 def x3_multi_level_wrmsse(spark, sf_dir):
