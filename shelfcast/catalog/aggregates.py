@@ -65,7 +65,7 @@ def a1_bottom_up(spark, sf_dir):
     ),
 )
 def a2_group_daily_totals(spark, sf_dir):
-    sums = H.roll_up(R.panel(spark, sf_dir), "sales", ["store", "dept", "total"])
+    sums = H.roll_up(R.stored_panel(spark, sf_dir), "sales", ["store", "dept", "total"])
     grain = F.when(F.col("level") == "total", "all").otherwise(F.col("level"))
     return sums.select(
         grain.alias("grain"), F.coalesce("store_id", "dept_id", F.lit("all")).alias("key"), "date", "sales"
@@ -77,7 +77,7 @@ def a2_group_daily_totals(spark, sf_dir):
     R.with_panel("SELECT id, round(proportion, 9) + 0.0 AS proportion FROM props", PROPORTIONS_SQL),
 )
 def a3_proportions(spark, sf_dir):
-    props = H.compute_proportions(R.panel(spark, sf_dir))
+    props = H.compute_proportions(R.stored_panel(spark, sf_dir))
     return props.select("id", (F.round("proportion", 9) + 0.0).alias("proportion"))
 
 
@@ -92,9 +92,9 @@ def a3_proportions(spark, sf_dir):
     ),
 )
 def a4_top_down_by_store(spark, sf_dir):
-    _, _, naive = split_and_naive(spark, sf_dir)
+    train, val, naive = split_and_naive(spark, sf_dir)
     top = naive.groupBy("date").agg(F.sum("forecast").alias("forecast"))
-    down = H.top_down(top, H.compute_proportions(R.panel(spark, sf_dir)))
+    down = H.top_down(top, H.compute_proportions(train.unionByName(val)))
     keyed = H.with_hierarchy(down, P.build_hierarchy_map(R.daily_sales(spark, sf_dir)))
     return R.rounded(Q.total_by(keyed, ["store_id", "date"], "forecast"))
 
@@ -111,7 +111,7 @@ def a4_top_down_by_store(spark, sf_dir):
     ),
 )
 def a5_coherence(spark, sf_dir):
-    return R.rounded(H.coherence(H.roll_up(R.panel(spark, sf_dir), "sales"), "sales", 1e-6))
+    return R.rounded(H.coherence(H.roll_up(R.stored_panel(spark, sf_dir), "sales"), "sales", 1e-6))
 
 
 @query("a6_error_metrics", R.with_panel(f"SELECT {ERRORS_SQL} FROM pairs", NAIVE_SQL))
@@ -172,7 +172,7 @@ def a8_rmsse(spark, sf_dir):
     ),
 )
 def a9_revenue_weights(spark, sf_dir):
-    train, _ = P.train_val_split(R.panel(spark, sf_dir))
+    train, _ = P.train_val_split(R.stored_panel(spark, sf_dir))
     weights = M.revenue_weights(train, R.prices(spark, sf_dir))
     return weights.select("id", (F.round("weight", 9) + 0.0).alias("weight"))
 
@@ -256,7 +256,7 @@ def a13_store_performance(spark, sf_dir):
     ),
 )
 def a14_context_means(spark, sf_dir):
-    return add_context_features(R.panel(spark, sf_dir)).groupBy("id").agg(
+    return add_context_features(R.stored_panel(spark, sf_dir)).groupBy("id").agg(
         F.count("*").alias("n_rows"),
         R.r6(F.sum("store_daily_mean")).alias("store_mean"),
         R.r6(F.sum("dept_daily_mean")).alias("dept_mean"),
@@ -273,7 +273,7 @@ def a14_context_means(spark, sf_dir):
     ),
 )
 def a15_recent_means(spark, sf_dir):
-    df = R.panel(spark, sf_dir)
+    df = R.stored_panel(spark, sf_dir)
     parts = [
         recent_mean(df, k, "recent_mean").select(F.lit(k).alias("grain"), F.col(k).alias("key"), "recent_mean")
         for k in ("store_id", "dept_id")
@@ -294,7 +294,7 @@ def a16_hierarchy_map(spark, sf_dir):
     ),
 )
 def a17_dataset_summary(spark, sf_dir):
-    return Q.dataset_summary(R.panel(spark, sf_dir))
+    return Q.dataset_summary(R.stored_panel(spark, sf_dir))
 
 
 @query(
@@ -321,7 +321,7 @@ def a18_value_counts(spark, sf_dir):
     ),
 )
 def a19_zero_rate(spark, sf_dir):
-    df = R.panel(spark, sf_dir)
+    df = R.stored_panel(spark, sf_dir)
     overall = Q.zero_rate(df).select(F.lit("all").alias("id"), "zero_rate")
     return R.rounded(Q.zero_rate(df, ["id"]).unionByName(overall))
 
@@ -405,7 +405,7 @@ def a24_residual_histogram(spark, sf_dir):
     ),
 )
 def a24_sales_histogram(spark, sf_dir):
-    return R.rounded(M.histogram(R.panel(spark, sf_dir).filter(F.col("sales") > 0), "sales", 80))
+    return R.rounded(M.histogram(R.stored_panel(spark, sf_dir).filter(F.col("sales") > 0), "sales", 80))
 
 
 @query(
@@ -416,7 +416,7 @@ def a24_sales_histogram(spark, sf_dir):
     ),
 )
 def a24_zero_rate_histogram(spark, sf_dir):
-    rates = Q.zero_rate(R.panel(spark, sf_dir), ["id"])
+    rates = Q.zero_rate(R.stored_panel(spark, sf_dir), ["id"])
     return R.rounded(M.histogram(rates, "zero_rate", 40))
 
 

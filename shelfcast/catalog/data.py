@@ -79,7 +79,7 @@ def s3_event_lookup(spark, sf_dir):
 def s5_forecast_sink(spark, sf_dir):
     """Forecasts written by store and read back."""
     path = _scratch(spark, "forecasts")
-    train, val = P.train_val_split(R.panel(spark, sf_dir))
+    train, val = P.train_val_split(R.stored_panel(spark, sf_dir))
     T.write_by_store(M.pair_forecasts(val, M.naive_baseline(val, train)), path)
     return (
         T.read_by_store(spark, path)
@@ -116,7 +116,7 @@ def r1_melt_sales(spark, sf_dir):
     ),
 )
 def r2_last_28_days(spark, sf_dir):
-    train, _ = P.train_val_split(R.panel(spark, sf_dir))
+    train, _ = P.train_val_split(R.stored_panel(spark, sf_dir))
     return P.trailing_days(train, 28).groupBy("id").agg(F.sum("sales").alias("sales"))
 
 
@@ -265,7 +265,7 @@ def _part(df: DataFrame, name: str) -> DataFrame:
     ),
 )
 def p6_train_val_split(spark, sf_dir):
-    train, val = P.train_val_split(R.panel(spark, sf_dir))
+    train, val = P.train_val_split(R.stored_panel(spark, sf_dir))
     return _part(train, "train").unionByName(_part(val, "val"))
 
 
@@ -288,7 +288,7 @@ _ROLLING_NAMES = [f"rolling_{s}_{k}" for k in WINDOWS for s in ("mean", "std")]
 )
 def p7_validation_features(spark, sf_dir):
     """Lags of the validation days reach back into the training days."""
-    full = R.panel(spark, sf_dir)
+    full = R.stored_panel(spark, sf_dir)
     features = X.add_rolling_features(X.add_lag_features(full))
     val = features.filter(F.col("date") >= P.validation_start(full))
     return profile(val, _LAG_NAMES + _ROLLING_NAMES, ["id"])
@@ -319,7 +319,7 @@ def p8_drop_missing_lags(spark, sf_dir):
     ),
 )
 def p9_trailing_windows(spark, sf_dir):
-    df = R.panel(spark, sf_dir)
+    df = R.stored_panel(spark, sf_dir)
     last = P.last_day(df)
     parts = [
         _part(P.trailing_days(df, 365), "year"),

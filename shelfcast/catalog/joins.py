@@ -21,7 +21,7 @@ from shelfcast.sources import calendar as C
 
 def split_and_naive(spark, sf_dir):
     """Training days, validation days and the naive forecast of the latter."""
-    train, val = P.train_val_split(R.panel(spark, sf_dir))
+    train, val = P.train_val_split(R.stored_panel(spark, sf_dir))
     return train, val, M.naive_baseline(val, train)
 
 
@@ -140,9 +140,9 @@ top AS (SELECT date, sum(forecast) AS forecast FROM naive GROUP BY date)"""
     ),
 )
 def j7_top_down(spark, sf_dir):
-    _, _, naive = split_and_naive(spark, sf_dir)
+    train, val, naive = split_and_naive(spark, sf_dir)
     top = naive.groupBy("date").agg(F.sum("forecast").alias("forecast"))
-    return R.rounded(H.top_down(top, H.compute_proportions(R.panel(spark, sf_dir))))
+    return R.rounded(H.top_down(top, H.compute_proportions(train.unionByName(val))))
 
 
 @query(
@@ -252,7 +252,7 @@ def j12_holiday_windows(spark, sf_dir):
     ),
 )
 def j13_daily_share(spark, sf_dir):
-    shares = H.daily_shares(R.panel(spark, sf_dir), ["id", "store_id"])
+    shares = H.daily_shares(R.stored_panel(spark, sf_dir), ["id", "store_id"])
     return shares.groupBy("store_id", "date").agg(R.r6(F.sum("share") + OFF_EDGE).alias("share"))
 
 
@@ -284,7 +284,7 @@ def j14_membership_edges(spark, sf_dir):
     ),
 )
 def j15_context_lookup(spark, sf_dir):
-    panel = R.panel(spark, sf_dir)
+    panel = R.stored_panel(spark, sf_dir)
     series = P.build_hierarchy_map(R.daily_sales(spark, sf_dir))
     return R.rounded(
         V.join_recent_context(series, panel).select("id", "store_daily_mean", "dept_daily_mean")
@@ -359,7 +359,7 @@ def x1_price_lags(spark, sf_dir):
     ),
 )
 def x2_rolling_origin(spark, sf_dir):
-    return R.rounded(B.rolling_origin_report(R.panel(spark, sf_dir), folds=5))
+    return R.rounded(B.rolling_origin_report(R.stored_panel(spark, sf_dir), folds=5))
 
 
 WEIGHT_SQL = """
@@ -411,7 +411,7 @@ def x3_multi_level_wrmsse(spark, sf_dir):
     ),
 )
 def x4_ratio_split(spark, sf_dir):
-    train, test = P.ratio_split(R.panel(spark, sf_dir), 0.85)
+    train, test = P.ratio_split(R.stored_panel(spark, sf_dir), 0.85)
     sized = lambda df, flag: df.agg(
         F.count("*").alias("n_rows"), F.min("date").alias("first_day"), F.max("date").alias("last_day")
     ).withColumn("is_train", F.lit(flag))

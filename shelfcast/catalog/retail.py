@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import dates as D
 from shelfcast.operators import panel as P
+from shelfcast.session import cut_lineage
 from shelfcast.sources import calendar as C
 
 # Category of each department.
@@ -32,32 +33,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with item and store keys.
 
-    The dimension sides carry no broadcast hint: Spark broadcasts them while
-    they are small and otherwise joins by shuffle, splitting a hot part.
+    The dimensions join one after the other without hints: Spark broadcasts
+    those whose files are small and joins the others by shuffle, where a hot
+    part or supplier is split at run time.
     """
-    part = table(spark, sf_dir, "part")
-    dept = F.col("p_type")
+    dept, item_noun = F.col("p_type"), F.split("p_name", " ").getItem(1)
     cat = F.when(dept.isin(CATEGORIES["CAT_A"]), "CAT_A").when(dept.isin(CATEGORIES["CAT_B"]), "CAT_B")
-    items = part.select(
-        F.col("p_partkey").alias("l_partkey"),
-        F.concat_ws("_", dept, F.split("p_name", " ").getItem(1)).alias("item_id"),
-        dept.alias("dept_id"),
-        cat.otherwise("CAT_C").alias("cat_id"),
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.to_date("l_shipdate").alias("date")
     )
-    nation = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    joined = (
+        lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    stores = table(spark, sf_dir, "supplier").join(
-        nation, F.col("s_nationkey") == F.col("n_nationkey")
-    ).select(
-        F.col("s_suppkey").alias("l_suppkey"),
+    return joined.select(
+        F.concat_ws("_", dept, item_noun).alias("item_id"),
+        dept.alias("dept_id"),
+        cat.otherwise("CAT_C").alias("cat_id"),
         F.concat_ws("_", "r_name", (F.col("n_nationkey") % 2).cast("string")).alias("store_id"),
         F.col("r_name").alias("state_id"),
+        "date",
+        "l_quantity",
+        "l_extendedprice",
     )
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.to_date("l_shipdate").alias("date")
-    )
-    return lines.join(items, "l_partkey").join(stores, "l_suppkey")
 
 
 def bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,15 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel written once, for queries that read it several times.
+
+    It is far smaller than the line items it comes from, and it keeps its
+    partitioning by series.
+    """
+    return cut_lineage(panel(spark, sf_dir))
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean unit price by store, item and ISO week."""
     unit = F.col("l_extendedprice") / F.col("l_quantity")

@@ -65,7 +65,7 @@ _price_query("w6_discount_depth", "price_discount")
     ),
 )
 def w7_last_rows(spark, sf_dir):
-    train, _ = P.train_val_split(R.panel(spark, sf_dir))
+    train, _ = P.train_val_split(R.stored_panel(spark, sf_dir))
     return M.last_days(train, 7).select("id", "date", "sales")
 
 
