@@ -97,7 +97,7 @@ def s5_forecast_sink(spark, sf_dir):
     "r1_melt_sales",
     R.with_panel(
         """SELECT store_id, 'd_' || CAST(date_diff('day', (SELECT lo FROM bounds), date) + 1 AS VARCHAR) AS d,
-        count(*) AS n_rows, count(sales) AS n_sales, round(sum(sales) + 1.1e-8, 6) + 0.0 AS sum_sales
+        count(*) AS n_rows, count(sales) AS n_sales, round(avg(sales) + 1.1e-8, 6) + 0.0 AS avg_sales
         FROM panel GROUP BY ALL"""
     ),
 )

@@ -55,7 +55,7 @@ def j1_panel_calendar(spark, sf_dir):
     "j2_panel_prices",
     R.with_priced(
         """SELECT store_id, wm_yr_wk, count(*) AS n_rows, count(raw_price) AS n_sell_price,
-        round(sum(raw_price) + 1.1e-8, 6) + 0.0 AS sum_sell_price FROM joined GROUP BY ALL"""
+        round(avg(raw_price) + 1.1e-8, 6) + 0.0 AS avg_sell_price FROM joined GROUP BY ALL"""
     ),
 )
 def j2_panel_prices(spark, sf_dir):

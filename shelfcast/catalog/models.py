@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfcast.catalog import query
 from shelfcast.catalog import retail as R
 from shelfcast.catalog.data import _LABELS_SQL
-from shelfcast.catalog.profiles import calendar_feature_sql, lag_sql, profile, profile_sql, rolling_sql
+from shelfcast.catalog.profiles import OFF_EDGE, calendar_feature_sql, lag_sql, profile, profile_sql, rolling_sql
 from shelfcast.catalog.windows import PRICE_FEATURES_SQL
 from shelfcast.fixed_values import FEATURES, ID_COLUMNS, LAGS, WINDOWS
 from shelfcast.operators import boosting as G
@@ -168,7 +168,7 @@ def _features_sql() -> str:
     R.with_priced(profile_sql("features", _NUMERIC, ["id"]), PRICE_FEATURES_SQL, _features_sql()),
 )
 def m13_build_features(spark, sf_dir):
-    """All model inputs but the codes, summed over the days of each series."""
+    """All model inputs but the codes, averaged over the days of each series."""
     return profile(X.build_features(R.priced_panel(spark, sf_dir)), _NUMERIC, ["id"])
 
 
@@ -178,7 +178,7 @@ def m13_build_features(spark, sf_dir):
     "m14_preprocess",
     R.with_priced(
         """SELECT part, k1.code AS item_id, k2.code AS store_id, count(*) AS n_rows, sum(sales) AS sales,
-        CAST(sum(snap) AS BIGINT) AS snap, round(sum(sell_price) + 1.1e-8, 6) + 0.0 AS sell_price,
+        CAST(sum(snap) AS BIGINT) AS snap, round(avg(sell_price) + 1.1e-8, 6) + 0.0 AS sell_price,
         min(date) AS first_day, max(date) AS last_day FROM (
           SELECT *, CASE WHEN date < (SELECT hi - 27 FROM bounds) THEN 'train' ELSE 'val' END AS part FROM priced)
         JOIN codes k1 ON k1.col = 'item_id' AND k1.label = item_id
@@ -195,7 +195,7 @@ def m14_preprocess(spark, sf_dir):
             F.count("*").alias("n_rows"),
             F.sum("sales").alias("sales"),
             F.sum("snap").alias("snap"),
-            R.r6(F.sum("sell_price") + 1.1e-8).alias("sell_price"),
+            R.r6(F.avg("sell_price") + OFF_EDGE).alias("sell_price"),
             F.min("date").alias("first_day"),
             F.max("date").alias("last_day"),
         )
@@ -260,6 +260,17 @@ def base_forecasts(nodes: DataFrame) -> DataFrame:
     )
 
 
+def base_residuals(nodes: DataFrame) -> DataFrame:
+    """What the weekday means leave of the same eight weeks: (node_id, t, residual)."""
+    end = nodes.agg(F.max("date")).scalar()
+    recent = nodes.filter(F.col("date") > F.date_sub(end, 56)).withColumn("dow", F.weekday("date"))
+    level = recent.groupBy("node_id", "dow").agg(F.expm1(F.avg(F.log1p("sales"))).alias("fit"))
+    t = F.datediff("date", F.lit("1970-01-01")).alias("t")
+    return recent.join(level, ["node_id", "dow"]).select(
+        "node_id", t, (F.col("sales") - F.col("fit")).alias("residual")
+    )
+
+
 _BASE_SQL = """
 base_nodes AS (
   SELECT id AS node_id, date, sales FROM panel UNION ALL SELECT 'total', date, sum(sales) FROM panel GROUP BY date
@@ -316,7 +327,7 @@ def h2_mint_wls_two_levels(spark, sf_dir):
 @query("h2_mint_shrink")
 def h2_mint_shrink(spark, sf_dir):
     nodes, tree = _nodes(spark, sf_dir, LEVELS)
-    residuals = cut_lineage(REC.naive_residuals(nodes, 56))
+    residuals = cut_lineage(base_residuals(nodes))
     return REC.mint_reconcile(base_forecasts(nodes), H.membership_edges(tree, LEVELS), residuals, "shrink")
 
 
@@ -325,7 +336,7 @@ def h3_strategy_gaps(spark, sf_dir):
     """Largest incoherence left by each strategy; all are near zero."""
     nodes, tree = _nodes(spark, sf_dir, LEVELS)
     history = R.stored_panel(spark, sf_dir)
-    base, residuals = cut_lineage(base_forecasts(nodes)), cut_lineage(REC.naive_residuals(nodes, 56))
+    base, residuals = cut_lineage(base_forecasts(nodes)), cut_lineage(base_residuals(nodes))
     edges = REC.aggregate_edges(H.membership_edges(tree, LEVELS))
     out = None
     for method in REC.METHODS:
@@ -341,7 +352,7 @@ def h3_strategy_gaps(spark, sf_dir):
 @query("a26_covariance")
 def a26_covariance(spark, sf_dir):
     nodes, _ = _nodes(spark, sf_dir, LEVELS)
-    residuals = cut_lineage(REC.naive_residuals(nodes, 56))
+    residuals = cut_lineage(base_residuals(nodes))
     parts = [
         REC.covariance_table(residuals, m).withColumn("method", F.lit(m)) for m in ("shrink", "sample", "wls", "ols")
     ]

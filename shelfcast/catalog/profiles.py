@@ -1,7 +1,7 @@
 """Row profiles and shared SQL pieces.
 
 Panel-grain operators run over every series and day. Their result is compared
-as counts and sums by store and day, so that a query returns thousands of rows
+as counts and means by store and day, so that a query returns thousands of rows
 and not millions.
 """
 
@@ -12,23 +12,23 @@ from pyspark.sql import functions as F
 
 from shelfcast.catalog.retail import r6
 
-# Keeps sums of short decimals off the rounding edge, where engines may differ.
+# Keeps means of short decimals off the rounding edge, where engines may differ.
 OFF_EDGE = 1.1e-8
 STORE_DAY = ["store_id", "date"]
 
 
 def profile(df: DataFrame, columns: list[str], keys: list[str] = STORE_DAY) -> DataFrame:
-    """Rows, non-null counts and sums of the columns by key."""
+    """Rows, non-null counts and means of the columns by key."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for c in columns:
-        aggs += [F.count(c).alias(f"n_{c}"), r6(F.sum(F.col(c).cast("double")) + OFF_EDGE).alias(f"sum_{c}")]
+        aggs += [F.count(c).alias(f"n_{c}"), r6(F.avg(F.col(c).cast("double")) + OFF_EDGE).alias(f"avg_{c}")]
     return df.groupBy(*keys).agg(*aggs)
 
 
 def profile_sql(source: str, columns: list[str], keys: list[str] = STORE_DAY) -> str:
     parts = [*keys, "count(*) AS n_rows"]
     for c in columns:
-        parts += [f"count({c}) AS n_{c}", f"round(sum(CAST({c} AS DOUBLE)) + {OFF_EDGE}, 6) + 0.0 AS sum_{c}"]
+        parts += [f"count({c}) AS n_{c}", f"round(avg(CAST({c} AS DOUBLE)) + {OFF_EDGE}, 6) + 0.0 AS avg_{c}"]
     return f"SELECT {', '.join(parts)} FROM {source} GROUP BY {', '.join(keys)}"
 
 

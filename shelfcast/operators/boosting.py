@@ -12,6 +12,7 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -121,6 +122,22 @@ class TweedieModel:
         return cls(trees=trees, **spec)
 
 
+class Scored:
+    """Rows with their current score, cached; the last cache serves the next."""
+
+    def __init__(self, df: DataFrame) -> None:
+        self.df, self.steps = df.persist(StorageLevel.MEMORY_AND_DISK), 0
+
+    def advance(self, tree: Tree) -> None:
+        before, self.steps = self.df, self.steps + 1
+        after = tree.step(before)
+        self.df = (cut_lineage(after) if self.steps % CUT_EVERY == 0 else after).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+        self.df.count()
+        before.unpersist()
+
+
 def _fit_tree(bag: DataFrame, columns: list[int], params: dict, seed: int) -> Tree:
     """One tree on the bag, with Newton leaf values from the same rows."""
     sliced = VectorSlicer(inputCol="features", outputCol="_x", indices=columns).transform(bag)
@@ -154,8 +171,9 @@ def fit_tweedie(
 ) -> TweedieModel:
     """Train on prepared features; stop when the validation RMSE no longer falls.
 
-    The assembled rows are written once and the scores are cut off every few
-    rounds, so the plan of a round holds a few trees at most.
+    The assembled rows are written once. Scored rows are cached from round to
+    round and written again every few rounds, so that a lost executor repeats
+    a few trees at most.
     """
     params = BOOSTING_DEFAULTS | {"max_bins": 256} | params
     columns = feature_cols or [c for c in FEATURES if c in train.columns]
@@ -166,25 +184,24 @@ def fit_tweedie(
             F.col("sales").cast("double").alias("sales"), "features", F.lit(model.start).alias("score")
         )
     )
-    rows, val_rows = prepared(train), None if val is None else prepared(val)
+    rows, val_rows = Scored(prepared(train)), None if val is None else Scored(prepared(val))
     sales, score = F.col("sales"), F.col("score")
     generator = np.random.default_rng(seed)
     kept = max(1, round(params["feature_fraction"] * len(columns)))
     best, best_round = math.inf, 0
     for i in range(params["rounds"]):
-        derived = rows.withColumns({"g": gradient(sales, score), "h": hessian(sales, score)})
+        derived = rows.df.withColumns({"g": gradient(sales, score), "h": hessian(sales, score)})
         bag = derived.withColumn("target", -F.col("g") / F.col("h"))
         if params["bagging_fraction"] < 1:
             bag = bag.sample(fraction=params["bagging_fraction"], seed=seed + i)
         chosen = sorted(int(c) for c in generator.choice(len(columns), kept, replace=False))
         tree = _fit_tree(bag, chosen, params, seed + i)
         model.trees.append(tree)
-        cut = (i + 1) % CUT_EVERY == 0
-        rows = cut_lineage(tree.step(rows)) if cut else tree.step(rows)
+        rows.advance(tree)
         entry = {"round": i + 1}
         if val_rows is not None:
-            val_rows = cut_lineage(tree.step(val_rows)) if cut else tree.step(val_rows)
-            error = val_rows.agg(F.sqrt(F.avg(F.pow(sales - F.exp(score), F.lit(2))))).first()[0]
+            val_rows.advance(tree)
+            error = val_rows.df.agg(F.sqrt(F.avg(F.pow(sales - F.exp(score), F.lit(2))))).first()[0]
             entry["val_rmse"] = error
             if error < best:
                 best, best_round = error, i + 1
@@ -192,6 +209,8 @@ def fit_tweedie(
                 model.history.append(entry)
                 break
         model.history.append(entry)
+    for held in [rows] + ([val_rows] if val_rows else []):
+        held.df.unpersist()
     if val_rows is not None and best_round:
         model.trees = model.trees[:best_round]
     return model
