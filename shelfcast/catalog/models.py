@@ -37,7 +37,6 @@ def _trained(spark, sf_dir):
         done = preprocess_panel(R.dated_panel(spark, sf_dir), R.prices(spark, sf_dir), states=R.STATE_FLAGS)
         full = done["full"]
         train, val = X.split_features(full, P.validation_start(full), context_lag=28)
-        train, val = cut_lineage(train), cut_lineage(val)
         model = G.fit_tweedie(train, val, early_stopping_rounds=30, rounds=ROUNDS, max_depth=DEPTH, learning_rate=0.3)
         _fitted[key] = (model, train, val, full)
     return _fitted[key]

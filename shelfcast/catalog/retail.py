@@ -84,8 +84,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel written once, for queries that read it several times.
 
-    It is far smaller than the line items it comes from, and it keeps its
-    partitioning by series.
+    It is far smaller than the line items it comes from.
     """
     return cut_lineage(panel(spark, sf_dir))
 

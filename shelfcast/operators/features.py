@@ -60,15 +60,19 @@ def with_rolling(df: DataFrame, windows: list[int], lag: int, group_cols: list[s
             "_q": F.coalesce(F.sum(moved * moved).over(run), F.lit(0.0)),
         }
     )
-    between = lambda c, k: F.lag(c, lag, 0).over(w) - F.lag(c, lag + k, 0).over(w)
-    sums = {f"_{c}{k}": between(f"_{c}", k) for k in windows for c in ("n", "s", "q")}
+    # one lag per distance, of all running values at once
+    state = F.struct("_n", "_s", "_q")
+    none = F.struct(F.lit(0).cast("long").alias("_n"), F.lit(0.0).alias("_s"), F.lit(0.0).alias("_q"))
+    ago = lambda rows: F.coalesce(F.lag(state, rows).over(w), none)
+    distances = {lag, *[lag + k for k in windows]}
+    df = df.withColumns({f"_ago{d}": ago(d) for d in sorted(distances)})
     out = {}
     for k in windows:
-        n, s, q = F.col(f"_n{k}"), F.col(f"_s{k}"), F.col(f"_q{k}")
+        n, s, q = [F.col(f"_ago{lag}.{c}") - F.col(f"_ago{lag + k}.{c}") for c in ("_n", "_s", "_q")]
         spread = F.greatest(q - s * s / n, F.lit(0.0))
         out[f"rolling_mean_{k}"] = F.when(n > 0, F.col("_shift") + s / n)
         out[f"rolling_std_{k}"] = F.when(n > 1, F.sqrt(spread / (n - 1)))
-    return df.withColumns(sums).withColumns(out).drop("_shift", "_n", "_s", "_q", *sums)
+    return df.withColumns(out).drop("_shift", "_n", "_s", "_q", *[f"_ago{d}" for d in distances])
 
 
 def add_lag_features(df: DataFrame, lag_days: list[int] = LAGS, group_cols: list[str] = ["id"]) -> DataFrame:
@@ -157,21 +161,20 @@ def add_price_lags(
     return df.withColumns({f"price_lag_{n}": F.lag("sell_price", n).over(w) for n in lag_days})
 
 
-def context_mean(df: DataFrame, key: str, name: str, lag_days: int = 0) -> DataFrame:
-    """Mean sales by key and day; with a lag the value serves a later day."""
-    means = df.groupBy(key, "date").agg(F.avg("sales").alias(name))
-    return means.withColumn("date", F.date_add("date", lag_days)) if lag_days else means
-
-
 def add_context_features(df: DataFrame, lag_days: int = 0) -> DataFrame:
     """Mean sales of the row's store and of its department on the day.
 
     With ``lag_days`` 0 the mean includes the row's own sales; 28 keeps the
-    horizon out of it. Partial sums are combined before the shuffle. The means
-    are written once and counted: only a small table is broadcast.
+    horizon out of it: a day then sees the means of 28 days before. One
+    grouping by store, department and day serves both. The means are written
+    once and counted: only a small table is broadcast.
     """
+    sums = cut_lineage(
+        df.groupBy("store_id", "dept_id", "date").agg(F.sum("sales").alias("_sum"), F.count("sales").alias("_n"))
+    )
     for key, name in (("store_id", "store_daily_mean"), ("dept_id", "dept_daily_mean")):
-        means = cut_lineage(context_mean(df, key, name, lag_days))
+        mean = (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias(name)
+        means = sums.groupBy(key, F.date_add("date", lag_days).alias("date")).agg(mean)
         df = df.join(broadcast_if_small(means, means.count()), [key, "date"], "left")
     return df
 
@@ -198,9 +201,11 @@ def split_features(
 ) -> tuple[DataFrame, DataFrame]:
     """Training and validation features from one pass over the whole panel.
 
-    Lags of validation rows reach back into the training days; training rows
-    see no price after the split.
+    The features are written once and split from there. Lags of validation
+    rows reach back into the training days; training rows see no price after
+    the split.
     """
     features = build_features(full, training=False, as_of=val_start, context_lag=context_lag)
-    train = drop_missing_lags(features.filter(F.col("date") < val_start))
-    return train, features.filter(F.col("date") >= val_start)
+    features = cut_lineage(features.withColumn("_train", F.col("date") < val_start))
+    train = drop_missing_lags(features.filter("_train")).drop("_train")
+    return train, features.filter("NOT _train").drop("_train")

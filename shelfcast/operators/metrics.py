@@ -199,7 +199,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         "_width", (F.col("_ends.hi") - F.col("_ends.lo")) / F.lit(float(bins))
     )
     at = F.floor((F.col(column) - F.col("_ends.lo")) / F.nullif(F.col("_width"), F.lit(0.0)))
-    bucket = F.coalesce(F.least(at, F.lit(bins - 1)), F.lit(0)).cast("int")
+    bucket = F.when(at.isNotNull(), F.least(at, F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
     return (
         placed.groupBy(bucket.alias("bin"))
         .agg(

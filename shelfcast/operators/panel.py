@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from shelfcast.fixed_values import CALENDAR_COLUMNS, ID_COLUMNS, SNAP_STATES
 from shelfcast.operators.ordering import exact_median
+from shelfcast.session import broadcast_if_small, cut_lineage
 
 
 def pick(df: DataFrame, wanted: list[str]) -> DataFrame:
@@ -61,18 +62,20 @@ def join_prices(df: DataFrame, prices: DataFrame) -> DataFrame:
 def fill_prices(df: DataFrame, group_cols: list[str] = ["item_id", "store_id"]) -> DataFrame:
     """Missing price: median of the group, then of all rows so filled, then 1.
 
-    The overall median costs an own pass and is only computed when some group
-    has no price at all.
+    The group medians are written once, one row per series. The overall
+    median costs an own pass and is only computed when some group has no
+    price at all.
     """
     groups = [c for c in group_cols if c in df.columns]
     if groups:
-        medians = df.groupBy(*groups).agg(F.median("sell_price").alias("_median"))
+        medians = cut_lineage(df.groupBy(*groups).agg(F.median("sell_price").alias("_median")))
+        size = medians.agg(F.count("*"), F.count("_median")).first()
         df = (
-            df.join(medians, groups, "left")
+            df.join(broadcast_if_small(medians, size[0]), groups, "left")
             .withColumn("sell_price", F.coalesce("sell_price", "_median"))
             .drop("_median")
         )
-        if medians.filter(F.col("_median").isNull()).isEmpty():
+        if size[0] == size[1]:
             return df
     overall = exact_median(df, "sell_price").scalar()
     return df.withColumn("sell_price", F.coalesce("sell_price", overall, F.lit(1.0)))

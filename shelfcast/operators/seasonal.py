@@ -209,7 +209,7 @@ def fit_groups(
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         if len(rows) < least:
-            return pd.DataFrame({group_col: [], "beta": [], "sigma": []})
+            return pd.DataFrame({group_col: [], "beta": [], "sigma": []}, dtype=object)
         beta, sigma = solve_group(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(), widths)
         return pd.DataFrame({group_col: [key[0]], "beta": [beta], "sigma": [sigma]})
 

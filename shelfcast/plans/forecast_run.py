@@ -80,7 +80,7 @@ class ForecastRun:
         return self
 
     def train_global(self, early_stopping_rounds: int = 30) -> "ForecastRun":
-        val = cut_lineage(self.results["val_features"])
+        val = self.results["val_features"]
         self.model = boosting.fit_tweedie(
             self.results["train_features"],
             val,
