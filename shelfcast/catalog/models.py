@@ -168,7 +168,7 @@ def _features_sql() -> str:
 )
 def m13_build_features(spark, sf_dir):
     """All model inputs but the codes, averaged over the days of each series."""
-    return profile(X.build_features(R.priced_panel(spark, sf_dir)), _NUMERIC, ["id"])
+    return profile(X.build_features(cut_lineage(R.priced_panel(spark, sf_dir))), _NUMERIC, ["id"])
 
 
 

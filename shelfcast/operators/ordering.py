@@ -31,13 +31,14 @@ def running_total(df: DataFrame, order_cols: list[str], weight: str, name: str)
     )
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
+def exact_median(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
     """One row with the exact median of a column of any size.
 
-    Equal values are counted first; the middle one or two are then found by
-    their running counts.
+    A row counts ``weight`` times. Equal values are counted first; the middle
+    one or two are then found by their running counts.
     """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    times = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(times.alias("n"))
     placed = running_total(counts, [column], "n", "upto")
     total = placed.agg(F.sum("n")).scalar()
     low, high = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
@@ -50,11 +51,12 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
 def fit_encoders(df: DataFrame, columns: list[str] = ENCODED_COLUMNS) -> DataFrame:
     """Lookup (col, code, label): labels of a column in sorted order from 0."""
     present = [c for c in columns if c in df.columns]
+    combinations = df.select(*present).distinct()
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("label")) for c in present])
     )
     labels = (
-        df.select(pairs.alias("p"))
+        combinations.select(pairs.alias("p"))
         .select("p.col", "p.label")
         .filter(F.col("label").isNotNull())
         .distinct()

@@ -50,25 +50,31 @@ def merge_calendar(long: DataFrame, calendar: DataFrame, on: str = "d") -> DataF
     return long.join(F.broadcast(days), on, "left")
 
 
+def price_keys(df: DataFrame, prices: DataFrame) -> list[str]:
+    return [k for k in ("store_id", "item_id", "wm_yr_wk") if k in df.columns and k in prices.columns]
+
+
 def join_prices(df: DataFrame, prices: DataFrame) -> DataFrame:
     """Left join on the shared price keys; price 1 when there is no key."""
-    keys = [k for k in ("store_id", "item_id", "wm_yr_wk") if k in df.columns and k in prices.columns]
-    if not keys:
+    keys = price_keys(df, prices)
+    if not keys or "sell_price" not in prices.columns:
         return df.withColumn("sell_price", F.lit(1.0))
-    joined = df.join(prices.select(*keys, *[c for c in prices.columns if c not in df.columns]), keys, "left")
-    return joined if "sell_price" in joined.columns else joined.withColumn("sell_price", F.lit(1.0))
+    return df.join(prices.select(*keys, "sell_price"), keys, "left")
 
 
-def fill_prices(df: DataFrame, group_cols: list[str] = ["item_id", "store_id"]) -> DataFrame:
+def fill_prices(
+    df: DataFrame, group_cols: list[str] = ["item_id", "store_id"], weight: str | None = None
+) -> DataFrame:
     """Missing price: median of the group, then of all rows so filled, then 1.
 
-    The group medians are written once, one row per series. The overall
-    median costs an own pass and is only computed when some group has no
-    price at all.
+    A row counts ``weight`` times. The group medians are written once, one row
+    per group. The overall median costs an own pass and is only computed when
+    some group has no price at all.
     """
     groups = [c for c in group_cols if c in df.columns]
+    times = F.col(weight) if weight else F.lit(1)
     if groups:
-        medians = cut_lineage(df.groupBy(*groups).agg(F.median("sell_price").alias("_median")))
+        medians = cut_lineage(df.groupBy(*groups).agg(F.percentile("sell_price", 0.5, times).alias("_median")))
         size = medians.agg(F.count("*"), F.count("_median")).first()
         df = (
             df.join(broadcast_if_small(medians, size[0]), groups, "left")
@@ -77,12 +83,27 @@ def fill_prices(df: DataFrame, group_cols: list[str] = ["item_id", "store_id"])
         )
         if size[0] == size[1]:
             return df
-    overall = exact_median(df, "sell_price").scalar()
+    overall = exact_median(df, "sell_price", weight).scalar()
     return df.withColumn("sell_price", F.coalesce("sell_price", overall, F.lit(1.0)))
 
 
 def merge_prices(df: DataFrame, prices: DataFrame) -> DataFrame:
-    return fill_prices(join_prices(df, prices))
+    """Panel with a price on every row.
+
+    Prices are the same on all rows of a store, item and week, so they are
+    joined and filled on that grain, weighted by its rows, and reach the panel
+    in one join. The table of weeks is written once and counted: a small one
+    is broadcast and leaves the panel's partitioning alone.
+    """
+    keys = price_keys(df, prices)
+    if not keys or "sell_price" not in prices.columns:
+        return df.withColumn("sell_price", F.lit(1.0))
+    weeks = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    filled = fill_prices(cut_lineage(join_prices(weeks, prices)), [k for k in keys if k != "wm_yr_wk"], "_n")
+    filled = cut_lineage(filled.select(*[F.col(k).alias(f"_{k}") for k in keys], "sell_price"))
+    same = [df[k].eqNullSafe(F.col(f"_{k}")) for k in keys]
+    joined = df.join(broadcast_if_small(filled, filled.count()), same, "left")
+    return joined.drop(*[f"_{k}" for k in keys])
 
 
 def add_snap_flag(df: DataFrame, states: dict[str, str] = SNAP_STATES) -> DataFrame:
