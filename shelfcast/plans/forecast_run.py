@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from shelfcast.fixed_values import HORIZON, SNAP_STATES
+from shelfcast.functions.scalars import unlog_sales
 from shelfcast.operators import boosting, hierarchy, metrics, ordering, panel, reshape, seasonal
 from shelfcast.operators import features as X
 from shelfcast.operators import reconcile as REC
-from shelfcast.session import cut_lineage
+from shelfcast.session import broadcast_if_small, cut_lineage
 
 
 def preprocess_panel(
@@ -57,6 +59,8 @@ def preprocess(
 class ForecastRun:
     """One run over preprocessed tables; every stage keeps its result.
 
+    With another method than ``bottom_up`` the store models supply the store
+    level of the base forecasts, so that the levels have something to settle.
     ``context_lag`` 0 lets the store and department means include the day
     itself; 28 keeps the horizon out of them.
     """
@@ -108,12 +112,37 @@ class ForecastRun:
         levels = hierarchy.DEFAULT_EDGE_LEVELS
         base = REC.node_table(keyed, "forecast", levels)
         history = hierarchy.with_hierarchy(self.processed["train"].select("id", "date", "sales"), tree)
-        residuals = REC.naive_residuals(REC.node_table(history, "sales", levels), self.val_days)
-        bottom = REC.reconcile(self.method, base, tree, levels, history, residuals)
-        bottom = bottom.withColumnRenamed("node_id", "id").join(tree.select("id"), "id", "left_semi")
+        nodes = cut_lineage(REC.node_table(history, "sales", levels))
+        residuals = REC.naive_residuals(nodes, self.val_days)
+        if self.seasonal_model is not None:
+            base = self._store_level(base, self.results["store_forecasts"], F.col("yhat"), "forecast")
+            residuals = self._store_residuals(residuals, nodes)
+        done = REC.reconcile(self.method, base, tree, levels, history, residuals)
+        bottom = done.withColumnRenamed("node_id", "id").join(tree.select("id"), "id", "left_semi")
         self.results["reconciled"] = hierarchy.bottom_up(bottom, tree)
         return self
 
+    def _store_level(self, nodes: DataFrame, stores: DataFrame, value: Column, name: str) -> DataFrame:
+        """Nodes with the store rows taken from the seasonal models where those exist.
+
+        The seasonal models hold one row per store and day and are counted.
+        """
+        node = F.concat_ws(hierarchy.NODE_SEPARATOR, F.lit("store"), self.seasonal_model.group_col)
+        own = cut_lineage(stores.select(node.alias("node_id"), F.col("ds").alias("date"), value.alias("_own")))
+        joined = nodes.join(broadcast_if_small(own, own.count()), ["node_id", "date"], "left")
+        return joined.withColumn(name, F.coalesce("_own", name)).drop("_own")
+
+    def _store_residuals(self, residuals: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Residuals with those of the store models in place of one-day changes."""
+        fitted = self.seasonal_model.components(0)
+        marked = nodes.withColumn("fit", F.lit(None).cast("double"))
+        both = self._store_level(marked, fitted, unlog_sales(F.col("log_yhat")), "fit")
+        own = both.filter(F.col("fit").isNotNull()).select(
+            "node_id", F.datediff("date", F.lit("1970-01-01")).alias("t"), (F.col("sales") - F.col("fit")).alias("_own")
+        )
+        joined = residuals.join(own, ["node_id", "t"], "left")
+        return cut_lineage(joined.select("node_id", "t", F.coalesce("_own", "residual").alias("residual")))
+
     def evaluate(self) -> "ForecastRun":
         """Reports of the model and the naive forecast, and the weighted scaled error."""
         val = self.processed["val"].select("id", "date", "sales", "store_id", "cat_id", "dept_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +30,7 @@ def local_session(app: str = "shelfcast", cores: str = "*", partitions: int = 8)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and intermediate tables.
+    """The folder for intermediate tables.
 
     It comes from ``spark.checkpoint.dir``. Only a local master, where driver
     and executors share one disk, gets a fresh temporary folder when unset.
@@ -40,15 +41,20 @@ def shared_folder(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="shelfcast-")
-    if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder; survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and read it from there.
+
+    The table survives the loss of executors, later readers take only the
+    columns they need, and its size is known when joins are planned.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
