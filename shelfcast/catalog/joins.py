@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.catalog import query
 from shelfcast.catalog import retail as R
-from shelfcast.catalog.profiles import ERRORS_SQL, NAIVE_SQL, OFF_EDGE, SPLIT_SQL, profile, profile_sql
+from shelfcast.catalog.profiles import ERRORS_SQL, NAIVE_SQL, OFF_EDGE, profile, profile_sql
 from shelfcast.fixed_values import LAGS, SCORED_LEVELS, WINDOWS
 from shelfcast.operators import baselines as B
 from shelfcast.operators import events as E
