@@ -11,9 +11,13 @@ neighbours are compared:
 
 * a record that equals its neighbour repeats it entirely;
 * records with equal grams and different digests may share some windows, and so may
-  those at the two ends of a bucket. Only these go on, as single windows, to a second
-  sort of the same kind; there, buckets are compared across their boundaries by their
-  first and last key, one row of each bucket.
+  those at the two ends of a bucket. These are cut into cells of eight windows, at fixed
+  places from the anchor. All windows of a cell share its core; a second sort, by
+  the cores, brings together those that may be equal, and the seven bytes on either side
+  of the core tell which windows are;
+* cells whose core stands at an end of a bucket go on as single windows to a third sort,
+  where buckets are compared across their boundaries by first and last key, one row of
+  each bucket.
 
 Records tell rows apart by ``doc_id`` and 16 bits of a hash of the text. Equal rows count
 as one document and get the same result; a null ``doc_id`` comes before all others; null
@@ -43,14 +47,25 @@ NO_ID = -(1 << 63)
 BASE = 0x9E3779B97F4A7C15
 LOW = np.uint64(0xFFFFF)
 
+CELL = 8
+
 REPEATED, OPEN, FIRST, LAST = 1, 0, 2, 3
-RECORD = "lead long, gram long, digest long, doc long, place long"
-FOUND = "kind int, bucket int, lead long, gram long, digest long, doc long, place long"
+RECORD = ["lead", "gram", "digest", "doc", "place"]
+CELLS = ["lead", "core", "left", "right", "doc", "place"]
+
+
+def longs(names: list[str]) -> str:
+    return ", ".join(f"{n} long" for n in names)
 
 
-def pack(tie: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Tie bits of the row, first window and number of windows in one ascending long."""
-    return (tie.astype(np.int64) << 47) | (start.astype(np.int64) << 7) | count.astype(np.int64)
+def pack(tie: np.ndarray, start: np.ndarray, count: np.ndarray, anchor: np.ndarray | int = 0) -> np.ndarray:
+    """Tie bits of the row, first window, way to the anchor and number of windows in one ascending long."""
+    return (tie.astype(np.int64) << 47) | (start.astype(np.int64) << 14) | (np.int64(anchor) << 7 if np.isscalar(anchor) else anchor.astype(np.int64) << 7) | count.astype(np.int64)
+
+
+def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, way to the anchor, number of windows."""
+    return (place >> 14) & ((1 << 33) - 1), (place >> 7) & 127, place & 127
 
 
 def tie_of(text: Column) -> Column:
@@ -103,10 +118,10 @@ def leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def records_of(buffer: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one anchor in a buffer of texts: text, start, count, lead, gram, digest."""
+    """Runs of windows with one anchor in a buffer of texts: text, start, count, anchor, lead, gram, digest."""
     data = np.frombuffer(buffer, dtype=np.uint8)
     if data.size < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(7))
     hashes = gram_hashes(data)
     least = window_least((hashes & ~LOW) | np.arange(hashes.size, dtype=np.uint64), length - GRAM + 1)
     anchor = (least & LOW).astype(np.int64)
@@ -114,7 +129,7 @@ def records_of(buffer: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray
     text = np.searchsorted(ends, at, "right")
     at = at[at + length <= ends[text]]
     if not at.size:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(7))
     new = np.concatenate(([True], (anchor[at[1:]] != anchor[at[:-1]]) | (at[1:] != at[:-1] + 1)))
     first = np.flatnonzero(new)
     start, count = at[first], np.diff(np.append(first, at.size))
@@ -122,7 +137,7 @@ def records_of(buffer: bytes, ends: np.ndarray, length: int) -> tuple[np.ndarray
     stops = start + count + (length - 1)
     digests = np.fromiter((digest(view[a:b]) for a, b in zip(start.tolist(), stops.tolist())), np.uint64, start.size)
     on = anchor[start]
-    return text[start], start, count, leading(data, on), hashes[on].view(np.int64), digests.view(np.int64)
+    return text[start], start, count, on - start, leading(data, on), hashes[on].view(np.int64), digests.view(np.int64)
 
 
 def blocks(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
@@ -147,8 +162,8 @@ def blocks(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray,
         yield b"".join(parts), np.cumsum([len(p) for p in parts]), np.array(rows), np.array(offsets)
 
 
-def record_batch(columns: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["lead", "gram", "digest", "doc", "place"])
+def batch_of(names: list[str], columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
 def suffix_records(length: int):
@@ -158,35 +173,76 @@ def suffix_records(length: int):
         for batch in batches:
             doc, tie = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for buffer, ends, rows, offsets in blocks(utf8(batch.column(2)), length):
-                text, start, count, lead, gram, digest = records_of(buffer, ends, length)
+                text, start, count, anchor, lead, gram, digest = records_of(buffer, ends, length)
                 begins = np.concatenate(([0], ends[:-1]))
-                place = pack(tie[rows[text]], start - begins[text] + offsets[text], count)
-                yield record_batch([lead, gram, digest, doc[rows[text]], place])
+                place = pack(tie[rows[text]], start - begins[text] + offsets[text], count, anchor)
+                yield batch_of(RECORD, [lead, gram, digest, doc[rows[text]], place])
 
     return run
 
 
-def window_records(length: int, rows: int = 1 << 16):
-    """One record for each single window of the listed runs of a row's text."""
+def beside(data: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
+    """Seven bytes from ``at`` on in one direction, the nearest lowest; their number on top."""
+    out = np.zeros(at.size, dtype=np.uint64)
+    there = np.zeros(at.size, dtype=np.uint64)
+    for i in range(CELL - 1):
+        place = at + i * step
+        inside = (place >= 0) & (place < data.size)
+        value = data[np.clip(place, 0, data.size - 1)].astype(np.uint64)
+        out |= np.where(inside, value << np.uint64(8 * i), np.uint64(0))
+        there += inside
+    return (out | (there << np.uint64(56))).view(np.int64)
+
+
+def cell_records(length: int, rows: int = 1 << 16):
+    """The cells of the listed runs of windows of a row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
+        digest, core = xxhash.xxh3_64_intdigest, length - CELL + 1
         for batch in batches:
+            held, n = [], 0
             for doc, tie, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data, view = np.frombuffer(text, dtype=np.uint8), memoryview(text)
-                places = np.unique(np.array(places, dtype=np.int64))
-                start, count = (places >> 7) & ((1 << 40) - 1), places & 127
-                at = np.unique(np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-                for low in range(0, at.size, rows):
-                    own = at[low : low + rows]
-                    lead = leading(data, own)
-                    found = np.fromiter((digest(view[a : a + length]) for a in own.tolist()), np.uint64, own.size).view(np.int64)
-                    place = pack(np.full(own.size, tie), own, np.ones(own.size))
-                    yield record_batch([lead, np.zeros(own.size, np.int64), found, np.full(own.size, doc), place])
+                start, anchor, count = unpack(np.unique(np.array(places, dtype=np.int64)))
+                low, high = (anchor - count + 1) // CELL, anchor // CELL
+                many = high - low + 1
+                cell = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                at = np.unique(np.repeat(start + anchor, many) - CELL * cell)
+                for first in range(0, at.size, rows):
+                    own = at[first : first + rows]
+                    found = np.fromiter((digest(view[a : a + core]) for a in own.tolist()), np.uint64, own.size).view(np.int64)
+                    place = pack(np.full(own.size, tie), own, np.zeros(own.size))
+                    held.append([leading(data, own), found, beside(data, own - 1, -1), beside(data, own + core, 1), np.full(own.size, doc), place])
+                    n += own.size
+                    if n >= rows:
+                        yield batch_of(CELLS, [np.concatenate(c) for c in zip(*held, strict=True)])
+                        held, n = [], 0
+            if held:
+                yield batch_of(CELLS, [np.concatenate(c) for c in zip(*held, strict=True)])
 
     return run
 
 
+def cell_windows(left: np.ndarray, right: np.ndarray, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The window that reaches ``j`` bytes over a core's left side: its bytes beside the core, and whether it exists."""
+    low = lambda side, n: side & np.int64((1 << (8 * n)) - 1)
+    fits = ((left >> 56) >= j) & ((right >> 56) >= CELL - 1 - j)
+    return low(left, j), low(right, CELL - 1 - j), fits
+
+
+def single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One record for each window of a cell; no text is needed, the digest is made of core and sides."""
+    for batch in batches:
+        lead, core, left, right, doc, place = (c.to_numpy() for c in batch.columns)
+        start, _, _ = unpack(place)
+        for j in range(CELL):
+            a, b, fits = cell_windows(left, right, j)
+            key = np.stack([core, a, b, np.full(core.size, j)], axis=1)[fits]
+            found = np.fromiter((xxhash.xxh3_64_intdigest(k.tobytes()) for k in key), np.uint64, len(key)).view(np.int64)
+            own = pack(place[fits] >> 47, start[fits] - j, np.ones(len(key)))
+            yield batch_of(RECORD, [lead[fits], core[fits], found, doc[fits], own])
+
+
 def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
     """Order by the columns: a quicksort by the first, then by the next inside equal runs only."""
     order = np.argsort(columns[0], kind="quicksort")
@@ -202,60 +258,112 @@ def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
     return order
 
 
+def whole_bucket(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray]:
+    """The sorted columns of a bucket, whose size the number of buckets bounds."""
+    held = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
+    if not held:
+        return []
+    columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+    del held
+    order = multikey_order(columns)
+    return [c[order] for c in columns]
+
+
+def changes(columns: list[np.ndarray]) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.ones(columns[0].size, dtype=bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def repeats_of_first(new: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Rows behind the first of their group; the same place of the same row (from an equal row) is no repeat."""
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return ~new & ((doc != doc[first]) | (place != place[first]))
+
+
+def open_groups(group_new: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """First rows of their value whose group has several values or stands at an end of the bucket."""
+    group = np.cumsum(group_new) - 1
+    several = np.bincount(group[new]) > 1
+    several[[0, -1]] = True
+    return new & several[group]
+
+
+def reported(names: list[str], kind: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    bucket = TaskContext.get().partitionId()
+    for low in range(0, kind.size, 1 << 16):
+        own = kind[low : low + (1 << 16)]
+        arrays = [pa.array(own, pa.int32()), pa.array(np.full(own.size, bucket, np.int32))]
+        arrays += [pa.array(c[low : low + (1 << 16)], pa.int64()) for c in columns]
+        yield pa.RecordBatch.from_arrays(arrays, ["kind", "bucket", *names])
+
+
 def sort_bucket(single: bool):
-    """Sort a bucket and compare neighbours.
+    """Sort a bucket of records and compare neighbours.
 
     Repeats are reported; with ``single`` also the first and last key, else every first
     record whose gram has several digests or stands at an end of the bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [[c.to_numpy() for c in b.columns] for b in batches if b.num_rows]
-        if not held:
+        columns = whole_bucket(batches)
+        if not columns:
             return
-        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-        del held
-        order = multikey_order(columns)
-        columns = [c[order] for c in columns]
-        lead, gram, digest, _, _ = columns
-        gram_new = np.concatenate(([True], (lead[1:] != lead[:-1]) | (gram[1:] != gram[:-1])))
-        new = gram_new.copy()
-        new[1:] |= digest[1:] != digest[:-1]
-        group = np.cumsum(new) - 1
-        origin = np.flatnonzero(new)[group]
-        # The same window of the same row (from an equal row) is not a repeat of itself.
-        same_as_first = (columns[3] == columns[3][origin]) & (columns[4] == columns[4][origin])
-        repeated = ~new & ~same_as_first
+        lead, gram, digest, doc, place = columns
+        new = changes([lead, gram, digest])
         kind = np.full(new.size, -1, dtype=np.int32)
-        kind[repeated] = REPEATED
+        kind[repeats_of_first(new, doc, place)] = REPEATED
         if single:
             kind[0] = FIRST
-            last = [c[-1:] for c in columns]
         else:
-            grams = np.cumsum(gram_new) - 1
-            several = np.bincount(grams[new]) > 1
-            several[[0, -1]] = True
-            kind[new & several[grams]] = OPEN
-        bucket = TaskContext.get().partitionId()
+            kind[open_groups(changes([lead, gram]), new)] = OPEN
         out = np.flatnonzero(kind >= 0)
-        for low in range(0, out.size, 1 << 16):
-            own = out[low : low + (1 << 16)]
-            yield found_batch(kind[own], bucket, [c[own] for c in columns])
+        yield from reported(RECORD, kind[out], [c[out] for c in columns])
         if single:
-            yield found_batch(np.array([LAST], np.int32), bucket, last)
+            yield from reported(RECORD, np.array([LAST], np.int32), [c[-1:] for c in columns])
 
     return run
 
 
-def found_batch(kind: np.ndarray, bucket: int, columns: list[np.ndarray]) -> pa.RecordBatch:
-    arrays = [pa.array(kind, pa.int32()), pa.array(np.full(kind.size, bucket, np.int32)), *(pa.array(c, pa.int64()) for c in columns)]
-    return pa.RecordBatch.from_arrays(arrays, ["kind", "bucket", "lead", "gram", "digest", "doc", "place"])
+def sort_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sort a bucket of cells and report the windows that repeat an earlier one, as runs.
 
-
-def sorted_records(records: DataFrame, buckets: int, single: bool) -> DataFrame:
+    Cells with equal cores and sides are settled by their first; the firsts of one core are
+    compared window by window. Firsts whose core stands at an end of the bucket are left open.
+    """
+    columns = whole_bucket(batches)
+    if not columns:
+        return
+    lead, core, left, right, doc, place = columns
+    core_new, new = changes([lead, core]), changes([lead, core, left, right])
+    settled = repeats_of_first(new, doc, place)
+    group = np.cumsum(core_new) - 1
+    firsts = np.flatnonzero(new & (np.bincount(group[new]) > 1)[group])
+    again = np.zeros((new.size, CELL), dtype=bool)
+    for j in range(CELL):
+        a, b, fits = cell_windows(left, right, j)
+        again[settled, j] = fits[settled]
+        own = firsts[fits[firsts]]
+        if own.size:
+            order = own[np.lexsort((place[own], doc[own], b[own], a[own], group[own]))]
+            again[order[repeats_of_first(changes([group[order], a[order], b[order]]), doc[order], place[order])], j] = True
+    # Neighbouring windows of a cell become one run: column j starts j bytes before the core.
+    edge = np.diff(np.pad(again.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, low = np.nonzero(edge == 1)
+    _, high = np.nonzero(edge == -1)
+    start, _, _ = unpack(place[row])
+    runs = pack(place[row] >> 47, start - (high - 1), high - low)
+    zero = np.zeros(row.size, np.int64)
+    yield from reported(CELLS, np.full(row.size, REPEATED, np.int32), [zero, zero, zero, zero, doc[row], runs])
+    at_end = np.flatnonzero(new & ((group == 0) | (group == group[-1])))
+    yield from reported(CELLS, np.full(at_end.size, OPEN, np.int32), [c[at_end] for c in columns])
+
+
+def in_buckets(records: DataFrame, buckets: int, names: list[str], fn) -> DataFrame:
     """Range-partition by sampled splitters, sort the buckets, store what they report."""
-    spread = records.repartitionByRange(buckets, "lead", "gram", "digest", "doc", "place")
-    return cut_lineage(spread.mapInArrow(sort_bucket(single), FOUND))
+    spread = records.repartitionByRange(buckets, *names)
+    return cut_lineage(spread.mapInArrow(fn, f"kind int, bucket int, {longs(names)}"))
 
 
 def across_boundaries(found: DataFrame) -> list[tuple[int, int]]:
@@ -263,44 +371,46 @@ def across_boundaries(found: DataFrame) -> list[tuple[int, int]]:
     ends = found.filter(F.col("kind").isin(FIRST, LAST)).collect()  # two rows of each bucket
     firsts = {r["bucket"]: r for r in ends if r["kind"] == FIRST}
     lasts = {r["bucket"]: r for r in ends if r["kind"] == LAST}
+    key = lambda r: (r["lead"], r["gram"], r["digest"])
     out, before = [], None
     for bucket in sorted(firsts):
         first, last = firsts[bucket], lasts[bucket]
-        key = (first["lead"], first["digest"])
-        if before is not None and key == before[0] and (first["doc"], first["place"]) != before[1]:
+        if before is not None and key(first) == key(before) and (first["doc"], first["place"]) != (before["doc"], before["place"]):
             out.append((first["doc"], first["place"]))
-        before = ((last["lead"], last["digest"]), (last["doc"], last["place"]))
+        before = last
     return out
 
 
 def repeated_windows(docs: DataFrame, length: int = 100, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc``, ``tie`` and ``places``: the runs of windows of a row that start earlier elsewhere."""
-    if not GRAM + 8 <= length <= GRAM + 127:
-        raise ValueError(f"the length has to be from {GRAM + 8} to {GRAM + 127}")
+    if not GRAM + CELL <= length <= GRAM + 127:
+        raise ValueError(f"the length has to be from {GRAM + CELL} to {GRAM + 127}")
     spark, rows = docs.sparkSession, keyed(docs)
+    several = lambda n: max(1, -(-n // bucket_bytes))
     size = rows.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    buckets = max(1, -(-size // bucket_bytes))
-    found = sorted_records(rows.mapInArrow(suffix_records(length), RECORD), buckets, False)
-    owner = (F.col("doc"), F.shiftright("place", 47).alias("tie"), "place")
-    undecided = found.filter(F.col("kind") == OPEN).select(*owner).groupBy("doc", "tie").agg(F.collect_list("place").alias("places"))
-    windows = rows.join(undecided, ["doc", "tie"]).select("doc", "tie", "bytes", "places").mapInArrow(window_records(length), RECORD)
-    n_open = found.filter(F.col("kind") == OPEN).agg(F.sum(F.col("place").bitwiseAND(127))).first()[0] or 0
-    single = sorted_records(windows, max(1, -(-n_open * 39 // bucket_bytes)), True)
+    found = in_buckets(rows.mapInArrow(suffix_records(length), longs(RECORD)), several(size), RECORD, sort_bucket(False))
+    owner = ("doc", F.shiftright("place", 47).alias("tie"), "place")
+    left_open = found.filter(F.col("kind") == OPEN)
+    n_cells = (left_open.count() * 7) * 50  # about 50 bytes for each of some seven cells
+    undecided = left_open.select(*owner).groupBy("doc", "tie").agg(F.collect_list("place").alias("places"))
+    cells = rows.join(undecided, ["doc", "tie"]).select("doc", "tie", "bytes", "places").mapInArrow(cell_records(length), longs(CELLS))
+    cells = in_buckets(cells, several(n_cells), CELLS, sort_cells)
+    at_ends = cells.filter(F.col("kind") == OPEN).select(*CELLS)
+    single = at_ends.mapInArrow(single_windows, longs(RECORD))
+    single = in_buckets(single, several(at_ends.count() * CELL * 50), RECORD, sort_bucket(True))
     late = spark.createDataFrame(across_boundaries(single), "doc long, place long")
-    repeats = found.filter(F.col("kind") == REPEATED).select("doc", "place")
-    repeats = repeats.union(single.filter(F.col("kind") == REPEATED).select("doc", "place")).union(late)
-    return repeats.select(*owner).groupBy("doc", "tie").agg(F.collect_list("place").alias("places"))
+    for table in (found, cells, single):
+        late = late.union(table.filter(F.col("kind") == REPEATED).select("doc", "place"))
+    return late.select(*owner).groupBy("doc", "tie").agg(F.collect_list("place").alias("places"))
 
 
 def removed_runs(places: list[int] | None, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of bytes that the windows cover."""
-    place = np.sort(np.array(places or [], dtype=np.int64))
-    start = (place >> 7) & ((1 << 40) - 1)
-    end = start + (place & 127) - 1 + length
+    start, _, count = unpack(np.sort(np.array(places or [], dtype=np.int64)))
+    end = start + count - 1 + length
     if not start.size:
         return start, end
-    order = np.argsort(start, kind="stable")
-    start, end = start[order], np.maximum.accumulate(end[order])
+    end = np.maximum.accumulate(end)
     new = np.concatenate(([True], start[1:] > end[:-1]))
     return start[new], end[np.append(np.flatnonzero(new)[1:] - 1, start.size - 1)]
 
