@@ -1,0 +1,238 @@
+"""Near-duplicate groups of a given shingle similarity, by wide SimHash and BK-trees.
+
+A radius of 2 of 64 bits finds texts that are almost equal. Texts whose word shingles
+have a Jaccard similarity of 0.8 differ in about 15% of the bits, so here a fingerprint
+has 256 bits, and texts meet in shards named by ten min-hashes of their shingles: a pair of
+similarity 0.8 misses all ten shards once in ten million cases. Where a shard holds too many
+texts, it is cut by the other nine min-hashes in the same way. In a shard, the BK-tree of
+the fingerprints gives the pairs within the radius. They are sorted by distance into three
+edge-disjoint least spanning forests, so links stay linear in the size of a group. The
+links of the first forest are checked by the exact Jaccard similarity of their shingle
+sets; those of the others are checked where they would still join two groups. (A group is
+split only if all three forests fail between its parts; the tests compare with brute force.)
+
+Equal word sequences are one text from the start. Texts without words (null ones too) are equal
+to each other. Of a group, the row with the smallest ``doc_id`` stays (null ids last; of rows that
+repeat an id, one). An empty table gives an empty one.
+"""
+
+from __future__ import annotations
+
+import itertools
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from shelfcast.llm.common import utf8
+from shelfcast.llm.components import components
+from shelfcast.llm.simhash import FRONTIER, Forest, join_labels, majority, shingle_hashes
+from shelfcast.session import cut_lineage
+
+WIDTH = 5
+SIMILARITY = 0.8
+WORDS = 4
+HASHES = 10
+SHARD_ROWS = 1 << 12
+FORESTS = 3
+MIX = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * i + 3, 1 << 64) | 1) for i in range(HASHES + WORDS)]
+
+
+def radius_for(similarity: float, bits: int = 64 * WORDS) -> int:
+    """Bits that differ at this Jaccard similarity, and three standard deviations more."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(np.ceil(bits * share + 3 * np.sqrt(bits * share * (1 - share))))
+
+
+def mixed(hashes: np.ndarray, i: int) -> np.ndarray:
+    h = (hashes ^ (hashes >> np.uint64(31))) * MIX[i]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def sequence_key(text: bytes) -> tuple[int, int]:
+    """128 bits of the lower-cased words."""
+    joined = b" ".join(text.lower().split())
+    return xxhash.xxh3_64_intdigest(joined, 1), xxhash.xxh3_64_intdigest(joined, 2)
+
+
+def described(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id``, ``tie`` of the row, the key ``k1``, ``k2`` of its word sequence, min-hashes and fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, least, marks = [], [], []
+            for text in utf8(batch.column(2)):
+                hashes = shingle_hashes(text, width)
+                hashes = np.unique(hashes) if hashes.size else np.zeros(1, np.uint64)
+                keys.append(sequence_key(text))
+                least.append([int(mixed(hashes, i).min()) for i in range(HASHES)])
+                marks.append([majority(mixed(hashes, HASHES + i)) for i in range(WORDS)])
+            n = batch.num_rows
+            signed = lambda v, w: np.array(v, dtype=np.uint64).reshape(n, w).view(np.int64)
+            lists = lambda v, w: pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * w, pa.int32()), pa.array(signed(v, w).ravel()))
+            key = signed(keys, 2)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(key[:, 0]), pa.array(key[:, 1]), lists(least, HASHES), lists(marks, WORDS)],
+                ["doc_id", "tie", "k1", "k2", "least", "marks"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
+    return rows.mapInArrow(run, f"doc_id {kind}, tie long, k1 long, k2 long, least array<long>, marks array<long>")
+
+
+def shards(texts: DataFrame, shard_rows: int) -> DataFrame:
+    """``shard``, ``part``, ``id`` and ``marks``: each text in the shard of each of its min-hashes."""
+    rows = texts.select("id", "marks", "least", F.posexplode("least").alias("i", "value"))
+    rows = rows.withColumn("shard", F.xxhash64("i", "value"))
+    large = rows.groupBy("shard").count().filter(F.col("count") > shard_rows).select("shard", F.lit(True).alias("large"))
+    others = F.transform("least", lambda v, j: F.xxhash64(j, v))
+    part = F.when(F.col("large"), others).otherwise(F.array(F.lit(0).cast("long")))
+    return rows.join(large, "shard", "left").select("shard", F.explode(part).alias("part"), "id", "marks")
+
+
+def take_spanning(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links join two parts, taken one after the other as far as order matters."""
+    taken = np.zeros(a.size, dtype=bool)
+    while True:
+        apart = np.flatnonzero(label[a] != label[b])
+        if not apart.size:
+            return taken
+        _, first = np.unique(np.maximum(label[a[apart]], label[b[apart]]), return_index=True)
+        chosen = apart[first]
+        taken[chosen] = True
+        join_labels(label, a[chosen], b[chosen])
+
+
+def spanning(ids: np.ndarray, marks: np.ndarray, group: np.ndarray, radius: int) -> list[np.ndarray]:
+    """Links (ends, number of the forest) of disjoint least spanning forests of each group's pairs within the radius."""
+    forest = Forest(marks, group)
+    found = [(q.astype(np.int32), n.astype(np.int32), d.astype(np.int16)) for at in range(0, ids.size, FRONTIER) for q, n, d in forest.near(np.arange(at, min(ids.size, at + FRONTIER)), radius)]
+    if not found:
+        return [ids[:0], ids[:0], ids[:0]]
+    a, b, d = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(d, kind="stable")
+    a, b, d = a[order], b[order], d[order]
+    labels, out = [np.arange(ids.size) for _ in range(FORESTS)], []
+    for low, high in itertools.pairwise([*np.flatnonzero(np.diff(d, prepend=-1)), d.size]):
+        x, y = a[low:high], b[low:high]
+        for n, label in enumerate(labels):
+            taken = take_spanning(label, x, y)
+            out.append((x[taken], y[taken], np.full(int(taken.sum()), n)))
+            x, y = x[~taken], y[~taken]
+    a, b, n = (np.concatenate(c) for c in zip(*out, strict=True))
+    return [ids[a], ids[b], n]
+
+
+def group_runs(group: np.ndarray, large: int = 512) -> Iterator[slice]:
+    """Runs of whole groups; a large group is a run of its own, so that its pairs alone are in memory."""
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    ends = np.append(starts[1:], group.size)
+    begin = 0
+    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+        if e - s > large:
+            if s > begin:
+                yield slice(begin, s)
+            yield slice(s, e)
+            begin = e
+        elif e - begin > 1 << 14:
+            yield slice(begin, e)
+            begin = e
+    if begin < group.size:
+        yield slice(begin, group.size)
+
+
+def shard_links(radius: int, batch_rows: int = 1 << 16):
+    """Read rows sorted by shard, whole shards at a time, and emit each shard's spanning links."""
+
+    def links(keys: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
+        group = np.cumsum(np.concatenate(([False], (keys[1:] != keys[:-1]).any(axis=1))))
+        several = np.bincount(group)[group] > 1
+        ids, marks, group = ids[several], marks[several], group[several]
+        for own in group_runs(group):
+            a, b, n = spanning(ids[own], marks[own], group[own], radius)
+            columns = [np.maximum(a, b), np.minimum(a, b), n]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "forest"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in (0, 1)], axis=1)
+            marks = batch.column(3).flatten().to_numpy().reshape(batch.num_rows, -1).view(np.uint64)
+            held.append((keys, batch.column(2).to_numpy(), marks))
+            if sum(len(k) for k, _, _ in held) < batch_rows:
+                continue
+            whole = [np.concatenate(c) for c in zip(*held, strict=True)]
+            other = np.flatnonzero((whole[0] != whole[0][-1]).any(axis=1))
+            last = int(other[-1]) + 1 if other.size else 0
+            if last:
+                yield from links(*(c[:last] for c in whole))
+            held = [tuple(c[last:] for c in whole)]
+        if held:
+            yield from links(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    return run
+
+
+def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
+    """``id`` and ``set``, the sorted distinct shingle hashes, of rows with ``id`` and ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, width)).view(np.int64) for t in utf8(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "set"])
+
+    return docs.select("id", "text").mapInArrow(run, "id long, set array<long>")
+
+
+def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links whose shingle sets are similar enough."""
+    left = links.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
+    both = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    return both.filter(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
+
+
+def similar_groups(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """``doc_id`` and ``tie`` of the row that stays of each group."""
+    rows = cut_lineage(described(docs, width))
+    # A text's id is its key folded to 64 bits; the smallest row of equal texts stands for them.
+    ordered = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.col("tie"))
+    rows = rows.withColumn("id", F.xxhash64("k1", "k2"))
+    texts = cut_lineage(
+        rows.groupBy("id").agg(F.min(ordered).alias("least_row"), F.first("least").alias("least"), F.first("marks").alias("marks"))
+    )
+    placed = shards(texts, shard_rows).repartition("shard", "part").sortWithinPartitions("shard", "part", "id")
+    links = placed.mapInArrow(shard_links(radius_for(similarity)), "a long, b long, forest long")
+    links = cut_lineage(links.groupBy("a", "b").agg(F.min("forest").alias("forest")))
+    linked = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
+    wanted = linked.join(texts, "id").select("id", F.col("least_row.doc_id").alias("w_id"), F.col("least_row.tie").alias("w_tie"))
+    named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
+    chosen = named.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("tie") == F.col("w_tie"))).select("id", "text")
+    sets = cut_lineage(shingle_sets(chosen, width).dropDuplicates(["id"]))
+    sure = cut_lineage(verified(links.filter("forest = 0"), sets, similarity))
+    parts = components(sure)
+    end = lambda c: parts.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    rest = links.filter("forest > 0").join(end("a"), "a", "left").join(end("b"), "b", "left")
+    rest = rest.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    roots = components(sure.union(verified(rest.select("a", "b"), sets, similarity))).withColumnRenamed("node", "id")
+    grouped = texts.select("id", "least_row").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    stays = grouped.groupBy("root").agg(F.min("least_row").alias("stay"))
+    return stays.select(F.col("stay.doc_id").alias("doc_id"), F.col("stay.tie").alias("tie"))
+
+
+def without_near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row of each group of near duplicates, with the columns of ``docs``."""
+    stays = similar_groups(docs, width, similarity, shard_rows).select(F.col("doc_id").alias("_stay_id"), F.col("tie").alias("_stay_tie"))
+    tie = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = F.col("doc_id").eqNullSafe(F.col("_stay_id")) & (F.col("_row_tie") == F.col("_stay_tie"))
+    kept = docs.withColumn("_row_tie", tie).join(stays, same, "left_semi")
+    # Rows that repeat both id and text: one of them.
+    one = F.row_number().over(Window.partitionBy("doc_id", "_row_tie").orderBy(F.col("_row_tie")))
+    return kept.withColumn("_one", one).filter("_one = 1").select(*docs.columns)

@@ -43,23 +43,32 @@ BATCH_ROWS = 1 << 18
 FRONTIER = 1 << 18
 
 
-def fingerprint(text: bytes, width: int) -> int:
-    """Unsigned 64-bit fingerprint of UTF-8 bytes."""
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """Unsigned XXH64 of every word shingle, repeats included; none for a text without words."""
     words = text.lower().split()  # bytes: A-Z only, ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(words)
     ends = list(itertools.accumulate([len(w) + 1 for w in words]))
     last = max(1, len(words) - width + 1)
     starts = [0, *ends[: last - 1]]
     stops = [e - 1 for e in ends[width - 1 :]] or [len(joined)]
     hash64 = xxhash.xxh64_intdigest
-    hashes = np.fromiter((hash64(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), dtype=np.uint64, count=last)
+    return np.fromiter((hash64(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), dtype=np.uint64, count=last)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each set if more than half of the hashes have it."""
     set_in = np.zeros(64, dtype=np.int64)
-    for at in range(0, last, 1 << 15):
+    for at in range(0, hashes.size, 1 << 15):
         part = hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8)
         set_in += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * set_in > last, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * set_in > hashes.size, bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(text: bytes, width: int) -> int:
+    """Unsigned 64-bit fingerprint of UTF-8 bytes."""
+    return majority(shingle_hashes(text, width))
 
 
 def fingerprints(docs: DataFrame, width: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -114,16 +123,16 @@ class Forest:
     """
 
     def __init__(self, fps: np.ndarray, group: np.ndarray):
-        """``group`` is ascending; fingerprints differ within a group."""
-        self.fps = fps
+        """``group`` is ascending; fingerprints have one 64-bit word or a row of several."""
+        self.fps = fps.reshape(len(fps), -1)
+        self.keys = 64 * self.fps.shape[1] + 1
         first = np.concatenate(([True], group[1:] != group[:-1]))
         self.root = np.flatnonzero(first)[np.cumsum(first) - 1]
         parents, children = [], []
         waiting = np.flatnonzero(~first)
         at = self.root[waiting]
         while waiting.size:
-            distance = np.bitwise_count(fps[waiting] ^ fps[at]).astype(np.int64)
-            code = at * 65 + distance
+            code = at * self.keys + self.distance(waiting, at)
             order = np.argsort(code, kind="stable")
             waiting, code = waiting[order], code[order]
             new = np.concatenate(([True], code[1:] != code[:-1]))
@@ -137,8 +146,11 @@ class Forest:
         order = np.argsort(code, kind="stable")
         self.codes, self.children = code[order], child[order]
 
-    def near(self, query: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (query, node) of fingerprint indexes within the radius, in bounded blocks."""
+    def distance(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(self.fps[a] ^ self.fps[b]).sum(axis=1, dtype=np.int64)
+
+    def near(self, query: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(query, smaller node, distance) of fingerprint indexes within the radius, in bounded blocks."""
         stack = [(query, self.root[query])]
         while stack:
             query, node = stack.pop()
@@ -146,12 +158,12 @@ class Forest:
                 half = query.size // 2
                 stack += [(query[half:], node[half:]), (query[:half], node[:half])]
                 continue
-            distance = np.bitwise_count(self.fps[query] ^ self.fps[node]).astype(np.int64)
+            distance = self.distance(query, node)
             hit = (distance <= radius) & (node < query)
             if hit.any():
-                yield query[hit], node[hit]
-            low = np.searchsorted(self.codes, node * 65 + np.maximum(distance - radius, 0))
-            high = np.searchsorted(self.codes, node * 65 + np.minimum(distance + radius, 64), "right")
+                yield query[hit], node[hit], distance[hit]
+            low = np.searchsorted(self.codes, node * self.keys + np.maximum(distance - radius, 0))
+            high = np.searchsorted(self.codes, node * self.keys + np.minimum(distance + radius, self.keys - 1), "right")
             many = high - low
             total = int(many.sum())
             if total:
@@ -180,7 +192,7 @@ def linked(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray,
     forest = Forest(fps, group)
     label = np.arange(fps.size)
     for start in range(0, fps.size, FRONTIER):
-        for a, b in forest.near(np.arange(start, min(fps.size, start + FRONTIER)), radius):
+        for a, b, _ in forest.near(np.arange(start, min(fps.size, start + FRONTIER)), radius):
             join_labels(label, a, b)
     moved = np.flatnonzero(label != np.arange(fps.size))
     return fps[moved], fps[label[moved]]

@@ -88,7 +88,7 @@ def test_forest_finds_every_pair():
     group = np.sort(rng.integers(0, 5, 400))
     fps = rng.permutation(1 << 12)[:400].astype(np.uint64)
     forest = S.Forest(fps, group)
-    got = {(int(a), int(b)) for q, n in forest.near(np.arange(400), 2) for a, b in zip(q, n)}
+    got = {(int(a), int(b)) for q, n, _ in forest.near(np.arange(400), 2) for a, b in zip(q, n)}
     want = {(a, b) for a in range(400) for b in range(a) if group[a] == group[b] and int(fps[a] ^ fps[b]).bit_count() <= 2}
     assert got == want
 
