@@ -27,9 +27,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from shelfcast.llm.common import slices
+
 ROLL = 8
-ROWS = 256
-STORE_BYTES = 64 << 20
+ROWS = 128
+STORE_BYTES = 24 << 20
 FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(ROLL)]
 
 
@@ -135,14 +137,12 @@ def encode(docs: DataFrame, path: str, chunk_bits: int = 7) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, chunk_bits)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(at, ROWS)
-                ids = own.encode_batch([t or "" for t in rows.column(1).to_pylist()])
-                texts = [own.decode(x) for x in ids]
-                flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([rows.column(0), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+        for rows in slices(batches, ROWS):
+            ids = own.encode_batch([t or "" for t in rows.column(1).to_pylist()])
+            texts = [own.decode(x) for x in ids]
+            flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([rows.column(0), lists, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
 
@@ -152,19 +152,17 @@ def digests(docs: DataFrame, path: str, chunk_bits: int = 7) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, chunk_bits)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(at, ROWS)
-                ids = own.encode_batch([t or "" for t in rows.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column(0),
-                        pa.array([x.size for x in ids], pa.int64()),
-                        pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()),
-                        pa.array([hashlib.sha256(own.decode(x).encode()).hexdigest() for x in ids], pa.string()),
-                    ],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        for rows in slices(batches, ROWS):
+            ids = own.encode_batch([t or "" for t in rows.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column(0),
+                    pa.array([x.size for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(own.decode(x).encode()).hexdigest() for x in ids], pa.string()),
+                ],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

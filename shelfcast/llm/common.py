@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,23 +28,8 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.large_binary()).to_pylist()]
 
 
-def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Turn a function of one Arrow batch into one for ``mapInArrow``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield fn(batch)
-
-    return run
-
-
-def pieces(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that ``column`` holds about ``limit`` bytes in each piece (one row at least)."""
-    held, start = 0, 0
-    for i, v in enumerate(batch.column(column).cast(pa.large_binary())):
-        held += len(v.as_py() or b"")
-        if held >= limit:
-            yield batch.slice(start, i + 1 - start)
-            held, start = 0, i + 1
-    if start < batch.num_rows:
-        yield batch.slice(start)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Parts of Arrow batches, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import slices
+
 GRAMS = 1 << 14
 PER_LANGUAGE = 4000
 PIECE = 1 << 16
@@ -139,7 +141,7 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, n_grams: int = GRAM
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = sums.setdefault(lang, np.zeros(n_grams, dtype=np.int64))
                 for piece in text_pieces(text):
@@ -181,8 +183,8 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = broadcast.value
-        for batch in batches:
-            lang, score, unsure = zip(*map(own.predict, batch.column(0).to_pylist()), strict=True) if batch.num_rows else ((), (), ())
+        for batch in slices(batches):
+            lang, score, unsure = zip(*map(own.predict, batch.column(0).to_pylist()), strict=True)
             new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *new], [*names, "lang_pred", "score", "ambiguous"])
 

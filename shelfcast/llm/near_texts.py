@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import utf8
+from shelfcast.llm.common import slices, utf8
 from shelfcast.llm.components import components
 from shelfcast.llm.simhash import FRONTIER, Forest, join_labels, majority, shingle_hashes
 from shelfcast.session import cut_lineage
@@ -63,7 +63,7 @@ def described(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id``, ``tie`` of the row, the key ``k1``, ``k2`` of its word sequence, min-hashes and fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys, least, marks = [], [], []
             for text in utf8(batch.column(2)):
                 hashes = shingle_hashes(text, width)
@@ -131,7 +131,7 @@ def spanning(ids: np.ndarray, marks: np.ndarray, group: np.ndarray, radius: int)
 def group_runs(group: np.ndarray, large: int = 512) -> Iterator[slice]:
     """Runs of whole groups; a large group is a run of its own, so that its pairs alone are in memory."""
     starts = np.flatnonzero(np.diff(group, prepend=-1))
-    ends = np.append(starts[1:], group.size)
+    ends = np.append(starts, group.size)[1:]
     begin = 0
     for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
         if e - s > large:
@@ -184,7 +184,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """``id`` and ``set``, the sorted distinct shingle hashes, of rows with ``id`` and ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [np.unique(shingle_hashes(t, width)).view(np.int64) for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "set"])
 

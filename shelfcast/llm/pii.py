@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import slices
 from shelfcast.session import broadcast_if_small, cut_lineage
 
 # Kinds of personal data, in the order in which spans are listed.
@@ -138,7 +139,7 @@ def base_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spot = pa.struct([("start", pa.int32()), ("end", pa.int32())])
         context = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("spots", pa.list_(spot))]))
-        for batch in batches:
+        for batch in slices(batches):
             counts: list[list[int]] = [[] for _ in KINDS]
             bases, entities, near = [], [], []
             for text in batch.column(2).to_pylist():

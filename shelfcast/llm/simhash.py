@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import utf8
+from shelfcast.llm.common import slices, utf8
 from shelfcast.llm.components import components
 from shelfcast.session import cut_lineage
 
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, width: int = 3, keep: tuple[str, ...] = ()) ->
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([fingerprint(t, width) for t in utf8(batch.column(0))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found.view(np.int64))], [*names, "fp"])
 

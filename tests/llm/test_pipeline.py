@@ -107,3 +107,11 @@ def test_run_and_empty_input(spark, tables, no_docs, awkward, tmp_path):
         docs.write.parquet(str(tmp_path / name / "documents.parquet"))
         rows = C.run(spark, str(tmp_path / name)).collect()
         assert (name == "none") == (not rows)
+
+
+def test_runs_of_groups():
+    import numpy as np
+
+    assert list(N.group_runs(np.zeros(0, int))) == []
+    group = np.repeat([0, 1, 2, 5], [3, 600, 2, 1])
+    assert [(s.start, s.stop) for s in N.group_runs(group)] == [(0, 3), (3, 603), (603, 606)]
