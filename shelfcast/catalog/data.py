@@ -120,13 +120,15 @@ def r2_last_28_days(spark, sf_dir):
     return P.trailing_days(train, 28).groupBy("id").agg(F.sum("sales").alias("sales"))
 
 
+_STORES = [f"{s}_{n}" for s in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST") for n in (0, 1)]
+
+
 @query(
     "r3_metric_matrix",
     R.with_panel(
-        """SELECT metric,
-          max(value) FILTER (store_id = 'AFRICA_0') AS AFRICA_0, max(value) FILTER (store_id = 'AFRICA_1') AS AFRICA_1,
-          max(value) FILTER (store_id = 'AMERICA_0') AS AMERICA_0, max(value) FILTER (store_id = 'AMERICA_1') AS AMERICA_1,
-          max(value) FILTER (store_id = 'ASIA_0') AS ASIA_0, max(value) FILTER (store_id = 'ASIA_1') AS ASIA_1
+        "SELECT metric, "
+        + ", ".join(f"max(value) FILTER (store_id = '{s}') AS \"{s}\"" for s in _STORES)
+        + """
         FROM (SELECT store_id, 'total_sales' AS metric, sum(sales) AS value FROM panel GROUP BY store_id
               UNION ALL SELECT store_id, 'mean_sales', round(avg(sales), 6) + 0.0 FROM panel GROUP BY store_id)
         GROUP BY metric"""
@@ -136,8 +138,7 @@ def r3_metric_matrix(spark, sf_dir):
     stores = R.panel(spark, sf_dir).groupBy("store_id").agg(
         F.sum("sales").alias("total_sales"), R.r6(F.avg("sales")).alias("mean_sales")
     )
-    names = [f"{s}_{n}" for s in ("AFRICA", "AMERICA", "ASIA") for n in (0, 1)]
-    return reshape.metric_matrix(stores, "store_id", ["total_sales", "mean_sales"], names)
+    return reshape.metric_matrix(stores, "store_id", ["total_sales", "mean_sales"], _STORES)
 
 
 @query("p1_tolerant_projection", R.with_panel("SELECT state_id, id, date, sales FROM panel JOIN sparse USING (item_id, store_id, date, sales)"))
@@ -180,12 +181,13 @@ def _narrow_sql() -> str:
         )
 
     text = [f"SELECT '{c}', 'string'" for c in ("l_returnflag", "l_linestatus")]
+    text.append("SELECT 'l_shipdate', 'timestamp_ntz'")  # dates stay as they are
     return " UNION ALL ".join([whole(c) for c in _WHOLE] + [floating(c) for c in _FLOATING] + text)
 
 
 @query("p3_narrow_types", _narrow_sql())
 def p3_narrow_types(spark, sf_dir):
-    lines = R.table(spark, sf_dir, "lineitem").drop("l_shipdate")
+    lines = R.table(spark, sf_dir, "lineitem")
     narrow = P.narrow_types(lines)
     types = narrow.agg(*[F.max(F.typeof(c)).alias(c) for c in narrow.columns])
     return types.unpivot([], narrow.columns, "column_name", "narrow_type")

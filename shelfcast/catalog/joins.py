@@ -157,16 +157,17 @@ _GAPPY = "gappy AS (SELECT s.id, x.date, x.sales FROM sparse x JOIN series s USI
 _BY_DAY = "(PARTITION BY id ORDER BY date"
 
 
-@query(
-    "j9_calendar_lags",
-    R.with_panel(
-        "SELECT g.id, g.date, "
-        + ", ".join(f"coalesce(l{n}.sales, 0.0) AS sales_lag_{n}" for n in LAGS)
-        + " FROM gappy g "
-        + " ".join(f"LEFT JOIN gappy l{n} ON l{n}.id = g.id AND l{n}.date = g.date - {n}" for n in LAGS),
-        _GAPPY,
-    ),
+_LAGS_SQL = (
+    f"WITH {R.SHIPMENTS_SQL}, "
+    "gappy AS MATERIALIZED (SELECT concat_ws('_', item_id, store_id) AS id, date, sum(l_quantity) AS sales FROM ship GROUP BY ALL) "
+    "SELECT g.id, g.date, "
+    + ", ".join(f"coalesce(l{n}.sales, 0.0) AS sales_lag_{n}" for n in LAGS)
+    + " FROM gappy g "
+    + " ".join(f"LEFT JOIN gappy l{n} ON l{n}.id = g.id AND l{n}.date = g.date - {n}" for n in LAGS)
 )
+
+
+@query("j9_calendar_lags", _LAGS_SQL)
 def j9_calendar_lags(spark, sf_dir):
     """On the rows with shipments only, where days are missing."""
     lagged = X.add_calendar_lags(R.daily_sales(spark, sf_dir))

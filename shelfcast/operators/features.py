@@ -44,35 +44,17 @@ def lag_columns(lag_days: list[int], w: WindowSpec) -> dict[str, Column]:
 def with_rolling(df: DataFrame, windows: list[int], lag: int, group_cols: list[str]) -> DataFrame:
     """Mean and deviation over the ``k`` rows that end ``lag`` rows back.
 
-    Running counts, sums and squares are kept once per series and each window
-    is a difference of two of them, so the work does not grow with the window
-    lengths. Sales are first shifted by the series' mean, rounded to a whole
-    number: unit counts stay exact and squares stay small.
+    Each window has a bounded frame of its own, so a value outside of it leaves no
+    trace: differences of running sums would keep the rounding of a spike for good.
+    All frames share one shuffle and one sort.
     """
     w = by_series(group_cols)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    shift = F.coalesce(F.rint(F.avg("sales").over(Window.partitionBy(*group_cols))), F.lit(0.0))
-    moved = F.col("sales") - F.col("_shift")
-    df = df.withColumn("_shift", shift).withColumns(
-        {
-            "_n": F.count("sales").over(run),
-            "_s": F.coalesce(F.sum(moved).over(run), F.lit(0.0)),
-            "_q": F.coalesce(F.sum(moved * moved).over(run), F.lit(0.0)),
-        }
-    )
-    # one lag per distance, of all running values at once
-    state = F.struct("_n", "_s", "_q")
-    none = F.struct(F.lit(0).cast("long").alias("_n"), F.lit(0.0).alias("_s"), F.lit(0.0).alias("_q"))
-    ago = lambda rows: F.coalesce(F.lag(state, rows).over(w), none)
-    distances = {lag, *[lag + k for k in windows]}
-    df = df.withColumns({f"_ago{d}": ago(d) for d in sorted(distances)})
     out = {}
     for k in windows:
-        n, s, q = [F.col(f"_ago{lag}.{c}") - F.col(f"_ago{lag + k}.{c}") for c in ("_n", "_s", "_q")]
-        spread = F.greatest(q - s * s / n, F.lit(0.0))
-        out[f"rolling_mean_{k}"] = F.when(n > 0, F.col("_shift") + s / n)
-        out[f"rolling_std_{k}"] = F.when(n > 1, F.sqrt(spread / (n - 1)))
-    return df.withColumns(out).drop("_shift", "_n", "_s", "_q", *[f"_ago{d}" for d in distances])
+        frame = w.rowsBetween(-(lag + k - 1), -lag)
+        out[f"rolling_mean_{k}"] = F.avg("sales").over(frame)
+        out[f"rolling_std_{k}"] = F.stddev_samp("sales").over(frame)
+    return df.withColumns(out)
 
 
 def add_lag_features(df: DataFrame, lag_days: list[int] = LAGS, group_cols: list[str] = ["id"]) -> DataFrame:

@@ -92,7 +92,7 @@ def recursive_forecast(
     last = history.agg(F.max("date")).first()[0]
     columns = ["id", "date", "sales", "store_id", "dept_id"]
     recent = history.filter(F.col("date") > F.lit(last - timedelta(days=REACH)))
-    known = cut_lineage(recent.select(*columns).repartition("id"))
+    known = cut_lineage(recent.select(*columns))
     series = cut_lineage(series)
     results = None
     for step in range(1, horizon + 1):

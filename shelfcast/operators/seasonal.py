@@ -21,6 +21,7 @@ from shelfcast.fixed_values import HORIZON, SEASONAL_DEFAULTS
 from shelfcast.functions import dates as D
 from shelfcast.functions.scalars import log_sales, unlog_sales
 from shelfcast.operators.events import holiday_days
+from shelfcast.session import cut_lineage
 
 BLOCKS = ["trend", "yearly", "weekly", "holidays", "regressors"]
 
@@ -218,4 +219,5 @@ def fit_groups(
         .groupBy(group_col)
         .applyInPandas(fit, f"{group_col} {kind}, beta array<double>, sigma double")
     )
-    return SeasonalModel(group_col, design, fitted, holidays, regressors)
+    # Stored, so that prediction, components and saving do not fit again.
+    return SeasonalModel(group_col, design, cut_lineage(fitted), holidays, regressors)

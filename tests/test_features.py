@@ -130,3 +130,16 @@ def test_recursive_forecast_uses_its_own_predictions(retail_df):
     for (i, d), value in new.items():
         before = d - timedelta(days=7)
         assert value == (new[(i, before)] if before > last else old[(i, before)]) + 1
+
+
+def test_rolling_windows_forget_a_spike(spark):
+    """A spike outside the window leaves no trace in its mean and deviation."""
+    sales = [1_000_000.3] + [0.1] * 120 + [0.1 * (i % 7) for i in range(120)]
+    pdf = pd.DataFrame({"id": "A", "date": pd.date_range("2020-01-01", periods=len(sales)).date, "sales": sales})
+    got = X.with_rolling(spark.createDataFrame(pdf), [7, 28], 28, ["id"]).orderBy("date").toPandas()
+    for k in (7, 28):
+        frames = [sales[max(0, i - 28 - k + 1) : max(0, i - 27)] for i in range(len(sales))]
+        mean = [np.mean(f) if f else np.nan for f in frames]
+        spread = [np.std(f, ddof=1) if len(f) > 1 else np.nan for f in frames]
+        assert np.allclose(got[f"rolling_mean_{k}"].astype(float), mean, atol=1e-9, rtol=1e-12, equal_nan=True)
+        assert np.allclose(got[f"rolling_std_{k}"].astype(float), spread, atol=1e-9, rtol=1e-9, equal_nan=True)
