@@ -29,7 +29,7 @@ from shelfcast.llm.blocks import BLOCK_QUERIES, best_of, matrix, per_cell
 from shelfcast.llm.topk import query_classes, ranked, thinned, to_members
 from shelfcast.session import cut_lineage
 
-SAMPLE = 8192
+SAMPLE = 4096
 PART_ROWS = 1600
 MAX_PARTS = 256
 BLOCK_ROWS = 4096
@@ -43,10 +43,11 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """The ``k`` nearest others of each point."""
     out = []
-    for at in range(0, len(x), 1024):
-        d = distances(x[at : at + 1024], x)
+    for at in range(0, len(x), 256):
+        d = distances(x[at : at + 256], x)
         d[np.arange(len(d)), at + np.arange(len(d))] = np.inf
-        out.append(np.argsort(d, axis=1, kind="stable")[:, :k])
+        near = np.argpartition(d, k - 1, axis=1)[:, :k]
+        out.append(np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1))
     return np.concatenate(out)
 
 
@@ -150,8 +151,9 @@ def learn_router(x: np.ndarray, parts: int, k: int = 10, target: float = 0.97, s
 
 def sample_vectors(rows: DataFrame, limit: int) -> np.ndarray:
     """A pseudo-random choice of at most ``limit`` rows."""
-    chosen = rows.select("vec", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(limit).toPandas()
-    return matrix(chosen["vec"])
+    chosen = rows.select("vec", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(limit)
+    vec = chosen.toArrow().column("vec").combine_chunks()  # flat doubles, no Python object for each
+    return vec.flatten().to_numpy().reshape(len(vec), -1)
 
 
 def route(frame: DataFrame, router: Router, most: int) -> DataFrame:
