@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import slices
-from shelfcast.session import broadcast_if_small, cut_lineage
+from shelfcast.session import cut_lineage
 
 # Kinds of personal data, in the order in which spans are listed.
 KINDS = ["email", "ip", "card", "phone"]
@@ -166,13 +166,11 @@ def disclosure(docs: DataFrame, base: DataFrame, min_docs: int = MIN_DOCS, at_le
     """``entity``, ``term`` and ``risk``: the share of an entity's information that a term gives away."""
     near = base.select(F.explode("contexts").alias("c")).select("c.entity", "c.term")
     pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= min_docs)
-    pairs = cut_lineage(pairs)
     with_entity = base.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = cut_lineage(pairs.select("term").distinct())
-    # Each term once for each document that holds it, anywhere in its text.
+    # Each term once for each document that holds it, anywhere in its text. All terms are
+    # counted before the join, so that it meets each term once and not each of its uses.
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(JAVA_TERM), F.lit(0)), F.lower))
-    held = docs.select(F.explode(words).alias("term")).join(broadcast_if_small(terms, terms.count()), "term")
-    with_term = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    with_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     joined = pairs.join(with_entity, "entity").join(with_term, "term", "left")
     n = total.scalar().cast("double")
