@@ -38,6 +38,7 @@ WORDS = 4
 HASHES = 10
 SHARD_ROWS = 1 << 12
 FORESTS = 3
+PAIRS = 1 << 21
 MIX = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * i + 3, 1 << 64) | 1) for i in range(HASHES + WORDS)]
 
 
@@ -108,23 +109,40 @@ def take_spanning(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
         join_labels(label, a[chosen], b[chosen])
 
 
-def spanning(ids: np.ndarray, marks: np.ndarray, group: np.ndarray, radius: int) -> list[np.ndarray]:
-    """Links (ends, number of the forest) of disjoint least spanning forests of each group's pairs within the radius."""
-    forest = Forest(marks, group)
-    found = [(q.astype(np.int32), n.astype(np.int32), d.astype(np.int16)) for at in range(0, ids.size, FRONTIER) for q, n, d in forest.near(np.arange(at, min(ids.size, at + FRONTIER)), radius)]
-    if not found:
-        return [ids[:0], ids[:0], ids[:0]]
-    a, b, d = (np.concatenate(c) for c in zip(*found, strict=True))
+def least_forests(size: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> list[np.ndarray]:
+    """Ends, distance and number of the forest of the links in disjoint least spanning forests."""
     order = np.argsort(d, kind="stable")
     a, b, d = a[order], b[order], d[order]
-    labels, out = [np.arange(ids.size) for _ in range(FORESTS)], []
+    labels, out = [np.arange(size) for _ in range(FORESTS)], []
     for low, high in itertools.pairwise([*np.flatnonzero(np.diff(d, prepend=-1)), d.size]):
         x, y = a[low:high], b[low:high]
         for n, label in enumerate(labels):
             taken = take_spanning(label, x, y)
-            out.append((x[taken], y[taken], np.full(int(taken.sum()), n)))
+            count = int(taken.sum())
+            out.append((x[taken], y[taken], np.full(count, d[low]), np.full(count, n, np.int16)))
             x, y = x[~taken], y[~taken]
-    a, b, n = (np.concatenate(c) for c in zip(*out, strict=True))
+    return [np.concatenate(c) for c in zip(*out, strict=True)]
+
+
+def spanning(ids: np.ndarray, marks: np.ndarray, group: np.ndarray, radius: int, pairs: int = PAIRS) -> list[np.ndarray]:
+    """Links (ends, number of the forest) of disjoint least spanning forests of each group's pairs within the radius.
+
+    Whenever more than ``pairs`` are held they are cut to their forests, so memory is linear in
+    the rows. A link that goes is the heaviest of a circle in every forest, so between any two
+    parts as many links stay, up to one for each forest, as there would be of all pairs.
+    """
+    forest = Forest(marks, group)
+    most, held, waiting = max(pairs, FORESTS * ids.size), [], 0
+    joined = lambda: [np.concatenate(c) for c in zip(*held, strict=True)]
+    for at in range(0, ids.size, FRONTIER):
+        for q, n, d in forest.near(np.arange(at, min(ids.size, at + FRONTIER)), radius):
+            held.append((q.astype(np.int32), n.astype(np.int32), d.astype(np.int16)))
+            waiting += q.size
+            if waiting > most:
+                held, waiting = [least_forests(ids.size, *joined())[:3]], 0
+    if not held:
+        return [ids[:0], ids[:0], ids[:0]]
+    a, b, _, n = least_forests(ids.size, *joined())
     return [ids[a], ids[b], n]
 
 

@@ -4,6 +4,7 @@ import re
 import string
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline as C
@@ -72,6 +73,26 @@ def test_near_copies(spark, shard_rows):
     check_near(near_copies(spark), shard_rows=shard_rows)
 
 
+def test_forests_cut_on_the_way_are_least_too():
+    rng = np.random.default_rng(5)
+    marks = rng.integers(0, 2**63, (300, 4), dtype=np.uint64)
+    marks[:, 1:] = 0
+    marks[:, 0] &= np.uint64(0xFFFF)
+    ids, group = np.arange(300), np.repeat([0, 1, 2], 100)
+    weight, parts = [], []
+    for pairs in (1, 1 << 21):
+        a, b, n = N.spanning(ids, marks, group, 5, pairs)
+        assert (group[a] == group[b]).all() and len({*zip(a.tolist(), b.tolist(), strict=True)}) == a.size
+        for forest in range(N.FORESTS):
+            own, label = n == forest, np.arange(300)
+            assert N.take_spanning(label, a[own], b[own]).all()
+            if forest == 0:
+                parts.append(label.tolist())
+        first = n == 0
+        weight.append(int(np.bitwise_count(marks[a[first]] ^ marks[b[first]]).sum()))
+    assert weight[0] == weight[1] and parts[0] == parts[1]
+
+
 def test_documents_without_near_copies(documents):
     check_near(documents)
 
