@@ -39,6 +39,7 @@ def preprocess_panel(
         "full": coded,
         "hierarchy": panel.build_hierarchy_map(labels),
         "encoders": encoders,
+        "prices": prices,
     }
 
 
@@ -50,7 +51,7 @@ def preprocess(
     states: dict[str, str] = SNAP_STATES,
     narrow: bool = True,
 ) -> dict[str, DataFrame]:
-    """Wide sales, calendar and prices to train, val, full, hierarchy and encoders."""
+    """Wide sales, calendar and prices to train, val, full, hierarchy, encoders and prices."""
     long = panel.merge_calendar(reshape.melt_sales(sales), calendar)
     return preprocess_panel(long, prices, val_days, states, narrow)
 
@@ -144,8 +145,12 @@ class ForecastRun:
         return cut_lineage(joined.select("node_id", "t", F.coalesce("_own", "residual").alias("residual")))
 
     def evaluate(self) -> "ForecastRun":
-        """Reports of the model and the naive forecast, and the weighted scaled error."""
-        val = self.processed["val"].select("id", "date", "sales", "store_id", "cat_id", "dept_id")
+        """Reports of the model and the naive forecast, and the weighted scaled error.
+
+        Keys are the labels of the hierarchy map; revenue takes the mean of the price table's weeks.
+        """
+        tree = self.processed["hierarchy"]
+        val = hierarchy.with_hierarchy(self.processed["val"].select("id", "date", "sales"), tree)
         train = self.processed["train"].select("id", "date", "sales")
         forecasts = self.results["forecasts"]
         naive = metrics.naive_baseline(val, train)
@@ -155,8 +160,7 @@ class ForecastRun:
             self.results["summary"], self.results["naive_summary"]
         )
         self.results["by_level"] = metrics.evaluate_levels(val, forecasts, ["store_id", "cat_id", "dept_id"])
-        priced = self.processed["train"].select("id", "item_id", "store_id", "date", "sales", "sell_price")
-        weights = metrics.revenue_weights(priced, priced)
+        weights = metrics.revenue_weights(hierarchy.with_hierarchy(train, tree), self.processed["prices"])
         self.results["wrmsse"] = metrics.wrmsse(val, forecasts, train, weights)
         return self
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators import boosting as G
+from shelfcast.operators import metrics as M
 from shelfcast.operators import panel as P
 from shelfcast.operators import seasonal as N
 from shelfcast.plans.forecast_run import ForecastRun, preprocess_panel
@@ -131,4 +132,10 @@ def test_forecast_run(spark, retail_df, method):
     assert len(levels) == 9 and levels["total"] == 28 and levels["item_store"] == 168
     assert {r["metric"] for r in run.results["improvement"].collect()} == {"MAE", "RMSE", "MAPE", "SMAPE"}
     assert run.results["wrmsse"].first()[0] > 0
-    assert run.results["by_level"].filter("level = 'total'").count() == 1
+    groups = {(r["level"], r["group"]) for r in run.results["by_level"].collect()}
+    own = {(k, r[k]) for r in retail_df.select("store_id", "cat_id", "dept_id").distinct().collect() for k in r.asDict()}
+    assert groups == own | {("total", "all")}
+    val = retail_df.filter(F.col("date") >= P.validation_start(retail_df))
+    train = retail_df.join(val, ["id", "date"], "left_anti")
+    want = M.wrmsse(val, run.results["forecasts"], train, M.revenue_weights(train, prices)).first()[0]
+    assert run.results["wrmsse"].first()[0] == pytest.approx(want)
