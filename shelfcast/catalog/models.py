@@ -90,7 +90,7 @@ def m5_recursive_forecast(spark, sf_dir):
     model, _, val, full = _trained(spark, sf_dir)
     last = full.groupBy("id").agg(F.max_by(F.struct(*ID_COLUMNS[1:], "sell_price", "snap"), "date").alias("l"))
     series = last.select("id", "l.*").withColumn("has_event", F.lit(0))
-    return V.recursive_forecast(model.predict, series, full, horizon=7)
+    return V.recursive_forecast(model.predict, series, full)
 
 
 @query("m7_early_stopping")
