@@ -3,15 +3,16 @@
 With bottom series b, aggregates a, the membership matrix A and C = [-A I],
 the reconciled forecasts are y - S C' (C S C')^-1 C y, where S is the error
 covariance. C y is the gap of every aggregate from the sum of its members, a
-distributed join. Only C S C', of the size of the aggregates, is inverted;
-with too many aggregates for one machine the system is solved by conjugate
-gradients over joins instead.
+distributed join. The caller names the solver: ``direct`` inverts C S C' on the
+driver, where it takes the square of the number of aggregates in doubles;
+``iterative`` solves by conjugate gradients over joins and holds no matrix.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import date
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import hierarchy as H
 from shelfcast.session import broadcast_if_small, cut_lineage
 
-DIRECT_NODES = 512
+SOLVERS = ("direct", "iterative")
 METHODS = ("bottom_up", "top_down", "ols", "mint")
 
 
@@ -59,43 +60,35 @@ def centred(residuals: DataFrame) -> DataFrame:
     )
 
 
-def time_products(residuals: DataFrame) -> np.ndarray:
-    """Sum over the series of the products of two periods, T by T.
+def shrinkage(residuals: DataFrame, n_series: int, n_periods: int) -> tuple[float, float]:
+    """Ledoit-Wolf weight and mean variance of centred residuals, from three sums.
 
-    Each task multiplies its own series and passes on one T by T matrix.
+    The products of two periods are summed over the series: each task multiplies its own
+    series, the sums are combined in Spark, and one row comes back.
     """
     periods = [r[0] for r in residuals.select("t").distinct().orderBy("t").collect()]
     place = {t: i for i, t in enumerate(periods)}
-    n = len(periods)
     packed = residuals.groupBy("node_id").agg(
         F.collect_list("t").alias("ts"), F.collect_list("residual").alias("xs")
     )
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((n, n))
+        total = np.zeros((n_periods, n_periods))
         for rows in batches:
-            x = np.zeros((len(rows), n))
+            x = np.zeros((len(rows), n_periods))
             for i, (ts, xs) in enumerate(zip(rows["ts"], rows["xs"])):
                 x[i, [place[t] for t in ts]] = xs
             total += x.T @ x
-        yield pd.DataFrame({"i": range(n), "products": list(total)})
+        yield pd.DataFrame({"i": range(n_periods), "products": list(total)})
 
     partial = packed.mapInPandas(multiply, "i int, products array<double>")
-    summed = partial.select("i", F.posexplode("products").alias("j", "v")).groupBy("i", "j").agg(F.sum("v"))
-    out = np.zeros((n, n))
-    for i, j, v in summed.collect():
-        out[i, j] = v
-    return out
-
-
-def shrinkage(products: np.ndarray, n_series: int) -> tuple[float, float]:
-    """Ledoit-Wolf weight and mean variance from the T by T products."""
-    n, periods = n_series, len(products)
-    mean = np.trace(products) / (n * periods)
-    squares = (products**2).sum() / periods**2
-    fourth = (np.diag(products) ** 2).sum()
-    beta = (fourth / periods - squares) / (n * periods)
-    distance = (squares - n * mean**2) / n
+    products = partial.select("i", F.posexplode("products").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
+    own = F.when(F.col("i") == F.col("j"), F.col("v"))
+    trace, squares, fourth = products.agg(F.sum(own), F.sum(F.col("v") * F.col("v")), F.sum(own * own)).first()
+    mean = trace / (n_series * n_periods)
+    squares /= n_periods**2
+    beta = (fourth / n_periods - squares) / (n_series * n_periods)
+    distance = (squares - n_series * mean**2) / n_series
     weight = 0.0 if beta <= 0 or distance <= 0 else min(beta, distance) / distance
     return weight, mean
 
@@ -112,7 +105,7 @@ def estimate_covariance(residuals: DataFrame, method: str = "shrink") -> Covaria
     n_series, periods = size
     if method == "sample":
         return Covariance(0.0, None, periods / max(periods - 1, 1), rows, periods)
-    weight, mean = shrinkage(time_products(rows), n_series)
+    weight, mean = shrinkage(rows, n_series, periods)
     return Covariance(weight * mean, None, 1 - weight, rows, periods)
 
 
@@ -148,7 +141,18 @@ def member_products(edges: DataFrame, diagonal: DataFrame | None) -> DataFrame:
     return left.select("a", F.explode("nodes").alias("b"), "v").groupBy("a", "b").agg(F.sum("v").alias("v"))
 
 
-def _direct_inverse(cov: Covariance, edges: DataFrame, names: list[str]) -> np.ndarray:
+@dataclass
+class System:
+    """A covariance, the edges of the aggregates, the forecast days and the gaps of the residuals."""
+
+    cov: Covariance
+    edges: DataFrame
+    days: list[date]
+    residual_gaps: DataFrame | None = None
+
+
+def _direct_inverse(system: System, names: list[str]) -> np.ndarray:
+    cov, edges = system.cov, system.edges
     place = {name: i for i, name in enumerate(names)}
     n = len(names)
     matrix = np.zeros((n, n))
@@ -163,7 +167,7 @@ def _direct_inverse(cov: Covariance, edges: DataFrame, names: list[str]) -> np.n
         else:
             matrix[np.diag_indices(n)] += cov.level
     if cov.residuals is not None:
-        gaps = aggregate_gaps(cov.residuals, edges, "t", "residual").collect()
+        gaps = system.residual_gaps.collect()
         times = {t: i for i, t in enumerate(sorted({r["t"] for r in gaps}))}
         cr = np.zeros((n, len(times)))
         for r in gaps:
@@ -172,23 +176,28 @@ def _direct_inverse(cov: Covariance, edges: DataFrame, names: list[str]) -> np.n
     return np.linalg.pinv(matrix, hermitian=True)
 
 
-def _solve_direct(cov: Covariance, edges: DataFrame, gaps: DataFrame, names: list[str]) -> DataFrame:
-    """Multipliers (node_id, date, m); the inverse has at most DIRECT_NODES squared cells."""
-    inverse = _direct_inverse(cov, edges, names)
+def _solve_direct(system: System, gaps: DataFrame) -> DataFrame:
+    """Multipliers (node_id, date, m) by the inverse over all aggregates."""
+    names = sorted(r[0] for r in system.edges.select("node_id").distinct().collect())
+    inverse = _direct_inverse(system, names)
     rows = [(name, cells.tolist()) for name, cells in zip(names, inverse)]
     table = gaps.sparkSession.createDataFrame(rows, "other string, cells array<double>")
-    named = F.explode(F.map_from_arrays(F.lit(names), "cells")).alias("node_id", "cell")
-    cells = table.select("other", named)
-    joined = gaps.withColumnRenamed("node_id", "other").join(F.broadcast(cells), "other")
+    place = gaps.sparkSession.createDataFrame(list(enumerate(names)), "place int, node_id string")
+    cells = table.select("other", F.posexplode("cells").alias("place", "cell"))
+    cells = cells.join(broadcast_if_small(place, len(names)), "place")
+    cells = broadcast_if_small(cells, len(names) ** 2)
+    joined = gaps.withColumnRenamed("node_id", "other").join(cells, "other")
     return joined.groupBy("node_id", "date").agg(F.sum(F.col("gap") * F.col("cell")).alias("m"))
 
 
-def spread(multipliers: DataFrame, cov: Covariance, edges: DataFrame, rows: int) -> DataFrame:
+def spread(multipliers: DataFrame, system: System, rows: int) -> DataFrame:
     """S C' m as (node_id, date, shift), over bottom series and aggregates.
 
     ``rows`` is the counted size of the multipliers: small ones are broadcast,
-    so that the total node's many edges need no shuffle.
+    so that the total node's many edges need no shuffle. Forecast days stand beside each other
+    in columns, so that a residual is one row for all of them.
     """
+    cov, edges = system.cov, system.edges
     multipliers = broadcast_if_small(multipliers, rows)
     own = multipliers.select("node_id", "date", F.col("m").alias("shift"))
     members = edges.join(multipliers, "node_id").groupBy(F.col("bottom_id").alias("node_id"), "date")
@@ -199,18 +208,15 @@ def spread(multipliers: DataFrame, cov: Covariance, edges: DataFrame, rows: int)
     elif cov.level:
         parts.append(transposed.select("node_id", "date", F.col("shift") * F.lit(cov.level)))
     if cov.residuals is not None:
-        gaps = aggregate_gaps(cov.residuals, edges, "t", "residual")
-        by_time = gaps.join(multipliers, "node_id").groupBy("date", "t").agg(
-            F.sum(F.col("gap") * F.col("m")).alias("w")
-        )
-        path = by_time.groupBy("t").agg(F.collect_list(F.struct("date", "w")).alias("path"))
-        shifted = cov.residuals.join(F.broadcast(path), "t").select("node_id", "residual", F.explode("path").alias("p"))
+        of_day = lambda d: F.max(F.when(F.col("date") == F.lit(d), F.col("m")))
+        wide = multipliers.groupBy("node_id").agg(*[of_day(d).alias(f"m{i}") for i, d in enumerate(system.days)])
+        weights = [F.sum(F.col("gap") * F.col(f"m{i}")).alias(f"w{i}") for i in range(len(system.days))]
+        by_time = system.residual_gaps.join(broadcast_if_small(wide, rows), "node_id").groupBy("t").agg(*weights)
+        sums = [F.sum(F.col("residual") * F.col(f"w{i}")).alias(f"s{i}") for i in range(len(system.days))]
+        shifted = cov.residuals.join(broadcast_if_small(by_time, cov.periods), "t").groupBy("node_id").agg(*sums)
         scale = F.lit(cov.low_rank / cov.periods)
-        parts.append(
-            shifted.groupBy("node_id", F.col("p.date").alias("date")).agg(
-                (F.sum(F.col("residual") * F.col("p.w")) * scale).alias("shift")
-            )
-        )
+        by_day = [F.struct(F.lit(d).alias("date"), (F.col(f"s{i}") * scale).alias("shift")) for i, d in enumerate(system.days)]
+        parts.append(shifted.select("node_id", F.inline(F.array(*by_day))).filter(F.col("shift").isNotNull()))
     parts = [p.toDF("node_id", "date", "shift") for p in parts]
     out = parts[0]
     for p in parts[1:]:
@@ -218,14 +224,18 @@ def spread(multipliers: DataFrame, cov: Covariance, edges: DataFrame, rows: int)
     return out.groupBy("node_id", "date").agg(F.sum("shift").alias("shift"))
 
 
-def _solve_iterative(
-    cov: Covariance, edges: DataFrame, gaps: DataFrame, tolerance: float = 1e-10, max_steps: int = 500
-) -> DataFrame:
-    """Conjugate gradients on C S C' m = gap, all dates at once, over joins."""
+def _solve_iterative(system: System, gaps: DataFrame, tolerance: float = 1e-10, max_steps: int = 500) -> DataFrame:
+    """Conjugate gradients on C S C' m = gap, all dates at once, over joins.
+
+    They need a system of full rank. A sample covariance of too few periods has none and is refused.
+    """
+    cov = system.cov
+    if cov.diagonal is None and not cov.level and cov.periods <= system.edges.select("node_id").distinct().count():
+        raise ValueError("a sample covariance of fewer periods than aggregates is singular: use shrink, or the direct solver")
 
-    def system(p: DataFrame) -> DataFrame:
-        image = spread(p.select("node_id", "date", F.col("p").alias("m")), cov, edges, rows)
-        return aggregate_gaps(image, edges, "date", "shift").withColumnRenamed("gap", "q")
+    def applied(p: DataFrame) -> DataFrame:
+        image = spread(p.select("node_id", "date", F.col("p").alias("m")), system, rows)
+        return aggregate_gaps(image, system.edges, "date", "shift").withColumnRenamed("gap", "q")
 
     state = cut_lineage(
         gaps.select("node_id", "date", F.lit(0.0).alias("m"), F.col("gap").alias("r"), F.col("gap").alias("p"))
@@ -235,7 +245,7 @@ def _solve_iterative(
     start = cut_lineage(start)
     safe = lambda a, b: F.when(b > 0, a / F.nullif(b, F.lit(0.0))).otherwise(F.lit(0.0))
     for _ in range(max_steps):
-        joined = state.join(system(state), ["node_id", "date"])
+        joined = state.join(applied(state), ["node_id", "date"])
         step = joined.groupBy("date").agg(
             F.sum(F.col("r") * F.col("r")).alias("rr"), F.sum(F.col("p") * F.col("q")).alias("pq")
         )
@@ -259,32 +269,35 @@ def _solve_iterative(
     raise RuntimeError(f"no convergence in {max_steps} steps")
 
 
-def project(base: DataFrame, edges: DataFrame, cov: Covariance, direct_nodes: int = DIRECT_NODES) -> DataFrame:
+def project(base: DataFrame, edges: DataFrame, cov: Covariance, solver: str = "direct") -> DataFrame:
     """Coherent forecasts (node_id, date, forecast) nearest to ``base`` under ``cov``."""
+    if solver not in SOLVERS:
+        raise ValueError(f"unknown solver {solver!r}; use one of {SOLVERS}")
     edges = cut_lineage(aggregate_edges(edges))
     base = cut_lineage(base.select("node_id", "date", "forecast"))
+    days = [r[0] for r in base.select("date").distinct().orderBy("date").collect()]
+    system = System(cov, edges, days)
+    if cov.residuals is not None:
+        system.residual_gaps = cut_lineage(aggregate_gaps(cov.residuals, edges, "t", "residual"))
     gaps = aggregate_gaps(base, edges, "date", "forecast")
-    nodes = edges.select("node_id").distinct()
-    if nodes.count() <= direct_nodes:
-        names = sorted(r[0] for r in nodes.collect())
-        multipliers = _solve_direct(cov, edges, gaps, names)
-    else:
-        multipliers = _solve_iterative(cov, edges, gaps)
-    multipliers = cut_lineage(multipliers)
-    shift = spread(multipliers, cov, edges, multipliers.count())
+    solve = _solve_direct if solver == "direct" else _solve_iterative
+    multipliers = cut_lineage(solve(system, gaps))
+    shift = spread(multipliers, system, multipliers.count())
     moved = base.join(shift, ["node_id", "date"], "left")
     return moved.select(
         "node_id", "date", (F.col("forecast") - F.coalesce("shift", F.lit(0.0))).alias("forecast")
     )
 
 
-def ols_reconcile(base: DataFrame, edges: DataFrame) -> DataFrame:
-    return project(base, edges, Covariance())
+def ols_reconcile(base: DataFrame, edges: DataFrame, solver: str = "direct") -> DataFrame:
+    return project(base, edges, Covariance(), solver)
 
 
-def mint_reconcile(base: DataFrame, edges: DataFrame, residuals: DataFrame, method: str = "shrink") -> DataFrame:
+def mint_reconcile(
+    base: DataFrame, edges: DataFrame, residuals: DataFrame, method: str = "shrink", solver: str = "direct"
+) -> DataFrame:
     """Minimum-trace reconciliation under an estimated covariance."""
-    return project(base, edges, estimate_covariance(residuals, method))
+    return project(base, edges, estimate_covariance(residuals, method), solver)
 
 
 def node_table(df: DataFrame, value: str, levels: list[str]) -> DataFrame:
@@ -311,17 +324,18 @@ def reconcile(
     history: DataFrame | None = None,
     residuals: DataFrame | None = None,
     covariance: str = "shrink",
+    solver: str = "direct",
 ) -> DataFrame:
     """Coherent forecasts of all nodes, (node_id, date, forecast), by the named strategy."""
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; use one of {METHODS}")
     edges = H.membership_edges(hierarchy, levels)
     if method == "ols":
-        return ols_reconcile(base, edges)
+        return ols_reconcile(base, edges, solver)
     if method == "mint":
         if residuals is None:
             raise ValueError("mint needs residuals")
-        return mint_reconcile(base, edges, residuals, covariance)
+        return mint_reconcile(base, edges, residuals, covariance, solver)
     if method == "top_down":
         if history is None:
             raise ValueError("top_down needs the sales history")

@@ -130,10 +130,29 @@ def test_iterative_solution_equals_direct(spark, edges, method):
     residuals, _ = residual_rows(spark, nodes)
     cov = REC.estimate_covariance(residuals, method)
     direct = as_matrix(REC.project(base, edges, cov), nodes, dates)
-    iterative = as_matrix(REC.project(base, edges, cov, direct_nodes=0), nodes, dates)
+    iterative = as_matrix(REC.project(base, edges, cov, solver="iterative"), nodes, dates)
     np.testing.assert_allclose(iterative, direct, atol=1e-6)
 
 
+def test_solver_is_named_and_refuses_singular_systems(spark, edges):
+    nodes, S = summing_matrix(edges)
+    base, y, dates = noisy(spark, nodes, 2)
+    residuals, _ = residual_rows(spark, nodes, 4)
+    with pytest.raises(ValueError, match="solver"):
+        REC.ols_reconcile(base, edges, "guess")
+    with pytest.raises(ValueError, match="singular"):
+        REC.mint_reconcile(base, edges, residuals, "sample", "iterative")
+
+
+def test_shrinkage_equals_dense_form(spark, edges):
+    nodes, _ = summing_matrix(edges)
+    residuals, R = residual_rows(spark, nodes)
+    weight, mean = REC.shrinkage(REC.centred(residuals), len(nodes), R.shape[1])
+    want = ledoit_wolf(R)
+    n = len(nodes)
+    np.testing.assert_allclose((1 - weight) * np.cov(R, bias=True) + weight * mean * np.eye(n), want)
+
+
 def test_ols_keeps_coherent_input(spark, edges):
     nodes, S = summing_matrix(edges)
     _, y, dates = noisy(spark, nodes)
