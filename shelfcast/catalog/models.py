@@ -13,10 +13,11 @@ from shelfcast.catalog import retail as R
 from shelfcast.catalog.data import _LABELS_SQL
 from shelfcast.catalog.profiles import OFF_EDGE, calendar_feature_sql, lag_sql, profile, profile_sql, rolling_sql
 from shelfcast.catalog.windows import PRICE_FEATURES_SQL
-from shelfcast.fixed_values import FEATURES, ID_COLUMNS, LAGS, WINDOWS
+from shelfcast.fixed_values import FEATURES, HORIZON, ID_COLUMNS, LAGS, WINDOWS
 from shelfcast.operators import boosting as G
 from shelfcast.operators import features as X
 from shelfcast.operators import hierarchy as H
+from shelfcast.operators import ordering as O
 from shelfcast.operators import panel as P
 from shelfcast.operators import recursive as V
 from shelfcast.operators import reconcile as REC
@@ -31,21 +32,21 @@ _fitted: dict[tuple, tuple] = {}
 
 
 def _trained(spark, sf_dir):
-    """(model, validation features, panel, encoders), fitted once per session and folder."""
+    """(model, training and validation features, panel, encoders), fitted once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _fitted:
         done = preprocess_panel(R.dated_panel(spark, sf_dir), R.prices(spark, sf_dir), states=R.STATE_FLAGS)
         full = done["full"]
         train, val = X.split_features(full, P.validation_start(full), context_lag=28)
         model = G.fit_tweedie(train, val, early_stopping_rounds=30, rounds=ROUNDS, max_depth=DEPTH, learning_rate=0.3)
-        _fitted[key] = (model, train, val, full)
+        _fitted[key] = (model, train, val, full, done["encoders"])
     return _fitted[key]
 
 
 @query("m1_tweedie_boosting")
 def m1_tweedie_boosting(spark, sf_dir):
     """Tweedie loss of the training rows after each round."""
-    model, train, _, _ = _trained(spark, sf_dir)
+    model, train, *_ = _trained(spark, sf_dir)
     scored = model.assemble(train).withColumn("score", F.lit(model.start))
     losses = []
     for i in range(len(model.trees) + 1):
@@ -73,7 +74,7 @@ def t2_top_features(spark, sf_dir):
 @query("m3_batch_prediction")
 def m3_batch_prediction(spark, sf_dir):
     """Predictions of every training row, totalled by day."""
-    model, train, _, _ = _trained(spark, sf_dir)
+    model, train, *_ = _trained(spark, sf_dir)
     return model.predict(train).groupBy("date").agg(
         F.sum("sales").alias("sales"), F.sum("forecast").alias("forecast"), F.min("forecast").alias("lowest")
     )
@@ -81,16 +82,19 @@ def m3_batch_prediction(spark, sf_dir):
 
 @query("m4_direct_forecast")
 def m4_direct_forecast(spark, sf_dir):
-    model, _, val, _ = _trained(spark, sf_dir)
+    model, _, val, *_ = _trained(spark, sf_dir)
     return model.predict(val).select(*ID_COLUMNS, "date", "sales", "forecast")
 
 
 @query("m5_recursive_forecast")
 def m5_recursive_forecast(spark, sf_dir):
-    model, _, val, full = _trained(spark, sf_dir)
+    """28 days from the last one on, with the events and benefit flags of their own dates."""
+    model, _, _, full, encoders = _trained(spark, sf_dir)
     last = full.groupBy("id").agg(F.max_by(F.struct(*ID_COLUMNS[1:], "sell_price", "snap"), "date").alias("l"))
     series = last.select("id", "l.*").withColumn("has_event", F.lit(0))
-    return V.recursive_forecast(model.predict, series, full)
+    series = O.decode_labels(series, encoders, "state_id", "state_label")
+    ahead = R.coming_calendar(spark, sf_dir, HORIZON)
+    return V.recursive_forecast(model.predict, series, full, HORIZON, ahead, R.STATE_FLAGS, "state_label")
 
 
 @query("m7_early_stopping")
@@ -101,7 +105,7 @@ def m7_early_stopping(spark, sf_dir):
 @query("s4_model_persistence")
 def s4_model_persistence(spark, sf_dir):
     """Largest difference between a model's forecasts before and after a round trip."""
-    model, _, val, _ = _trained(spark, sf_dir)
+    model, _, val, *_ = _trained(spark, sf_dir)
     path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
     model.save(spark, path)
     again = G.TweedieModel.load(spark, path).predict(val).select("id", "date", F.col("forecast").alias("again"))

@@ -101,6 +101,11 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event days by rule within the span of ship dates."""
+    return events_between(bounds(spark, sf_dir))
+
+
+def events_between(span: DataFrame) -> DataFrame:
+    """Event days by rule; ``span`` holds one row (first, last)."""
     day = F.col("date")
     sunday, thursday = D.day_of_week(day) == 6, D.day_of_week(day) == 3
     month, dom = F.month(day), F.dayofmonth(day)
@@ -116,7 +121,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.lit(None)
     for name, kind, rule in rules:
         event = F.when(rule, F.struct(F.lit(name).alias("name"), F.lit(kind).alias("type"))).otherwise(event)
-    days = C.days_between(bounds(spark, sf_dir)).withColumn("e", event).filter(F.col("e").isNotNull())
+    days = C.days_between(span).withColumn("e", event).filter(F.col("e").isNotNull())
     return days.select("date", F.col("e.name").alias("event_name_1"), F.col("e.type").alias("event_type_1"))
 
 
@@ -124,6 +129,13 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.build_calendar(bounds(spark, sf_dir), events(spark, sf_dir))
 
 
+def coming_calendar(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+    """Calendar of the days after the last ship date."""
+    last = F.col("last")
+    span = bounds(spark, sf_dir).select(F.date_add(last, 1).alias("first"), F.date_add(last, days).alias("last"))
+    return C.build_calendar(span, events_between(span))
+
+
 def dated_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel with its calendar columns."""
     return P.merge_calendar(panel(spark, sf_dir), calendar(spark, sf_dir), "date")

@@ -106,13 +106,13 @@ def merge_prices(df: DataFrame, prices: DataFrame) -> DataFrame:
     return joined.drop(*[f"_{k}" for k in keys])
 
 
-def add_snap_flag(df: DataFrame, states: dict[str, str] = SNAP_STATES) -> DataFrame:
+def add_snap_flag(df: DataFrame, states: dict[str, str] = SNAP_STATES, state_col: str = "state_id") -> DataFrame:
     """Benefit flag of the row's own state; 0 for other states or without flags."""
     snap = F.lit(0)
-    if "state_id" in df.columns:
+    if state_col in df.columns:
         for state, column in states.items():
             if column in df.columns:
-                snap = F.when(F.col("state_id") == state, F.col(column)).otherwise(snap)
+                snap = F.when(F.col(state_col) == state, F.col(column)).otherwise(snap)
     return df.withColumn("snap", snap.cast("int"))
 
 

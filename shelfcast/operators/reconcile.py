@@ -64,7 +64,7 @@ def shrinkage(residuals: DataFrame, n_series: int, n_periods: int) -> tuple[floa
     """Ledoit-Wolf weight and mean variance of centred residuals, from three sums.
 
     The products of two periods are summed over the series: each task multiplies its own
-    series, the sums are combined in Spark, and one row comes back.
+    series, the rows of these products are added up one at a time, and one row comes back.
     """
     periods = [r[0] for r in residuals.select("t").distinct().orderBy("t").collect()]
     place = {t: i for i, t in enumerate(periods)}
@@ -81,10 +81,22 @@ def shrinkage(residuals: DataFrame, n_series: int, n_periods: int) -> tuple[floa
             total += x.T @ x
         yield pd.DataFrame({"i": range(n_periods), "products": list(total)})
 
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, here, row = np.zeros(3), 0, np.zeros(n_periods)
+        part = lambda: np.array([row[here], row @ row, row[here] ** 2])
+        for rows in batches:
+            for i, products in zip(rows["i"], rows["products"]):
+                if i != here:
+                    found += part()
+                    here, row = i, np.zeros(n_periods)
+                row = row + products
+        yield pd.DataFrame([found + part()], columns=["trace", "squares", "fourth"])
+
     partial = packed.mapInPandas(multiply, "i int, products array<double>")
-    products = partial.select("i", F.posexplode("products").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v"))
-    own = F.when(F.col("i") == F.col("j"), F.col("v"))
-    trace, squares, fourth = products.agg(F.sum(own), F.sum(F.col("v") * F.col("v")), F.sum(own * own)).first()
+    sums = partial.repartition("i").sortWithinPartitions("i").mapInPandas(
+        add_up, "trace double, squares double, fourth double"
+    )
+    trace, squares, fourth = sums.agg(F.sum("trace"), F.sum("squares"), F.sum("fourth")).first()
     mean = trace / (n_series * n_periods)
     squares /= n_periods**2
     beta = (fourth / n_periods - squares) / (n_series * n_periods)
@@ -307,10 +319,11 @@ def node_table(df: DataFrame, value: str, levels: list[str]) -> DataFrame:
     return bottom.unionByName(H.roll_up(df, value, levels).select(name.alias("node_id"), "date", value))
 
 
-def naive_residuals(nodes: DataFrame, days: int, value: str = "sales") -> DataFrame:
-    """One-day changes of every node over the last days: (node_id, t, residual)."""
-    start = F.date_sub(nodes.agg(F.max("date")).scalar(), days)
-    recent = nodes.filter(F.col("date") >= start)
+def naive_residuals(nodes: DataFrame, days: int | None = None, value: str = "sales") -> DataFrame:
+    """One-day changes of every node over the last days, or all days: (node_id, t, residual)."""
+    recent = nodes
+    if days is not None:
+        recent = nodes.filter(F.col("date") >= F.date_sub(nodes.agg(F.max("date")).scalar(), days))
     change = F.col(value) - F.lag(value).over(Window.partitionBy("node_id").orderBy("date"))
     t = F.datediff("date", F.lit("1970-01-01")).alias("t")
     return recent.select("node_id", t, change.alias("residual")).filter(F.col("residual").isNotNull())

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from shelfcast.fixed_values import HORIZON, ID_COLUMNS, LAGS, ROLLING_LAG, WINDOWS
+from shelfcast.fixed_values import HORIZON, ID_COLUMNS, LAGS, ROLLING_LAG, SNAP_STATES, WINDOWS
 from shelfcast.functions import dates as D
 from shelfcast.functions.scalars import has_event
-from shelfcast.operators.panel import last_day
+from shelfcast.operators.panel import add_snap_flag, last_day
 from shelfcast.session import cut_lineage
 
 RECENT_DAYS = 7
@@ -78,14 +78,26 @@ def inference_features(series: DataFrame, history: DataFrame, day: date) -> Data
     )
 
 
+def with_day_flags(series: DataFrame, day: Row, states: dict[str, str], state_col: str) -> DataFrame:
+    """``has_event`` and ``snap`` of one calendar row for every series."""
+    flags = {c: F.lit(day[c]) for c in set(states.values()) if c in day}
+    marked = series.withColumns({"has_event": has_event(F.lit(day["event_name_1"])), **flags})
+    return add_snap_flag(marked, states, state_col).drop(*flags)
+
+
 def recursive_forecast(
     predict: Callable[[DataFrame], DataFrame],
     series: DataFrame,
     history: DataFrame,
     horizon: int = HORIZON,
+    calendar: DataFrame | None = None,
+    states: dict[str, str] = SNAP_STATES,
+    state_col: str = "state_id",
 ) -> DataFrame:
     """One predicted row per series and future day; later days see earlier predictions.
 
+    ``calendar`` gives the events and benefit flags of the coming days, by the state named
+    in ``state_col``; on days that it lacks, the flags of ``series`` hold.
     Only the days that lags can reach are carried along, partitioned by
     series, and the growing plan is cut once per day.
     """
@@ -94,10 +106,15 @@ def recursive_forecast(
     recent = history.filter(F.col("date") > F.lit(last - timedelta(days=REACH)))
     known = cut_lineage(recent.select(*columns))
     series = cut_lineage(series)
+    ahead = {}
+    if calendar is not None:
+        within = F.col("date").between(F.lit(last + timedelta(days=1)), F.lit(last + timedelta(days=horizon)))
+        ahead = {r["date"]: r for r in calendar.filter(within).collect()}
     results = None
     for step in range(1, horizon + 1):
         day = last + timedelta(days=step)
-        frame = predict(inference_features(series, known, day))
+        flagged = with_day_flags(series, ahead[day], states, state_col) if day in ahead else series
+        frame = predict(inference_features(flagged, known, day))
         done = cut_lineage(frame.select(*ID_COLUMNS, "date", "forecast"))
         results = done if results is None else results.unionByName(done)
         known = append_predictions(known, done.select("id", "date", "forecast", "store_id", "dept_id"))

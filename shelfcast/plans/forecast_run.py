@@ -63,13 +63,15 @@ class ForecastRun:
     With another method than ``bottom_up`` the store models supply the store
     level of the base forecasts, so that the levels have something to settle.
     ``context_lag`` 0 lets the store and department means include the day
-    itself; 28 keeps the horizon out of them.
+    itself; 28 keeps the horizon out of them. ``residual_days`` limits the
+    residuals of the error covariance to the last days of training; None takes all.
     """
 
     processed: dict[str, DataFrame]
     val_days: int = HORIZON
     method: str = "bottom_up"
     context_lag: int = 0
+    residual_days: int | None = None
     boosting: dict = field(default_factory=dict)
     holidays: DataFrame | None = None
     results: dict[str, DataFrame] = field(default_factory=dict)
@@ -114,7 +116,7 @@ class ForecastRun:
         base = REC.node_table(keyed, "forecast", levels)
         history = hierarchy.with_hierarchy(self.processed["train"].select("id", "date", "sales"), tree)
         nodes = cut_lineage(REC.node_table(history, "sales", levels))
-        residuals = REC.naive_residuals(nodes, self.val_days)
+        residuals = REC.naive_residuals(nodes, self.residual_days)
         if self.seasonal_model is not None:
             base = self._store_level(base, self.results["store_forecasts"], F.col("yhat"), "forecast")
             residuals = self._store_residuals(residuals, nodes)

@@ -132,6 +132,22 @@ def test_recursive_forecast_uses_its_own_predictions(retail_df):
         assert value == (new[(i, before)] if before > last else old[(i, before)]) + 1
 
 
+def test_recursive_forecast_takes_flags_of_the_coming_days(spark, retail_df):
+    last = retail_df.agg(F.max("date")).first()[0]
+    series = P.build_hierarchy_map(retail_df).withColumns({"sell_price": F.lit(3.0), "snap": F.lit(0), "has_event": F.lit(0)})
+    rows = [(last + timedelta(days=1), None, 1, 0), (last + timedelta(days=2), "Fair", 0, 1)]
+    ahead = spark.createDataFrame(rows, "date date, event_name_1 string, flag_a int, flag_b int")
+    states = sorted(r[0] for r in series.select("state_id").distinct().collect())
+    flags = dict(zip(states, ["flag_a", "flag_b"]))
+    predict = lambda df: df.withColumn("forecast", 10.0 * F.col("has_event") + F.col("snap"))
+    got = V.recursive_forecast(predict, series, retail_df, 3, ahead, flags).toPandas()
+    assert len(got) == 6 * 3
+    for r in got.itertuples():
+        n = (r.date - last).days
+        snap = int({1: "flag_a", 2: "flag_b"}.get(n) == flags.get(r.state_id))
+        assert r.forecast == (10 if n == 2 else 0) + snap
+
+
 def test_rolling_windows_forget_a_spike(spark):
     """A spike outside the window leaves no trace in its mean and deviation."""
     sales = [1_000_000.3] + [0.1] * 120 + [0.1 * (i % 7) for i in range(120)]
