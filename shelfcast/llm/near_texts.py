@@ -8,8 +8,11 @@ texts, it is cut by the other nine min-hashes in the same way. In a shard, the B
 the fingerprints gives the pairs within the radius. They are sorted by distance into three
 edge-disjoint least spanning forests, so links stay linear in the size of a group. The
 links of the first forest are checked by the exact Jaccard similarity of their shingle
-sets; those of the others are checked where they would still join two groups. (A group is
-split only if all three forests fail between its parts; the tests compare with brute force.)
+sets; those of the others are checked where they would still join two groups. Where a shard had
+more pairs than its forests hold, the texts that its pairs connect are named too. If they
+are still in several groups after that, all their pairs within the radius that lie
+between two groups are checked, with the shingle sets at hand, until none is left. So the
+forests save checks and decide nothing.
 
 Equal word sequences are one text from the start. Texts without words (null ones too) are equal
 to each other. Of a group, the row with the smallest ``doc_id`` stays (null ids last; of rows that
@@ -124,12 +127,15 @@ def least_forests(size: int, a: np.ndarray, b: np.ndarray, d: np.ndarray) -> lis
     return [np.concatenate(c) for c in zip(*out, strict=True)]
 
 
-def spanning(ids: np.ndarray, marks: np.ndarray, group: np.ndarray, radius: int, pairs: int = PAIRS) -> list[np.ndarray]:
+def spanning(
+    ids: np.ndarray, marks: np.ndarray, group: np.ndarray, radius: int, pairs: int = PAIRS, found: np.ndarray | None = None
+) -> list[np.ndarray]:
     """Links (ends, number of the forest) of disjoint least spanning forests of each group's pairs within the radius.
 
     Whenever more than ``pairs`` are held they are cut to their forests, so memory is linear in
     the rows. A link that goes is the heaviest of a circle in every forest, so between any two
     parts as many links stay, up to one for each forest, as there would be of all pairs.
+    ``found``, if given, counts all pairs by the place of their larger end.
     """
     forest = Forest(marks, group)
     most, held, waiting = max(pairs, FORESTS * ids.size), [], 0
@@ -138,6 +144,8 @@ def spanning(ids: np.ndarray, marks: np.ndarray, group: np.ndarray, radius: int,
         for q, n, d in forest.near(np.arange(at, min(ids.size, at + FRONTIER)), radius):
             held.append((q.astype(np.int32), n.astype(np.int32), d.astype(np.int16)))
             waiting += q.size
+            if found is not None:
+                found += np.bincount(q, minlength=ids.size)
             if waiting > most:
                 held, waiting = [least_forests(ids.size, *joined())[:3]], 0
     if not held:
@@ -165,15 +173,32 @@ def group_runs(group: np.ndarray, large: int = 512) -> Iterator[slice]:
 
 
 def shard_links(radius: int, batch_rows: int = 1 << 16):
-    """Read rows sorted by shard, whole shards at a time, and emit each shard's spanning links."""
+    """Read rows sorted by shard, whole shards at a time, and emit each shard's spanning links.
+
+    Texts connected by pairs of which some are in no forest follow as rows of ``forest`` -1: the
+    text and a key of what is connected. (Equal keys of two such clusters would only join them.)
+    """
 
     def links(keys: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> Iterator[pa.RecordBatch]:
         group = np.cumsum(np.concatenate(([False], (keys[1:] != keys[:-1]).any(axis=1))))
         several = np.bincount(group)[group] > 1
-        ids, marks, group = ids[several], marks[several], group[several]
+        keys, ids, marks, group = keys[several], ids[several], marks[several], group[several]
         for own in group_runs(group):
-            a, b, n = spanning(ids[own], marks[own], group[own], radius)
-            columns = [np.maximum(a, b), np.minimum(a, b), n]
+            at, named = np.arange(own.stop - own.start), ids[own]
+            found = np.zeros(at.size, np.int64)
+            a, b, n = spanning(at, marks[own], group[own], radius, found=found)
+            cluster, first = at.copy(), n == 0
+            take_spanning(cluster, a[first], b[first])
+            more = np.zeros(at.size, dtype=bool)
+            more[cluster[found > np.bincount(a, minlength=at.size)]] = True
+            more = more[cluster]
+            shard, part = keys[own].view(np.uint64).T
+            key = mixed(mixed(shard, 0) ^ part, 1) ^ named.view(np.uint64)[cluster]
+            columns = [
+                np.concatenate((np.maximum(named[a], named[b]), named[more])),
+                np.concatenate((np.minimum(named[a], named[b]), mixed(key, 2).view(np.int64)[more])),
+                np.concatenate((n, np.full(int(more.sum()), -1))),
+            ]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "forest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,6 +242,69 @@ def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.filter(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
 
+def open_clusters(members: DataFrame, roots: DataFrame, block_rows: int) -> DataFrame:
+    """``cluster``, ``x``, ``y``, ``block``, ``id`` and ``root`` of texts whose cluster is still in several groups.
+
+    Of clusters of the same texts one is left. One of more than ``block_rows`` is dealt into
+    blocks, and each two of them meet as ``x`` and ``y``.
+    """
+    rows = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    h = F.xxhash64("id")
+    half = lambda v: F.sum(v.bitwiseAND(0xFFFFFFFF))
+    sizes = rows.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("h1"), half(h).alias("h2"), half(F.xxhash64(h)).alias("h3"),
+        (F.min("root") != F.max("root")).alias("several"),
+    )
+    wanted = sizes.filter("several").groupBy("n", "h1", "h2", "h3").agg(F.min("cluster").alias("cluster"))
+    blocks = F.ceil(F.col("n") / block_rows).cast("long")
+    rows = rows.join(wanted.select("cluster", blocks.alias("blocks")), "cluster")
+    rows = rows.withColumn("block", F.pmod(h, F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return rows.select("cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "root")
+
+
+def cluster_links(radius: int, similarity: float, elements: int = 1 << 22):
+    """Similar pairs that join the groups of one cluster, by an exact check of each pair within the radius."""
+
+    def run(table: pa.Table) -> pa.Table:
+        column = lambda name: table.column(name).combine_chunks()
+        ids, root, block = (column(c).to_numpy() for c in ("id", "root", "block"))
+        marks = column("marks").flatten().to_numpy().reshape(ids.size, -1).view(np.uint64)
+        sets = column("set")
+        size = sets.value_lengths().to_numpy().astype(np.int64)
+        start = np.cumsum(size) - size
+        values, shingle = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        held = np.zeros(values.size, dtype=bool)
+        _, first, of = np.unique(root, return_index=True, return_inverse=True)
+        label, within = first[of], column("x")[0] == column("y")[0]
+        out: list[tuple[int, int]] = []
+        for q in range(1, ids.size):
+            c = np.flatnonzero((label[:q] != label[q]) & (within | (block[:q] != block[q])))
+            c = c[np.minimum(size[c], size[q]) >= similarity * np.maximum(size[c], size[q])]
+            c = c[np.bitwise_count(marks[c] ^ marks[q]).sum(axis=1, dtype=np.int64) <= radius]
+            own = shingle[start[q] : start[q] + size[q]]
+            held[own] = True
+            cuts = np.flatnonzero(np.diff(np.cumsum(size[c]) // elements)) + 1
+            for some in np.split(c, cuts):
+                # What an earlier part joined needs no check.
+                some = some[label[some] != label[q]]
+                if not some.size:
+                    continue
+                begin = np.cumsum(size[some]) - size[some]
+                at = np.arange(int(size[some].sum())) + np.repeat(start[some] - begin, size[some])
+                common = np.add.reduceat(held[shingle[at]], begin, dtype=np.int64)
+                hits = some[common >= similarity * (size[some] + size[q] - common)]
+                if hits.size:
+                    hits = hits[np.unique(label[hits], return_index=True)[1]]
+                    out += [(int(ids[q]), int(ids[k])) for k in hits]
+                    join_labels(label, np.full(hits.size, q), hits)
+            held[own] = False
+        ends = np.array(out, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": ends.max(axis=1), "b": ends.min(axis=1)} if out else {"a": ends[:, 0], "b": ends[:, 1]})
+
+    return run
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, similarity: float = SIMILARITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``doc_id`` and ``tie`` of the row that stays of each group."""
     rows = cut_lineage(described(docs, width))
@@ -227,8 +315,10 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, similarity: float = SIMI
         rows.groupBy("id").agg(F.min(ordered).alias("least_row"), F.first("least").alias("least"), F.first("marks").alias("marks"))
     )
     placed = shards(texts, shard_rows).repartition("shard", "part").sortWithinPartitions("shard", "part", "id")
-    links = placed.mapInArrow(shard_links(radius_for(similarity)), "a long, b long, forest long")
-    links = cut_lineage(links.groupBy("a", "b").agg(F.min("forest").alias("forest")))
+    radius = radius_for(similarity)
+    found = cut_lineage(placed.mapInArrow(shard_links(radius), "a long, b long, forest long"))
+    members = found.filter("forest < 0").select(F.col("a").alias("id"), F.col("b").alias("cluster")).distinct()
+    links = cut_lineage(found.filter("forest >= 0").groupBy("a", "b").agg(F.min("forest").alias("forest")))
     linked = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).distinct()
     wanted = linked.join(texts, "id").select("id", F.col("least_row.doc_id").alias("w_id"), F.col("least_row.tie").alias("w_tie"))
     named = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), "text")
@@ -239,7 +329,14 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, similarity: float = SIMI
     end = lambda c: parts.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
     rest = links.filter("forest > 0").join(end("a"), "a", "left").join(end("b"), "b", "left")
     rest = rest.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-    roots = components(sure.union(verified(rest.select("a", "b"), sets, similarity))).withColumnRenamed("node", "id")
+    sure = cut_lineage(sure.union(verified(rest.select("a", "b"), sets, similarity)))
+    parts = components(sure)
+    still = cut_lineage(open_clusters(members, parts, shard_rows))
+    if not still.isEmpty():
+        whole = still.join(sets, "id").join(texts.select("id", "marks"), "id")
+        more = whole.groupBy("cluster", "x", "y").applyInArrow(cluster_links(radius, similarity), "a long, b long")
+        parts = components(sure.union(cut_lineage(more)))
+    roots = parts.withColumnRenamed("node", "id")
     grouped = texts.select("id", "least_row").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     stays = grouped.groupBy("root").agg(F.min("least_row").alias("stay"))
     return stays.select(F.col("stay.doc_id").alias("doc_id"), F.col("stay.tie").alias("tie"))

@@ -73,6 +73,25 @@ def test_near_copies(spark, shard_rows):
     check_near(near_copies(spark), shard_rows=shard_rows)
 
 
+@pytest.mark.parametrize("shard_rows", [1 << 12, 50])
+def test_templates_hide_no_similar_pair(spark, shard_rows):
+    """Texts of one template at similarity 0.75, and among them pairs of 0.8."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
+    template, texts = [word() for _ in range(244)], []
+    own = lambda n: [word() for _ in range(n)]
+    for i in range(200):
+        text = template + own(40)
+        texts.append(text)
+        if i % 10 == 0:
+            texts.append(text[:-24] + own(24) if i % 20 else text[:-20] + own(20))
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert 0 < len(rows) - len(plain_stays(rows)) <= 20
+    check_near(docs, shard_rows=shard_rows)
+
+
 def test_forests_cut_on_the_way_are_least_too():
     rng = np.random.default_rng(5)
     marks = rng.integers(0, 2**63, (300, 4), dtype=np.uint64)
