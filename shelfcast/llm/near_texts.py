@@ -1,8 +1,8 @@
 """Near-duplicate groups of a given shingle similarity, by wide SimHash and BK-trees.
 
 A radius of 2 of 64 bits finds texts that are almost equal. Texts whose word shingles
-have a Jaccard similarity of 0.8 differ in about 15% of the bits, so here a fingerprint
-has 256 bits, and texts meet in shards named by ten min-hashes of their shingles: a pair of
+have a Jaccard similarity of 0.8 differ in about 15% of the bits, short ones in up to 19%,
+so here a fingerprint has 256 bits, the radius leaves out one such pair in ten million, and texts meet in shards named by ten min-hashes of their shingles: a pair of
 similarity 0.8 misses all ten shards once in ten million cases. Where a shard holds too many
 texts, it is cut by the other nine min-hashes in the same way. In a shard, the BK-tree of
 the fingerprints gives the pairs within the radius. They are sorted by distance into three
@@ -21,7 +21,9 @@ repeat an id, one). An empty table gives an empty one.
 
 from __future__ import annotations
 
+import functools
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +44,41 @@ HASHES = 10
 SHARD_ROWS = 1 << 12
 FORESTS = 3
 PAIRS = 1 << 21
+MISSED = 1e-7
 MIX = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * i + 3, 1 << 64) | 1) for i in range(HASHES + WORDS)]
 
 
-def radius_for(similarity: float, bits: int = 64 * WORDS) -> int:
-    """Bits that differ at this Jaccard similarity, and three standard deviations more."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(np.ceil(bits * share + 3 * np.sqrt(bits * share * (1 - share))))
+def coins(n: int) -> np.ndarray:
+    """Odds of 0 to ``n`` heads."""
+    return np.array([math.comb(n, k) for k in range(n + 1)], dtype=float) / 2.0**n
+
+
+def bit_share(common: int, own_a: int, own_b: int) -> float:
+    """Odds that a bit differs between two sets: majorities of random bits, a tie counts as 0."""
+    heads = np.arange(common + 1)[:, None]
+    set_in = lambda own: ((2 * (heads + np.arange(own + 1)) > common + own) * coins(own)).sum(axis=1)
+    a, b = set_in(own_a), set_in(own_b)
+    return float((coins(common) * (a * (1 - b) + b * (1 - a))).sum())
+
+
+def worst_share(similarity: float, most: int = 64) -> float:
+    """The largest ``bit_share`` of sets of this similarity; beyond ``most`` common shingles ties matter less and less."""
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    for common in range(1, most + 1):
+        own = int(common / similarity - common + 1e-9)
+        share = max([share, *(bit_share(common, a, own - a) for a in range(own // 2 + 1))])
+    return share
+
+
+@functools.cache
+def radius_for(similarity: float, bits: int = 64 * WORDS, missed: float = MISSED) -> int:
+    """Least radius that pairs of this Jaccard similarity exceed with odds of at most ``missed``, whatever their sizes."""
+    share, left = worst_share(similarity), 1.0
+    for radius in range(bits + 1):
+        left -= math.comb(bits, radius) * share**radius * (1 - share) ** (bits - radius)
+        if left <= missed:
+            return radius
+    return bits
 
 
 def mixed(hashes: np.ndarray, i: int) -> np.ndarray:

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import re
 import string
@@ -92,6 +93,23 @@ def test_templates_hide_no_similar_pair(spark, shard_rows):
     check_near(docs, shard_rows=shard_rows)
 
 
+def test_short_texts_are_within_the_radius(spark):
+    """Eight words and a ninth: 4 of 5 shingles shared, exactly 0.8."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(300):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(8)) for _ in range(9)]
+        texts += [" ".join(words[:8]), " ".join(words)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in N.without_near_duplicates(docs).collect()) == list(range(0, 600, 2))
+
+
+def test_radius_holds_for_the_worst_sizes():
+    assert abs(N.bit_share(4, 0, 1) - 0.1875) < 1e-12 and N.worst_share(0.8) == N.bit_share(4, 0, 1)
+    tail = lambda r: sum(math.comb(256, k) * 0.1875**k * 0.8125 ** (256 - k) for k in range(r + 1, 257))
+    assert tail(N.radius_for(0.8)) <= 1e-7 < tail(N.radius_for(0.8) - 1)
+
+
 def test_forests_cut_on_the_way_are_least_too():
     rng = np.random.default_rng(5)
     marks = rng.integers(0, 2**63, (300, 4), dtype=np.uint64)
