@@ -1,15 +1,17 @@
 """Personal data: patterns, and information-theoretic sanitisation of what reveals it.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers (the base spans).
-An entity is such a value. Terms beside it (``WINDOW`` words on either side) can reveal it even
+An entity is such a value. Terms of its documents, wherever they stand, can reveal it even
 when the value is masked: with counts of documents over the whole corpus, the pointwise
 mutual information of a term and an entity, divided by the information the entity itself carries, is the share of it that the term
-discloses. In documents that hold the entity, terms that disclose at least ``generalise`` of it are
-replaced by their class, and those from ``remove`` on are removed. Pairs seen in fewer than
-``min_docs`` documents are no evidence.
+discloses. In documents that hold the entity, all uses of terms that disclose at least ``generalise``
+of it are replaced by their class, and those from ``remove`` on are removed. Pairs seen in fewer than
+``min_docs`` documents are no evidence; so an entity of fewer documents has its value masked,
+and no term is judged by it. Uses inside a span are masked with it and are no terms.
 
-Counts stay in Spark. Contexts are linear in the number of spans; hot entities and terms
-are combined before the shuffle, and joins meet each pair at most once on one side.
+Counts stay in Spark. Each document's distinct terms meet those of its entities that have
+``min_docs`` documents; pairs are combined before their shuffle, and a join meets each at most
+once on one side.
 
 A null text is an empty one: no spans. Rows that repeat a ``doc_id`` and a text get equal
 answers, and each counts as a document; a null ``doc_id`` is a value like another. An empty
@@ -33,8 +35,6 @@ from shelfcast.session import cut_lineage
 # Kinds of personal data, in the order in which spans are listed.
 KINDS = ["email", "ip", "card", "phone"]
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
-WINDOW = 6
-REACH = 200
 MIN_DOCS = 3
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -98,8 +98,14 @@ def listed(found: dict[str, list[tuple[int, int]]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k in KINDS for a, b in found[k])
 
 
-def contexts(text: str, found: dict[str, list[tuple[int, int]]]) -> list[tuple[str, str, list[tuple[int, int]]]]:
-    """(entity, term, spots) of the words beside each span, without those inside spans."""
+def entities_of(text: str, found: dict[str, list[tuple[int, int]]]) -> list[str]:
+    """The distinct values of the spans, with their kind."""
+    named = lambda kind, value: f"{kind}:{value.lower() if kind in ('email', 'ip') else only_digits(value)}"
+    return sorted({named(kind, text[a:b]) for kind, own in found.items() for a, b in own})
+
+
+def terms_of(text: str, found: dict[str, list[tuple[int, int]]]) -> dict[str, list[tuple[int, int]]]:
+    """The words of the whole text and where each stands, without those inside spans."""
     covered = sorted(s for own in found.values() for s in own)
     starts = [a for a, _ in covered]
     reach, most = [], 0
@@ -111,48 +117,48 @@ def contexts(text: str, found: dict[str, list[tuple[int, int]]]) -> list[tuple[s
         i = bisect_left(starts, b) - 1
         return i >= 0 and reach[i] > a
 
-    out: dict[tuple[str, str], set[tuple[int, int]]] = {}
-    for kind, own in found.items():
-        for a, b in own:
-            value = text[a:b]
-            entity = f"{kind}:{value.lower() if kind in ('email', 'ip') else only_digits(value)}"
-            low, high = max(0, a - REACH), min(len(text), b + REACH)
-            left = [m.span() for m in TERM.finditer(text, low, a) if m.start() > low or low == 0][-WINDOW:]
-            right = [m.span() for m in TERM.finditer(text, b, high) if m.end() < high or high == len(text)][:WINDOW]
-            for s, e in left + right:
-                if e - s >= 2 and not inside(s, e):
-                    out.setdefault((entity, text[s:e].lower()), set()).add((s, e))
-    return [(entity, term, sorted(at)) for (entity, term), at in out.items()]
+    out: dict[str, list[tuple[int, int]]] = {}
+    for m in TERM.finditer(text):
+        s, e = m.span()
+        if e - s >= 2 and not inside(s, e):
+            out.setdefault(m[0].lower(), []).append((s, e))
+    return out
+
+
+def contexts(text: str, found: dict[str, list[tuple[int, int]]]) -> list[tuple[str, str, list[tuple[int, int]]]]:
+    """(entity, term, spots) of every entity and every term of a text."""
+    terms = terms_of(text, found)
+    return [(entity, term, at) for entity in entities_of(text, found) for term, at in terms.items()]
 
 
 FOUND = (
     "doc_id {id}, tie long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "entities array<string>, contexts array<struct<entity:string,term:string,spots:array<struct<start:int,end:int>>>>"
+    "entities array<string>, terms array<struct<term:string,spots:array<struct<start:int,end:int>>>>"
 )
 
 
 def base_table(docs: DataFrame) -> DataFrame:
-    """Base spans, entities and their contexts of every row; ``tie`` tells apart rows of one ``doc_id``."""
+    """Base spans and entities of every row, and the terms of rows with entities; ``tie`` tells apart rows of one ``doc_id``."""
     kind = docs.schema["doc_id"].dataType
     schema = FOUND.format(id=kind.simpleString())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spot = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-        context = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("spots", pa.list_(spot))]))
+        used = pa.list_(pa.struct([("term", pa.string()), ("spots", pa.list_(spot))]))
         for batch in slices(batches):
             counts: list[list[int]] = [[] for _ in KINDS]
-            bases, entities, near = [], [], []
+            bases, entities, terms = [], [], []
             for text in batch.column(2).to_pylist():
                 found = base_spans(text or "")
                 for own, k in zip(counts, KINDS, strict=True):
                     own.append(len(found[k]))
                 bases.append(listed(found))
-                own = contexts(text, found) if bases[-1] else []
-                entities.append(sorted({e for e, _, _ in own}))
-                near.append([{"entity": e, "term": t, "spots": [{"start": a, "end": b} for a, b in s]} for e, t, s in own])
+                entities.append(entities_of(text, found) if bases[-1] else [])
+                own = terms_of(text, found) if bases[-1] else {}
+                terms.append([{"term": t, "spots": [{"start": a, "end": b} for a, b in s]} for t, s in own.items()])
             columns = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in counts)]
-            columns += [pa.array(bases, pa.string()), pa.array(entities, pa.list_(pa.string())), pa.array(near, context)]
-            names = ["doc_id", "tie", "n_email", "n_ip", "n_card", "n_phone", "base", "entities", "contexts"]
+            columns += [pa.array(bases, pa.string()), pa.array(entities, pa.list_(pa.string())), pa.array(terms, used)]
+            names = ["doc_id", "tie", "n_email", "n_ip", "n_card", "n_phone", "base", "entities", "terms"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.select("doc_id", tie(), "text").mapInArrow(run, schema)
@@ -162,11 +168,27 @@ def tie() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie")
 
 
+def paired(base: DataFrame, entities: DataFrame) -> DataFrame:
+    """``doc_id``, ``tie``, ``entity``, ``term`` and ``spots`` of every row, for the given entities.
+
+    The entities are chosen before the terms come in, so terms travel once for a row and
+    not once for each of its entities.
+    """
+    held = base.select("doc_id", "tie", F.explode("entities").alias("entity")).join(entities, "entity", "left_semi")
+    held = held.groupBy("doc_id", "tie").agg(F.collect_set("entity").alias("held"))
+    rows = base.filter(F.size("entities") > 0).select("doc_id", "tie", "terms")
+    rows = rows.alias("b").join(held.alias("h"), same_row("b", "h")).select("b.doc_id", "b.tie", "b.terms", "h.held")
+    rows = rows.select("doc_id", "tie", "held", F.explode("terms").alias("t"))
+    return rows.select("doc_id", "tie", F.explode("held").alias("entity"), "t.term", "t.spots")
+
+
 def disclosure(docs: DataFrame, base: DataFrame, min_docs: int = MIN_DOCS, at_least: float = GENERALISE) -> DataFrame:
     """``entity``, ``term`` and ``risk``: the share of an entity's information that a term gives away."""
-    near = base.select(F.explode("contexts").alias("c")).select("c.entity", "c.term")
-    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= min_docs)
     with_entity = base.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    # A pair has no more documents than its entity.
+    with_entity = cut_lineage(with_entity.filter(F.col("n_entity") >= min_docs))
+    near = paired(base, with_entity).select("entity", "term")
+    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= min_docs)
     # Each term once for each document that holds it, anywhere in its text. All terms are
     # counted before the join, so that it meets each term once and not each of its uses.
     words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(JAVA_TERM), F.lit(0)), F.lower))
@@ -183,8 +205,8 @@ def disclosure(docs: DataFrame, base: DataFrame, min_docs: int = MIN_DOCS, at_le
 
 def revealing(base: DataFrame, risks: DataFrame) -> DataFrame:
     """``doc_id``, ``tie`` and ``terms``: starts, ends and risks of the terms to be sanitised."""
-    near = base.select("doc_id", "tie", F.explode("contexts").alias("c")).select("doc_id", "tie", "c.entity", "c.term", "c.spots")
-    risky = near.join(risks, ["entity", "term"])
+    risks = cut_lineage(risks)
+    risky = paired(base, risks.select("entity").distinct()).join(risks, ["entity", "term"])
     spots = risky.select("doc_id", "tie", F.explode("spots").alias("s"), "risk")
     worst = spots.groupBy("doc_id", "tie", "s").agg(F.max("risk").alias("risk"))
     span = F.struct("s.start", "s.end", "risk")

@@ -111,5 +111,20 @@ def test_sanitised_texts(spark):
     assert "[NAME] at [EMAIL]" in generalised[0] or "[NAME]" in generalised[0]
 
 
+def test_terms_far_from_the_span(spark):
+    """The name stands in a heading and in a signature; the long run of letters ends beyond 200 characters."""
+    long = "北京" * 150
+    filler = " ".join(f"common{k}" for k in range(120))
+    rows = [(i, f"Zorblax writes: {filler} mail boss@corp.example {long} {filler} regards, ZORBLAX") for i in range(5)]
+    rows += [(10 + i, f"{filler} and person{i}@mail.example") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base = P.base_table(docs)
+    risks = {(r["entity"], r["term"]): r["risk"] for r in P.disclosure(docs, base).collect()}
+    assert {"zorblax", long} <= {t for e, t in risks if e == "email:boss@corp.example"}
+    got = {r["doc_id"]: r["text"] for r in P.sanitise(docs).collect()}
+    assert all("zorblax" not in got[i].lower() and long not in got[i] and got[i].count("common7 ") == 2 for i in range(5))
+    assert all(got[10 + i].startswith(f"{filler} and ") for i in range(30))
+
+
 def test_masks_do_not_overlap():
     assert P.masked("ab 1.2.3.4 cd", "ip:3:10,phone:5:10", [{"start": 11, "end": 13, "risk": 0.85}]) == "ab [IP] [TERM]"
