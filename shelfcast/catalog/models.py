@@ -207,10 +207,17 @@ def m14_preprocess(spark, sf_dir):
     return sized("train").unionByName(sized("val"))
 
 
+def store_flags(stores: DataFrame, calendar: DataFrame) -> DataFrame:
+    """(store_id, date, snap) of each store by its state's flag; stores without a flag have no rows."""
+    own = [F.struct(F.lit(state).alias("state_id"), F.col(flag).alias("snap")) for state, flag in R.STATE_FLAGS.items()]
+    days = calendar.select("date", F.explode(F.array(*own)).alias("f")).select("date", "f.*")
+    return stores.select("store_id", "state_id").distinct().join(days, "state_id").select("store_id", "date", "snap")
+
+
 def _group_model(spark, sf_dir, group: str, snap: bool = False):
     df = P.train_val_split(R.stored_panel(spark, sf_dir))[0]
     holidays = C.holidays_of(R.events(spark, sf_dir))
-    flags = R.calendar(spark, sf_dir).select("date", F.col("snap_CA").alias("snap")) if snap else None
+    flags = store_flags(df, R.calendar(spark, sf_dir)) if snap else None
     return N.fit_groups(df, group, holidays, flags)
 
 

@@ -77,8 +77,10 @@ class Design:
         parts += [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.regressors]
         return F.array(*parts)
 
-    def day_inputs(self, days: DataFrame, holidays: DataFrame | None, regressors: DataFrame | None) -> DataFrame:
-        """(ds, x) for distinct days; holiday and regressor tables have one row per day."""
+    def day_inputs(
+        self, days: DataFrame, holidays: DataFrame | None, regressors: DataFrame | None, keys: list[str]
+    ) -> DataFrame:
+        """``keys`` and x for distinct keys: ds, and the group if regressors have one row per group and day."""
         if holidays is not None:
             keyed = holiday_days(holidays).groupBy(F.col("date").alias("ds"))
             key = F.concat_ws("|", "holiday", F.col("day_offset").cast("string"))
@@ -86,9 +88,14 @@ class Design:
         else:
             days = days.withColumn("holiday_keys", F.lit(None).cast("array<string>"))
         if self.regressors:
-            extra = regressors.select(F.col("date").alias("ds"), *self.regressors)
-            days = days.join(F.broadcast(extra), "ds", "left")
-        return days.select("ds", self.inputs().alias("x"))
+            extra = regressors.withColumnRenamed("date", "ds").select(*keys, *self.regressors)
+            days = days.join(F.broadcast(extra) if keys == ["ds"] else extra, keys, "left")
+        return days.select(*keys, self.inputs().alias("x"))
+
+
+def input_keys(group_col: str, regressors: DataFrame | None) -> list[str]:
+    """What the inputs depend on: the day, and the group where the regressors name it."""
+    return [group_col, "ds"] if regressors is not None and group_col in regressors.columns else ["ds"]
 
 
 def holiday_columns(holidays: DataFrame | None) -> list[str]:
@@ -125,8 +132,10 @@ class SeasonalModel:
 
     def _scored(self, days: DataFrame) -> DataFrame:
         """Rows (group, ds) with the log-scale sum of every block."""
-        inputs = self.design.day_inputs(days.select("ds").distinct(), self.holidays, self.regressors)
-        rows = days.join(F.broadcast(inputs), "ds").join(self.coefficients, self.group_col)
+        keys = input_keys(self.group_col, self.regressors)
+        inputs = self.design.day_inputs(days.select(*keys).distinct(), self.holidays, self.regressors, keys)
+        inputs = F.broadcast(inputs) if keys == ["ds"] else inputs
+        rows = days.join(inputs, keys).join(self.coefficients, self.group_col)
         terms = F.zip_with("beta", "x", lambda b, v: b * v)
         start, blocks = 1, {}
         for name, n in self.design.sizes().items():
@@ -198,13 +207,15 @@ def fit_groups(
     """One model per value of ``group_col``; groups with too few days are left out.
 
     ``regressors`` has a ``date`` column and one column per regressor, and must
-    cover the forecast days too.
+    cover the forecast days too. With the group column it has a row per group and
+    day; a group or day without one has 0.
     """
     series = prepare_series(df, group_col)
     first, last = df.agg(F.min("date"), F.max("date")).first()
-    names = [c for c in regressors.columns if c != "date"] if regressors is not None else []
+    names = [c for c in regressors.columns if c not in ("date", group_col)] if regressors is not None else []
     design = Design(first, last, SEASONAL_DEFAULTS | params, holiday_columns(holidays), names)
-    inputs = design.day_inputs(series.select("ds").distinct(), holidays, regressors)
+    keys = input_keys(group_col, regressors)
+    inputs = design.day_inputs(series.select(*keys).distinct(), holidays, regressors, keys)
     widths, least = np.array(design.prior_widths()), design.params["min_days"]
     kind = dict(df.dtypes)[group_col]
 
@@ -215,7 +226,7 @@ def fit_groups(
         return pd.DataFrame({group_col: [key[0]], "beta": [beta], "sigma": [sigma]})
 
     fitted = (
-        series.join(F.broadcast(inputs), "ds")
+        series.join(F.broadcast(inputs) if keys == ["ds"] else inputs, keys)
         .groupBy(group_col)
         .applyInPandas(fit, f"{group_col} {kind}, beta array<double>, sigma double")
     )

@@ -139,3 +139,25 @@ def test_forecast_run(spark, retail_df, method):
     train = retail_df.join(val, ["id", "date"], "left_anti")
     want = M.wrmsse(val, run.results["forecasts"], train, M.revenue_weights(train, prices)).first()[0]
     assert run.results["wrmsse"].first()[0] == pytest.approx(want)
+
+
+def test_each_store_has_the_flag_of_its_own_state(spark):
+    import pandas as pd
+
+    from shelfcast.catalog import models as M
+
+    dates, rng = days("2015-01-01", 200), np.random.default_rng(1)
+    flags = pd.DataFrame({"date": dates} | {c: rng.integers(0, 2, 200) for c in ("snap_CA", "snap_TX", "snap_WI")})
+    own = {"AFRICA_0": "snap_CA", "AMERICA_0": "snap_TX", "ASIA_1": "snap_WI", "EUROPE_0": None}
+    rows = [
+        {"store_id": s, "state_id": s[:-2], "date": d, "sales": 100.0 * (1 + (flags[c][i] if c else 0))}
+        for s, c in own.items()
+        for i, d in enumerate(dates)
+    ]
+    df = spark.createDataFrame(pd.DataFrame(rows))
+    model = N.fit_groups(df, "store_id", None, M.store_flags(df, spark.createDataFrame(flags)))
+    got = {(r["store_id"], r["ds"]): r["regressors"] for r in model.components(0).collect()}
+    assert len(got) == 800
+    for s, c in own.items():
+        for i, d in enumerate(dates):
+            assert abs(got[s, d] - (0.69 if c and flags[c][i] else 0.0)) < 0.05
