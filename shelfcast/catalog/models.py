@@ -271,12 +271,11 @@ def base_forecasts(nodes: DataFrame) -> DataFrame:
 
 
 def base_residuals(nodes: DataFrame) -> DataFrame:
-    """What the weekday means leave of the same eight weeks: (node_id, t, residual)."""
-    end = nodes.agg(F.max("date")).scalar()
-    recent = nodes.filter(F.col("date") > F.date_sub(end, 56)).withColumn("dow", F.weekday("date"))
-    level = recent.groupBy("node_id", "dow").agg(F.expm1(F.avg(F.log1p("sales"))).alias("fit"))
+    """What the weekday means of all days leave of them: (node_id, t, residual)."""
+    days = nodes.withColumn("dow", F.weekday("date"))
+    level = days.groupBy("node_id", "dow").agg(F.expm1(F.avg(F.log1p("sales"))).alias("fit"))
     t = F.datediff("date", F.lit("1970-01-01")).alias("t")
-    return recent.join(level, ["node_id", "dow"]).select(
+    return days.join(level, ["node_id", "dow"]).select(
         "node_id", t, (F.col("sales") - F.col("fit")).alias("residual")
     )
 

@@ -161,3 +161,10 @@ def test_each_store_has_the_flag_of_its_own_state(spark):
     for s, c in own.items():
         for i, d in enumerate(dates):
             assert abs(got[s, d] - (0.69 if c and flags[c][i] else 0.0)) < 0.05
+
+
+def test_base_residuals_span_all_days(spark):
+    from shelfcast.catalog.models import base_residuals
+
+    rows = [("n", d, float(i % 5)) for i, d in enumerate(days("2015-01-01", 100))]
+    assert base_residuals(spark.createDataFrame(rows, "node_id string, date date, sales double")).count() == 100
