@@ -26,8 +26,9 @@ from shelfcast.plans.forecast_run import preprocess_panel
 from shelfcast.session import cut_lineage, shared_folder
 from shelfcast.sources import calendar as C
 
-ROUNDS = 3
-DEPTH = 4
+ROUNDS = 50
+DEPTH = 5
+PATIENCE = 10
 _fitted: dict[tuple, tuple] = {}
 
 
@@ -38,27 +39,18 @@ def _trained(spark, sf_dir):
         done = preprocess_panel(R.dated_panel(spark, sf_dir), R.prices(spark, sf_dir), states=R.STATE_FLAGS)
         full = done["full"]
         train, val = X.split_features(full, P.validation_start(full), context_lag=28)
-        model = G.fit_tweedie(train, val, early_stopping_rounds=30, rounds=ROUNDS, max_depth=DEPTH, learning_rate=0.3)
+        model = G.fit_tweedie(train, val, early_stopping_rounds=PATIENCE, rounds=ROUNDS, max_depth=DEPTH, learning_rate=0.1)
         _fitted[key] = (model, train, val, full, done["encoders"])
     return _fitted[key]
 
 
 @query("m1_tweedie_boosting")
 def m1_tweedie_boosting(spark, sf_dir):
-    """Tweedie loss of the training rows after each round."""
+    """Tweedie loss of the training rows before the first round and after each."""
     model, train, *_ = _trained(spark, sf_dir)
-    scored = model.assemble(train).withColumn("score", F.lit(model.start))
-    losses = []
-    for i in range(len(model.trees) + 1):
-        losses.append(
-            scored.agg(G.deviance(F.col("sales"), F.col("score")).alias("deviance")).withColumn("round", F.lit(i))
-        )
-        if i < len(model.trees):
-            scored = model.trees[i].step(scored)
-    out = losses[0]
-    for part in losses[1:]:
-        out = out.unionByName(part)
-    return out
+    start = train.agg(G.deviance(F.col("sales"), F.lit(model.start)).alias("deviance")).select(F.lit(0).alias("round"), "deviance")
+    rounds = G.history_table(model, spark).select("round", F.col("train_loss").alias("deviance"))
+    return start.unionByName(rounds)
 
 
 @query("m2_feature_importance")

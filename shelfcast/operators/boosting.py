@@ -1,20 +1,27 @@
-"""Global Tweedie model: Newton boosting over Spark ML regression trees.
+"""Global Tweedie model: Newton boosting over binned features.
 
-Scores F are logarithms of the mean. Each round fits a weighted regression
-tree to -g/h with weights h, the first and second derivative of the Tweedie
-deviance, and then sets every leaf to -sum(g) / (sum(h) + l2).
+Scores F are logarithms of the mean. The inputs are binned once, into a stored table of one byte for each feature
+of a row. Every level of a tree is one grouped sum: tasks add up first and second derivatives of the Tweedie
+deviance by (node, feature, bin), the parts of a node and feature meet in one task, which returns their best split.
+So what leaves a task depends on the size of the tree and not on the rows, and the driver sees one row for
+each node and feature. A leaf is worth -sum(g) / (sum(h) + l2).
+
+Finished trees are flat arrays of nodes. Scores are brought up to date in the stored table every ``CUT_EVERY`` rounds, and
+in between each pass adds the newest trees. Validation errors of these rounds come from one pass too. With a
+``log`` folder the rounds so far are kept there, and a later fit with the same inputs goes on from them.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+import pandas as pd
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +29,9 @@ from shelfcast.fixed_values import BOOSTING_DEFAULTS, FEATURES, TWEEDIE_POWER
 from shelfcast.session import cut_lineage
 
 MISSING = -1.0
-CUT_EVERY = 8
+CUT_EVERY = 10
+MAX_BINS = 256
+QUANTILE_ERROR = 0.002
 
 
 def gradient(sales: Column, score: Column, power: float = TWEEDIE_POWER) -> Column:
@@ -39,22 +48,40 @@ def deviance(sales: Column, score: Column, power: float = TWEEDIE_POWER) -> Colu
     return F.avg(fit - sales * F.exp((1 - power) * score) / (1 - power))
 
 
+def derivatives(sales: np.ndarray, score: np.ndarray, power: float = TWEEDIE_POWER) -> tuple[np.ndarray, np.ndarray]:
+    """First and second derivative of the deviance by the score."""
+    up, down = np.exp((2 - power) * score), sales * np.exp((1 - power) * score)
+    return up - down, (2 - power) * up + (power - 1) * down
+
+
 @dataclass
 class Tree:
-    """One round: the tree, its feature positions and the value of each leaf."""
+    """Nodes as flat arrays; node i has the children ``left[i]`` and ``left[i] + 1``, a leaf has -1 there.
+
+    ``feature`` counts all inputs of the model. A row goes right where its value is above ``threshold``, and so
+    where its bin is above ``bin``.
+    """
 
-    model: DecisionTreeRegressionModel
-    columns: list[int]
-    leaves: dict[int, float]
-    gain: float
+    feature: list[int]
+    bin: list[int]
+    threshold: list[float]
+    left: list[int]
+    value: list[float]
+    gain: list[float]
 
-    def step(self, df: DataFrame) -> DataFrame:
-        """Add this tree's value to the score; a leaf unseen in training adds nothing."""
-        sliced = VectorSlicer(inputCol="features", outputCol="_x", indices=self.columns).transform(df)
-        placed = self.model.transform(sliced)
-        pairs = [F.lit(v) for kv in sorted(self.leaves.items()) for v in (float(kv[0]), kv[1])]
-        value = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("_leaf")), F.lit(0.0))
-        return placed.withColumn("score", F.col("score") + value).drop("_x", "_leaf", "prediction")
+    def leaf_of(self, inputs: np.ndarray, binned: bool) -> np.ndarray:
+        """Node in which each column of the (features, rows) matrix ends."""
+        feature, left = np.array(self.feature), np.array(self.left)
+        cut = np.array(self.bin) if binned else np.array(self.threshold)
+        node, rows = np.zeros(inputs.shape[1], np.int64), np.arange(inputs.shape[1])
+        while rows.size:
+            rows = rows[left[node[rows]] >= 0]
+            at = node[rows]
+            node[rows] = left[at] + (inputs[feature[at], rows] > cut[at])
+        return node
+
+    def scores(self, inputs: np.ndarray, binned: bool) -> np.ndarray:
+        return np.array(self.value)[self.leaf_of(inputs, binned)]
 
 
 @dataclass
@@ -65,29 +92,36 @@ class TweedieModel:
     trees: list[Tree] = field(default_factory=list)
     history: list[dict] = field(default_factory=list)
 
-    def assemble(self, df: DataFrame) -> DataFrame:
-        """Vector of the inputs as numbers; missing inputs and values become -1."""
-        numeric = {
-            f"_f{i}": F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) if c in df.columns else F.lit(MISSING)
-            for i, c in enumerate(self.feature_cols)
-        }
-        assembler = VectorAssembler(inputCols=list(numeric), outputCol="features")
-        return assembler.transform(df.withColumns(numeric)).drop(*numeric)
+    def inputs(self, df: DataFrame) -> Column:
+        """The inputs as an array of numbers; missing inputs and values become -1."""
+        value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) if c in df.columns else F.lit(MISSING)
+        return F.array(*[value(c) for c in self.feature_cols])
+
+    def score(self, df: DataFrame, trees: int | None = None) -> DataFrame:
+        """The rows with a ``score`` by the first trees, or all; one pass of one function, however many trees there are."""
+        start, used, width = self.start, self.trees[:trees], len(self.feature_cols)
+
+        @F.pandas_udf("double")
+        def scored(rows: pd.Series) -> pd.Series:
+            inputs = np.array(rows.to_list(), float).reshape(-1, width).T
+            total = np.full(inputs.shape[1], start)
+            for tree in used:
+                total += tree.scores(inputs, False)
+            return pd.Series(total)
+
+        return df.withColumn("score", scored(self.inputs(df)))
 
     def predict(self, df: DataFrame) -> DataFrame:
         """The rows with a ``forecast``, in one pass without a shuffle."""
-        scored = self.assemble(df).withColumn("score", F.lit(self.start))
-        for tree in self.trees:
-            scored = tree.step(scored)
-        return scored.withColumn("forecast", F.greatest(F.exp("score"), F.lit(0.0))).drop("features", "score")
+        return self.score(df).withColumn("forecast", F.exp("score")).drop("score")
 
     def importance(self) -> dict[str, float]:
-        """Total gain of each feature: the shares of a tree scaled by its gain."""
+        """Total gain of each feature over all splits."""
         totals = dict.fromkeys(self.feature_cols, 0.0)
         for tree in self.trees:
-            shares = tree.model.featureImportances
-            for at, position in enumerate(tree.columns):
-                totals[self.feature_cols[position]] += float(shares[at]) * tree.gain
+            for feature, left, gain in zip(tree.feature, tree.left, tree.gain):
+                if left >= 0:
+                    totals[self.feature_cols[feature]] += gain
         return totals
 
     def importance_table(self, spark: SparkSession) -> DataFrame:
@@ -95,70 +129,260 @@ class TweedieModel:
         table = spark.createDataFrame(rows, "feature string, importance double")
         return table.orderBy(F.desc("importance"), "feature")
 
+    def spec(self) -> dict:
+        return {c: getattr(self, c) for c in ("params", "feature_cols", "start", "history")} | {"trees": [vars(t) for t in self.trees]}
+
+    @classmethod
+    def of_spec(cls, spec: dict) -> "TweedieModel":
+        return cls(**spec | {"trees": [Tree(**t) for t in spec["trees"]]})
+
     def save(self, spark: SparkSession, path: str) -> None:
-        spec = {
-            "params": self.params,
-            "feature_cols": self.feature_cols,
-            "start": self.start,
-            "history": self.history,
-            "trees": [{"columns": t.columns, "leaves": t.leaves, "gain": t.gain} for t in self.trees],
-        }
-        for i, tree in enumerate(self.trees):
-            tree.model.write().overwrite().save(f"{path}/tree-{i:05d}")
-        spark.createDataFrame([(json.dumps(spec),)], "spec string").write.mode("overwrite").json(f"{path}/spec")
+        """Trees and parameters in one committed write: a reader sees the whole model or the one before."""
+        write_note(spark, path, self.spec())
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TweedieModel":
-        spec = json.loads(spark.read.schema("spec string").json(f"{path}/spec").first()[0])
-        trees = [
-            Tree(
-                DecisionTreeRegressionModel.load(f"{path}/tree-{i:05d}"),
-                t["columns"],
-                {int(k): v for k, v in t["leaves"].items()},
-                t["gain"],
-            )
-            for i, t in enumerate(spec.pop("trees"))
-        ]
-        return cls(trees=trees, **spec)
-
-
-class Scored:
-    """Rows with their current score, cached; the last cache serves the next."""
-
-    def __init__(self, df: DataFrame) -> None:
-        self.df, self.steps = df.persist(StorageLevel.MEMORY_AND_DISK), 0
-
-    def advance(self, tree: Tree) -> None:
-        before, self.steps = self.df, self.steps + 1
-        after = tree.step(before)
-        self.df = (cut_lineage(after) if self.steps % CUT_EVERY == 0 else after).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        self.df.count()
-        before.unpersist()
-
-
-def _fit_tree(bag: DataFrame, columns: list[int], params: dict, seed: int) -> Tree:
-    """One tree on the bag, with Newton leaf values from the same rows."""
-    sliced = VectorSlicer(inputCol="features", outputCol="_x", indices=columns).transform(bag)
-    learner = DecisionTreeRegressor(
-        featuresCol="_x",
-        labelCol="target",
-        weightCol="h",
-        leafCol="_leaf",
-        maxDepth=params["max_depth"],
-        maxBins=params["max_bins"],
-        minInstancesPerNode=params["min_rows_per_leaf"],
-        maxMemoryInMB=512,
-        seed=seed,
-    )
-    model = learner.fit(sliced)
-    sums = model.transform(sliced).groupBy("_leaf").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-    rows = sums.collect()  # at most 2 ** max_depth leaves
-    leaves = {int(r["_leaf"]): -params["learning_rate"] * r["g"] / (r["h"] + params["l2"]) for r in rows}
-    total_g, total_h = sum(r["g"] for r in rows), sum(r["h"] for r in rows)
-    gain = sum(r["g"] ** 2 / r["h"] for r in rows if r["h"] > 0) - total_g**2 / max(total_h, 1e-300)
-    return Tree(model, columns, leaves, max(gain, 0.0))
+        return cls.of_spec(read_note(spark, path))
+
+
+def write_note(spark: SparkSession, path: str, note: dict) -> None:
+    """Append a note to a folder; the newest one counts, and older ones stay readable until it is complete."""
+    rows = [(next_number(spark, path), json.dumps(note))]
+    spark.createDataFrame(rows, "number long, note string").coalesce(1).write.mode("append").parquet(path)
+
+
+def notes(spark: SparkSession, path: str) -> DataFrame | None:
+    """All notes of a folder; None where there is no folder yet."""
+    try:
+        return spark.read.schema("number long, note string").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def next_number(spark: SparkSession, path: str) -> int:
+    found = notes(spark, path)
+    return 0 if found is None else (found.agg(F.max("number")).first()[0] or 0) + 1
+
+
+def read_note(spark: SparkSession, path: str) -> dict | None:
+    found = notes(spark, path)
+    newest = None if found is None else found.orderBy(F.desc("number")).select("note").first()
+    return json.loads(newest[0]) if newest else None
+
+
+def bin_edges(df: DataFrame, model: TweedieModel, max_bins: int) -> list[list[float]]:
+    """Ascending cuts of each feature between its quantiles; a value's bin is the number of cuts below it."""
+    wide = df.select(model.inputs(df).alias("x")).select(*[F.col("x")[i].alias(f"f{i}") for i in range(len(model.feature_cols))])
+    marks = [i / max_bins for i in range(1, max_bins)]
+    quantiles = wide.approxQuantile(wide.columns, marks, QUANTILE_ERROR)
+    return [sorted(set(own)) for own in quantiles]
+
+
+BINNED = "row long, sales double, score double, bins binary"
+
+
+def binned(df: DataFrame, model: TweedieModel, edges: list[list[float]]) -> DataFrame:
+    """Stored rows of (row number, sales, score, one byte for each feature)."""
+    cuts, start = [np.array(e) for e in edges], model.start
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, -1)
+            cells = np.empty(values.shape, np.uint8)
+            for f, own in enumerate(cuts):
+                cells[:, f] = np.searchsorted(own, values[:, f], "left")
+            scores = pa.array(np.full(batch.num_rows, start))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), scores, packed(cells)], ["row", "sales", "score", "bins"])
+
+    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col("sales").cast("double").alias("sales"), model.inputs(df).alias("x"))
+    return cut_lineage(rows.mapInArrow(run, BINNED))
+
+
+def packed(cells: np.ndarray) -> pa.Array:
+    """Rows of bytes as a binary column."""
+    ends = np.arange(len(cells) + 1, dtype=np.int32) * cells.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(cells), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(cells))])
+
+
+def unpacked(batch: pa.RecordBatch, trees: list[Tree], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, sales, scores with those of ``trees`` added, and a (features, rows) matrix of bins."""
+    row, sales, score, bins = batch.columns
+    begin = bins.offset * width
+    cells = np.frombuffer(bins.buffers()[2], np.uint8)[begin : begin + batch.num_rows * width].reshape(-1, width)
+    cells = np.ascontiguousarray(cells.T)
+    score = score.to_numpy(zero_copy_only=False).copy()
+    for tree in trees:
+        score += tree.scores(cells, True)
+    return row.to_numpy(), sales.to_numpy(zero_copy_only=False), score, cells
+
+
+def drawn(row: np.ndarray, seed: int, fraction: float) -> np.ndarray:
+    """Whether a row is in the bag of a round; it depends on the row number only, so a repeated task draws the same."""
+    h = row.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & ((1 << 64) - 1))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (h ^ (h >> np.uint64(31))) >> np.uint64(11) < fraction * (1 << 53)
+
+
+def histograms(rows: DataFrame, trees: list[Tree], growing: Tree, open_nodes: list[int], columns: list[int], width: int, seed: int, params: dict) -> DataFrame:
+    """Sums of g, h and rows by (node, feature, bin) of each task, as arrays over the bins."""
+    place = np.full(len(growing.left), -1)
+    place[open_nodes] = np.arange(len(open_nodes))
+    n_bins, fraction = params["max_bins"], params["bagging_fraction"]
+    shape = (len(open_nodes), len(columns), n_bins)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3, *shape))
+        for batch in batches:
+            row, sales, score, cells = unpacked(batch, trees, width)
+            node = place[growing.leaf_of(cells, True)]
+            used = (node >= 0) if fraction >= 1 else (node >= 0) & drawn(row, seed, fraction)
+            g, h = derivatives(sales[used], score[used])
+            first = node[used] * n_bins
+            for i, f in enumerate(columns):
+                at = first + cells[f, used]
+                for k, weight in enumerate((g, h, None)):
+                    total[k, :, i] += np.bincount(at, weight, minlength=shape[0] * n_bins).reshape(shape[0], n_bins)
+        node, column = np.divmod(np.arange(shape[0] * shape[1]), shape[1])
+        sums = [pa.FixedSizeListArray.from_arrays(pa.array(t.ravel()), n_bins).cast(pa.list_(pa.float64())) for t in total]
+        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int32()), pa.array(column, pa.int32()), *sums], ["node", "column", "g", "h", "n"])
+
+    return rows.mapInArrow(run, "node int, column int, g array<double>, h array<double>, n array<double>")
+
+
+SPLIT = "node int, column int, cut int, gain double, g double, h double, left_g double, left_h double"
+
+
+def best_splits(parts: DataFrame, params: dict, tasks: int) -> DataFrame:
+    """The best cut of each node and feature; ``gain`` is null where none keeps enough rows on both sides."""
+    n_bins, l2, least = params["max_bins"], params["l2"], params["min_rows_per_leaf"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            arrays = [c.flatten().to_numpy().reshape(-1, n_bins) for c in batch.columns[2:]]
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                own = np.stack([a[i] for a in arrays])
+                sums[key] = sums[key] + own if key in sums else own
+        if not sums:
+            return
+        keys = np.array(list(sums))
+        g, h, n = np.cumsum(np.stack(list(sums.values())), axis=2).transpose(1, 0, 2)
+        worth = lambda g, h: g**2 / (h + l2)
+        gain = worth(g, h) + worth(g[:, -1:] - g, h[:, -1:] - h) - worth(g[:, -1:], h[:, -1:])
+        gain[(n < least) | (n[:, -1:] - n < least)] = -np.inf
+        cut = gain.argmax(axis=1)
+        pick = lambda a: a[np.arange(len(keys)), cut]
+        found = pick(gain)
+        columns = [pa.array(keys[:, 0], pa.int32()), pa.array(keys[:, 1], pa.int32()), pa.array(cut, pa.int32())]
+        columns += [pa.array(np.where(np.isfinite(found), found, 0.0), mask=~np.isfinite(found))]
+        columns += [pa.array(np.ascontiguousarray(a)) for a in (g[:, -1], h[:, -1], pick(g), pick(h))]
+        yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SPLIT.split(", ")])
+
+    return parts.repartition(tasks, "node", "column").mapInArrow(run, SPLIT)
+
+
+def grow_tree(rows: DataFrame, trees: list[Tree], edges: list[list[float]], columns: list[int], params: dict, seed: int) -> Tree:
+    """One tree, a level at a time; every level is one pass over the rows."""
+    tree = Tree([0], [0], [0.0], [-1], [0.0], [0.0])
+    value = lambda g, h: -params["learning_rate"] * g / (h + params["l2"])
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    open_nodes, width = [0], len(edges)
+    for depth in range(params["max_depth"]):
+        parts = histograms(rows, trees, tree, open_nodes, columns, width, seed, params)
+        best: dict[int, tuple] = {}
+        for r in best_splits(parts, params, min(tasks, len(open_nodes) * len(columns))).collect():
+            if depth == 0:
+                tree.value[0] = value(r["g"], r["h"])
+            # A cut behind the last edge separates nothing; equal gains go to the first feature.
+            if r["gain"] is not None and r["gain"] > 1e-12 and r["cut"] < len(edges[columns[r["column"]]]):
+                best[r["node"]] = max(best.get(r["node"], (0.0,)), (r["gain"], -r["column"], r["cut"], r["g"], r["h"], r["left_g"], r["left_h"]))
+        fresh = []
+        for i, (gain, column, cut, g, h, left_g, left_h) in sorted(best.items()):
+            node, feature = open_nodes[i], columns[-column]
+            tree.feature[node], tree.bin[node], tree.threshold[node] = feature, cut, edges[feature][cut]
+            tree.left[node], tree.gain[node] = len(tree.left), gain
+            for own_g, own_h in ((left_g, left_h), (g - left_g, h - left_h)):
+                fresh.append(len(tree.left))
+                for own, v in ((tree.feature, 0), (tree.bin, 0), (tree.threshold, 0.0), (tree.left, -1), (tree.value, value(own_g, own_h)), (tree.gain, 0.0)):
+                    own.append(v)
+        open_nodes = fresh
+        if not open_nodes:
+            break
+    return tree
+
+
+def brought_up(rows: DataFrame, trees: list[Tree], width: int) -> DataFrame:
+    """The stored table with the scores of further trees added."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = unpacked(batch, trees, width)[2]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), batch.column(3)], batch.schema.names)
+
+    return cut_lineage(rows.mapInArrow(run, BINNED))
+
+
+def round_errors(rows: DataFrame, trees: list[Tree], width: int) -> list[tuple[float, float]]:
+    """(mean deviance, root mean squared error) after each of the trees, in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(trees), 3))
+        for batch in batches:
+            _, sales, score, cells = unpacked(batch, [], width)
+            for i, tree in enumerate(trees):
+                score += tree.scores(cells, True)
+                up, down = np.exp((2 - TWEEDIE_POWER) * score), np.exp((1 - TWEEDIE_POWER) * score)
+                loss = up / (2 - TWEEDIE_POWER) - sales * down / (1 - TWEEDIE_POWER)
+                total[i] += loss.sum(), ((sales - np.exp(score)) ** 2).sum(), sales.size
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(trees)), pa.int32()), *(pa.array(c.copy()) for c in total.T)], ["tree", "loss", "squares", "n"])
+
+    parts = rows.mapInArrow(run, "tree int, loss double, squares double, n double")
+    found = parts.groupBy("tree").agg(*[F.sum(c).alias(c) for c in ("loss", "squares", "n")]).orderBy("tree").collect()
+    return [(r["loss"] / max(r["n"], 1), math.sqrt(r["squares"] / max(r["n"], 1))) for r in found]
+
+
+def stopping_round(errors: list[float], patience: int) -> int | None:
+    """The round after which training stops: the best one plus ``patience``, if that has been reached."""
+    best, best_round = math.inf, 0
+    for i, error in enumerate(errors, 1):
+        if error < best:
+            best, best_round = error, i
+        elif i - best_round >= patience:
+            return i
+    return None
+
+
+@dataclass
+class Progress:
+    """What a later fit needs to go on: the model so far, the cuts and the stored tables."""
+
+    model: TweedieModel
+    edges: list[list[float]]
+    train: DataFrame
+    val: DataFrame | None
+
+    def write(self, spark: SparkSession, path: str, key: str) -> None:
+        files = {n: list(t.inputFiles()) for n, t in (("train", self.train), ("val", self.val)) if t is not None}
+        write_note(spark, path, {"model": self.model.spec(), "edges": self.edges, "files": files, "key": key})
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str, key: str) -> "Progress | None":
+        note = read_note(spark, path)
+        if note is None or note["key"] != key:
+            return None
+        table = lambda n: spark.read.schema(BINNED).parquet(*note["files"][n]) if n in note["files"] else None
+        return cls(TweedieModel.of_spec(note["model"]), note["edges"], table("train"), table("val"))
+
+
+def started(train: DataFrame, val: DataFrame | None, columns: list[str], params: dict) -> Progress:
+    mean = train.agg(F.avg(F.col("sales").cast("double"))).first()[0]
+    model = TweedieModel(params, columns, math.log(max(mean or 0.0, 1e-9)))
+    needed = lambda df: df.select("sales", *[c for c in columns if c in df.columns]).filter(F.col("sales").isNotNull())
+    edges = bin_edges(needed(train), model, params["max_bins"])
+    return Progress(model, edges, binned(needed(train), model, edges), None if val is None else binned(needed(val), model, edges))
 
 
 def fit_tweedie(
@@ -167,59 +391,49 @@ def fit_tweedie(
     feature_cols: list[str] | None = None,
     early_stopping_rounds: int = 50,
     seed: int = 42,
+    log: str | None = None,
     **params,
 ) -> TweedieModel:
     """Train on prepared features; stop when the validation RMSE no longer falls.
 
-    The assembled rows are written once. Scored rows are cached from round to
-    round and written again every few rounds, so that a lost executor repeats
-    a few trees at most.
+    ``history`` has the training loss and the validation RMSE of every round up to the one that stops;
+    the model keeps the trees up to the best round. Rows without sales take no part. With a ``log`` folder,
+    the rounds are written there every ``CUT_EVERY`` rounds, and a fit with equal parameters goes on from them.
     """
-    params = BOOSTING_DEFAULTS | {"max_bins": 256} | params
+    spark = train.sparkSession
+    params = BOOSTING_DEFAULTS | {"max_bins": MAX_BINS} | params
     columns = feature_cols or [c for c in FEATURES if c in train.columns]
-    mean = train.agg(F.avg(F.col("sales").cast("double"))).first()[0]
-    model = TweedieModel(params, columns, math.log(max(mean or 0.0, 1e-9)))
-    prepared = lambda df: cut_lineage(
-        model.assemble(df.select("sales", *[c for c in columns if c in df.columns])).select(
-            F.col("sales").cast("double").alias("sales"), "features", F.lit(model.start).alias("score")
-        )
-    )
-    rows, val_rows = Scored(prepared(train)), None if val is None else Scored(prepared(val))
-    sales, score = F.col("sales"), F.col("score")
-    generator = np.random.default_rng(seed)
-    kept = max(1, round(params["feature_fraction"] * len(columns)))
-    best, best_round = math.inf, 0
-    for i in range(params["rounds"]):
-        derived = rows.df.withColumns({"g": gradient(sales, score), "h": hessian(sales, score)})
-        bag = derived.withColumn("target", -F.col("g") / F.col("h"))
-        if params["bagging_fraction"] < 1:
-            bag = bag.sample(fraction=params["bagging_fraction"], seed=seed + i)
-        chosen = sorted(int(c) for c in generator.choice(len(columns), kept, replace=False))
-        tree = _fit_tree(bag, chosen, params, seed + i)
-        model.trees.append(tree)
-        rows.advance(tree)
-        entry = {"round": i + 1}
-        if val_rows is not None:
-            val_rows.advance(tree)
-            error = val_rows.df.agg(F.sqrt(F.avg(F.pow(sales - F.exp(score), F.lit(2))))).first()[0]
-            entry["val_rmse"] = error
-            if error < best:
-                best, best_round = error, i + 1
-            elif i + 1 - best_round >= early_stopping_rounds:
-                model.history.append(entry)
-                break
-        model.history.append(entry)
-    for held in [rows] + ([val_rows] if val_rows else []):
-        held.df.unpersist()
-    if val_rows is not None and best_round:
-        model.trees = model.trees[:best_round]
+    key = json.dumps([params, columns, early_stopping_rounds, seed], sort_keys=True)
+    now = (Progress.read(spark, log, key) if log else None) or started(train, val, columns, params)
+    model, width = now.model, len(columns)
+    kept = max(1, round(params["feature_fraction"] * width))
+    stop = None
+    while stop is None and len(model.trees) < params["rounds"]:
+        done = len(model.trees)
+        for i in range(done, min(done + CUT_EVERY, params["rounds"])):
+            chosen = sorted(int(c) for c in np.random.default_rng((seed, i)).choice(width, kept, replace=False))
+            model.trees.append(grow_tree(now.train, model.trees[done:], now.edges, chosen, params, seed + i))
+        fresh = model.trees[done:]
+        losses = round_errors(now.train, fresh, width)
+        errors = round_errors(now.val, fresh, width) if now.val is not None else [(None, None)] * len(fresh)
+        model.history += [{"round": done + i + 1, "train_loss": a[0], "val_rmse": b[1]} for i, (a, b) in enumerate(zip(losses, errors))]
+        if now.val is not None:
+            stop = stopping_round([h["val_rmse"] for h in model.history], early_stopping_rounds)
+        if stop is None and len(model.trees) < params["rounds"]:
+            now.train = brought_up(now.train, fresh, width)
+            now.val = None if now.val is None else brought_up(now.val, fresh, width)
+            if log:
+                now.write(spark, log, key)
+    if stop is not None:
+        model.history = model.history[:stop]
+    if now.val is not None and model.history:
+        model.trees = model.trees[: min(model.history, key=lambda h: h["val_rmse"])["round"]]
     return model
 
 
 def history_table(model: TweedieModel, spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(h["round"], h.get("val_rmse")) for h in model.history], "round int, val_rmse double"
-    )
+    rows = [(h["round"], h["train_loss"], h["val_rmse"]) for h in model.history]
+    return spark.createDataFrame(rows, "round int, train_loss double, val_rmse double")
 
 
 def top_features(importance: DataFrame, n: int = 25) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shelfcast.fixed_values import HORIZON, ID_COLUMNS, LAGS, ROLLING_LAG, SNAP_STATES, WINDOWS
 from shelfcast.functions import dates as D
 from shelfcast.functions.scalars import has_event
 from shelfcast.operators.panel import add_snap_flag, last_day
-from shelfcast.session import cut_lineage
+from shelfcast.session import broadcast_if_small, cut_lineage
 
 RECENT_DAYS = 7
 REACH = ROLLING_LAG + max(WINDOWS)
@@ -54,28 +54,63 @@ def history_features(history: DataFrame, day: date) -> DataFrame:
     return history.filter(ago.between(1, REACH)).groupBy("id").agg(*aggs)
 
 
+def with_day_inputs(frame: DataFrame, day: date) -> DataFrame:
+    """Calendar inputs of the day, the event flag if it is not there yet, and inputs of an unchanged price."""
+    inputs = D.calendar_features(F.lit(day)) | {"date": F.lit(day)}
+    if "has_event" not in frame.columns:
+        name = F.col("event_name_1") if "event_name_1" in frame.columns else F.lit(None)
+        inputs["has_event"] = has_event(name)
+    inputs["price_roll_mean_28"] = F.col("sell_price")
+    inputs |= {"price_change": F.lit(0.0), "price_relative": F.lit(1.0), "price_discount": F.lit(0.0)}
+    return frame.withColumns(inputs)
+
+
 def inference_features(series: DataFrame, history: DataFrame, day: date) -> DataFrame:
     """Model inputs of one future day for every series.
 
     ``series`` has one row per id with its keys, price and flags. The price is
     taken as unchanged.
     """
-    frame = series.withColumn("date", F.lit(day)).withColumns(D.calendar_features(F.lit(day)))
-    if "has_event" not in series.columns:
-        name = F.col("event_name_1") if "event_name_1" in series.columns else F.lit(None)
-        frame = frame.withColumn("has_event", has_event(name))
+    frame = with_day_inputs(series, day)
     frame = frame.join(history_features(history, day), "id", "left").fillna(
         0.0, [f"sales_lag_{n}" for n in LAGS] + [f"rolling_{s}_{k}" for k in WINDOWS for s in ("mean", "std")]
     )
-    frame = join_recent_context(frame, history)
-    return frame.withColumns(
-        {
-            "price_roll_mean_28": F.col("sell_price"),
-            "price_change": F.lit(0.0),
-            "price_relative": F.lit(1.0),
-            "price_discount": F.lit(0.0),
-        }
-    )
+    return join_recent_context(frame, history)
+
+
+def series_state(series: DataFrame, history: DataFrame, last: date) -> DataFrame:
+    """Every series with its sales of the last ``REACH`` days, oldest first; days without a row are null."""
+    ago = F.datediff(F.lit(last), F.col("date")) + 1
+    days = [F.max(F.when(ago == n, F.col("sales").cast("double"))) for n in range(REACH, 0, -1)]
+    held = history.filter(ago.between(1, REACH)).groupBy("id").agg(F.array(*days).alias("recent"))
+    nothing = F.array_repeat(F.lit(None).cast("double"), REACH)
+    return series.join(held, "id", "left").withColumn("recent", F.coalesce("recent", nothing))
+
+
+def state_features() -> dict[str, Column]:
+    """The lags and rolling statistics of ``history_features`` for the day behind ``recent``."""
+    known = lambda first, n: F.filter(F.slice("recent", first, n), lambda v: v.isNotNull())
+    total = lambda own, f: F.aggregate(own, F.lit(0.0), lambda acc, v: acc + f(v))
+    out = {f"sales_lag_{n}": F.coalesce(F.element_at("recent", -n), F.lit(0.0)) for n in LAGS}
+    for k in WINDOWS:
+        own = known(REACH + 2 - ROLLING_LAG - k, k)
+        mean = total(own, lambda v: v) / F.size(own)
+        out[f"rolling_mean_{k}"] = F.when(F.size(own) > 0, mean).otherwise(0.0)
+        spread = F.sqrt(total(own, lambda v: F.pow(v - mean, F.lit(2))) / (F.size(own) - 1))
+        out[f"rolling_std_{k}"] = F.when(F.size(own) > 1, spread).otherwise(0.0)
+    return out
+
+
+def join_state_context(state: DataFrame, sizes: dict[str, int]) -> DataFrame:
+    """Mean of the row's store and department over the last day and the ``RECENT_DAYS`` before it, 0 when unknown."""
+    own = F.filter(F.slice("recent", REACH - RECENT_DAYS, RECENT_DAYS + 1), lambda v: v.isNotNull())
+    total = F.sum(F.aggregate(own, F.lit(0.0), lambda acc, v: acc + v))
+    n = F.sum(F.size(own))
+    frame = state
+    for key, name in (("store_id", "store_daily_mean"), ("dept_id", "dept_daily_mean")):
+        means = state.groupBy(key).agg(F.when(n > 0, total / F.nullif(n, F.lit(0))).otherwise(0.0).alias(name))
+        frame = frame.join(broadcast_if_small(means, sizes[key]), key, "left").withColumn(name, F.coalesce(name, F.lit(0.0)))
+    return frame
 
 
 def with_day_flags(series: DataFrame, day: Row, states: dict[str, str], state_col: str) -> DataFrame:
@@ -98,14 +133,14 @@ def recursive_forecast(
 
     ``calendar`` gives the events and benefit flags of the coming days, by the state named
     in ``state_col``; on days that it lacks, the flags of ``series`` hold.
-    Only the days that lags can reach are carried along, partitioned by
-    series, and the growing plan is cut once per day.
+    The state is one row a series with its last ``REACH`` days. A day reads the stored state, and writes it
+    with the prediction behind it, so every day costs the same and the history is read once.
     """
     last = history.agg(F.max("date")).first()[0]
-    columns = ["id", "date", "sales", "store_id", "dept_id"]
-    recent = history.filter(F.col("date") > F.lit(last - timedelta(days=REACH)))
-    known = cut_lineage(recent.select(*columns))
-    series = cut_lineage(series)
+    state = cut_lineage(series_state(series, history, last))
+    sizes = {c: state.agg(F.count_distinct(c)).first()[0] for c in ("store_id", "dept_id")}
+    carried = state.columns
+    flags = [c for c in ("has_event", "snap") if c in carried]
     ahead = {}
     if calendar is not None:
         within = F.col("date").between(F.lit(last + timedelta(days=1)), F.lit(last + timedelta(days=horizon)))
@@ -113,10 +148,14 @@ def recursive_forecast(
     results = None
     for step in range(1, horizon + 1):
         day = last + timedelta(days=step)
-        flagged = with_day_flags(series, ahead[day], states, state_col) if day in ahead else series
-        frame = predict(inference_features(flagged, known, day))
-        done = cut_lineage(frame.select(*ID_COLUMNS, "date", "forecast"))
+        frame = join_state_context(state, sizes).withColumns(state_features() | {f"_own_{c}": F.col(c) for c in flags})
+        frame = with_day_flags(frame, ahead[day], states, state_col) if day in ahead else frame
+        predicted = predict(with_day_inputs(frame, day))
+        following = F.concat(F.slice("recent", 2, REACH - 1), F.array(F.col("forecast").cast("double")))
+        # A day's flags are not those of the next one.
+        kept = [F.col(f"_own_{c}").alias(c) if c in flags else F.col(c) for c in carried if c != "recent"]
+        state = cut_lineage(predicted.select(*kept, F.lit(day).alias("date"), "forecast", following.alias("recent")))
+        done = state.select(*ID_COLUMNS, "date", "forecast")
+        state = state.drop("date", "forecast")
         results = done if results is None else results.unionByName(done)
-        known = append_predictions(known, done.select("id", "date", "forecast", "store_id", "dept_id"))
-        known = known.filter(F.col("date") > F.lit(day - timedelta(days=REACH)))
     return results

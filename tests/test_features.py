@@ -132,6 +132,37 @@ def test_recursive_forecast_uses_its_own_predictions(retail_df):
         assert value == (new[(i, before)] if before > last else old[(i, before)]) + 1
 
 
+def test_state_features_equal_history_features(spark, retail_df):
+    """Also with missing days, a series without recent rows and windows that are only partly there."""
+    last = retail_df.agg(F.max("date")).first()[0]
+    holes = retail_df.filter((F.hash("id", "date") % 3 != 0) & ~((F.col("id") == "item_0_S0_1") & (F.col("date") > last - timedelta(days=90))))
+    series = P.build_hierarchy_map(retail_df).withColumns({"sell_price": F.lit(3.0), "snap": F.lit(0)})
+    want = in_order(V.inference_features(series, holes, last + timedelta(days=1)))
+    state = V.series_state(series, holes, last)
+    got = in_order(V.with_day_inputs(V.join_state_context(state, {"store_id": 2, "dept_id": 2}).withColumns(V.state_features()), last + timedelta(days=1)))
+    for c in want.columns:
+        if c in ("id", "date") or want[c].dtype == object:
+            assert (got[c] == want[c]).all()
+        else:
+            np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), atol=1e-9)
+
+
+def test_recursive_forecast_equals_one_day_after_the_other(retail_df):
+    """The carried state gives what features from the whole history give, day by day."""
+    last = retail_df.agg(F.max("date")).first()[0]
+    series = P.build_hierarchy_map(retail_df).withColumns({"sell_price": F.lit(3.0), "snap": F.lit(0)})
+    inputs = ["sales_lag_7", "sales_lag_28", "rolling_mean_7", "rolling_std_28", "store_daily_mean", "dept_daily_mean"]
+    predict = lambda df: df.withColumn("forecast", sum((F.col(c) * (i + 1) for i, c in enumerate(inputs)), F.lit(0.0)) / 10)
+    got = V.recursive_forecast(predict, series, retail_df, horizon=4).toPandas()
+    history = retail_df.select("id", "date", "sales", "store_id", "dept_id")
+    for step in range(1, 5):
+        day = last + timedelta(days=step)
+        want = predict(V.inference_features(series, history, day)).select("id", "date", "forecast", "store_id", "dept_id")
+        own = got[got["date"] == day].sort_values("id")
+        np.testing.assert_allclose(own["forecast"], want.orderBy("id").toPandas()["forecast"], rtol=1e-9)
+        history = V.append_predictions(history, want)
+
+
 def test_recursive_forecast_takes_flags_of_the_coming_days(spark, retail_df):
     last = retail_df.agg(F.max("date")).first()[0]
     series = P.build_hierarchy_map(retail_df).withColumns({"sell_price": F.lit(3.0), "snap": F.lit(0), "has_event": F.lit(0)})

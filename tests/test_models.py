@@ -26,17 +26,88 @@ def boosted(spark):
 
 def test_deviance_falls_and_forecasts_are_positive(boosted):
     df, model = boosted
-    scored = model.assemble(df).withColumn("score", F.lit(model.start))
-    losses = [scored.agg(G.deviance(F.col("sales"), F.col("score"))).first()[0]]
-    for tree in model.trees:
-        scored = tree.step(scored)
-        losses.append(scored.agg(G.deviance(F.col("sales"), F.col("score"))).first()[0])
+    loss = lambda n: model.score(df, n).agg(G.deviance(F.col("sales"), F.col("score"))).first()[0]
+    losses = [loss(n) for n in range(len(model.trees) + 1)]
     assert all(b < a for a, b in zip(losses, losses[1:]))
+    assert [h["train_loss"] for h in model.history] == pytest.approx(losses[1:])
     assert model.predict(df).agg(F.min("forecast")).first()[0] >= 0
     errors = [h["val_rmse"] for h in model.history]
     assert errors == sorted(errors, reverse=True)
 
 
+def dense_tree(x, g, h, depth, l2, least, rate):
+    """Leaf value of each row by trying every cut of every feature."""
+    worth = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + l2)
+
+    def grow(rows, depth):
+        best = (1e-12, None)
+        for f in range(x.shape[1]) if depth else []:
+            for cut in np.unique(x[rows, f])[:-1]:
+                low, high = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+                if min(len(low), len(high)) >= least:
+                    best = max(best, (worth(low) + worth(high) - worth(rows), (-f, cut)), key=lambda b: b[0])
+        if best[1] is None:
+            out[rows] = -rate * g[rows].sum() / (h[rows].sum() + l2)
+            return
+        f, cut = -best[1][0], best[1][1]
+        grow(rows[x[rows, f] <= cut], depth - 1)
+        grow(rows[x[rows, f] > cut], depth - 1)
+
+    out = np.zeros(len(x))
+    grow(np.arange(len(x)), depth)
+    return out
+
+
+def test_tree_equals_an_exhaustive_search(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (300, 3)).astype(float)
+    y = rng.poisson(np.exp(0.2 * x[:, 0] - 0.1 * x[:, 2])).astype(float)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, sales double").repartition(3)
+    whole = {"feature_fraction": 1.0, "bagging_fraction": 1.0, "learning_rate": 0.4, "min_rows_per_leaf": 7}
+    model = G.fit_tweedie(df, None, ["a", "b", "c"], rounds=3, max_depth=3, **whole)
+    score = np.full(300, np.log(y.mean()))
+    for _ in range(3):
+        g, h = G.derivatives(y, score)
+        score += dense_tree(x, g, h, 3, 0.1, 7, 0.4)
+    got = model.score(spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i int, a double, b double, c double"))
+    np.testing.assert_allclose([r["score"] for r in got.orderBy("i").collect()], score, rtol=1e-9)
+
+
+def test_a_resumed_fit_equals_an_unbroken_one(spark, boosted, tmp_path, monkeypatch):
+    df, _ = boosted
+    monkeypatch.setattr(G, "CUT_EVERY", 2)
+    fit = lambda log=None: G.fit_tweedie(df, df, ["a", "b", "c"], rounds=5, max_depth=2, learning_rate=0.3, log=log)
+    want, grow, log = fit(), G.grow_tree, str(tmp_path / "log")
+
+    def lost(rows, trees, *rest):
+        if len(grown) == 3:
+            raise RuntimeError("driver lost")
+        grown.append(1)
+        return grow(rows, trees, *rest)
+
+    grown = []
+    monkeypatch.setattr(G, "grow_tree", lost)
+    with pytest.raises(RuntimeError):
+        fit(log)
+    grown = [0] * 10
+    again = fit(log)
+    assert len(grown) == 13 and again.history == want.history and again.trees == want.trees
+
+
+def test_scoring_plans_do_not_grow_with_the_trees(spark, boosted):
+    df, model = boosted
+    many = G.TweedieModel(model.params, model.feature_cols, model.start, model.trees * 50)
+    size = lambda m: len(m.predict(df)._jdf.queryExecution().toString())
+    assert size(many) < 1.1 * size(model)
+
+
+def test_all_rows_of_one_value_make_no_split(spark):
+    df = spark.createDataFrame([(1.0, 2.0)] * 60, "a double, sales double")
+    model = G.fit_tweedie(df, None, ["a", "missing"], rounds=2, max_depth=3)
+    assert [t.left for t in model.trees] == [[-1], [-1]]
+    assert model.predict(df).first()["forecast"] == pytest.approx(2.0)
+
+
 def test_importance_finds_the_driver(spark, boosted):
     _, model = boosted
     top = G.top_features(model.importance_table(spark), 2).collect()
@@ -49,6 +120,8 @@ def test_model_round_trip(spark, boosted, tmp_path):
     again = G.TweedieModel.load(spark, str(tmp_path / "m"))
     total = lambda m: m.predict(df).agg(F.sum("forecast")).first()[0]
     assert total(again) == pytest.approx(total(model)) and again.feature_cols == model.feature_cols
+    G.TweedieModel(model.params, model.feature_cols, model.start, model.trees[:1]).save(spark, str(tmp_path / "m"))
+    assert len(G.TweedieModel.load(spark, str(tmp_path / "m")).trees) == 1
 
 
 def test_early_stopping_keeps_the_best_round(spark):
