@@ -19,7 +19,7 @@ neighbours are compared:
   where buckets are compared across their boundaries by first and last key, one row of
   each bucket.
 
-Records tell rows apart by ``doc_id`` and 16 bits of a hash of the text. Equal rows count
+Records tell rows apart by ``doc_id`` and a 64-bit hash of the text, which also orders the texts of one id. Equal rows count
 as one document and get the same result; a null ``doc_id`` comes before all others; null
 and empty texts have no bytes, texts under 100 bytes nothing to remove. An empty table
 gives an empty one; other columns are not read.
@@ -50,26 +50,27 @@ LOW = np.uint64(0xFFFFF)
 CELL = 8
 
 REPEATED, OPEN, FIRST, LAST = 1, 0, 2, 3
-RECORD = ["lead", "gram", "digest", "doc", "place"]
-CELLS = ["lead", "core", "left", "right", "doc", "place"]
+RECORD = ["lead", "gram", "digest", "doc", "tie", "place"]
+CELLS = ["lead", "core", "left", "right", "doc", "tie", "place"]
 
 
 def longs(names: list[str]) -> str:
     return ", ".join(f"{n} long" for n in names)
 
 
-def pack(tie: np.ndarray, start: np.ndarray, count: np.ndarray, anchor: np.ndarray | int = 0) -> np.ndarray:
-    """Tie bits of the row, first window, way to the anchor and number of windows in one ascending long."""
-    return (tie.astype(np.int64) << 47) | (start.astype(np.int64) << 14) | (np.int64(anchor) << 7 if np.isscalar(anchor) else anchor.astype(np.int64) << 7) | count.astype(np.int64)
+def pack(start: np.ndarray, count: np.ndarray, anchor: np.ndarray | int = 0) -> np.ndarray:
+    """First window, way to the anchor and number of windows in one ascending long."""
+    return (start.astype(np.int64) << 14) | (np.int64(anchor) << 7 if np.isscalar(anchor) else anchor.astype(np.int64) << 7) | count.astype(np.int64)
 
 
 def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First window, way to the anchor, number of windows."""
-    return (place >> 14) & ((1 << 33) - 1), (place >> 7) & 127, place & 127
+    return place >> 14, (place >> 7) & 127, place & 127
 
 
 def tie_of(text: Column) -> Column:
-    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(1 << 16))
+    """Tells apart the texts of one ``doc_id``: a hash of 64 bits."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -175,8 +176,8 @@ def suffix_records(length: int):
             for buffer, ends, rows, offsets in blocks(utf8(batch.column(2)), length):
                 text, start, count, anchor, lead, gram, digest = records_of(buffer, ends, length)
                 begins = np.concatenate(([0], ends[:-1]))
-                place = pack(tie[rows[text]], start - begins[text] + offsets[text], count, anchor)
-                yield batch_of(RECORD, [lead, gram, digest, doc[rows[text]], place])
+                place = pack(start - begins[text] + offsets[text], count, anchor)
+                yield batch_of(RECORD, [lead, gram, digest, doc[rows[text]], tie[rows[text]], place])
 
     return run
 
@@ -211,8 +212,8 @@ def cell_records(length: int, rows: int = 1 << 16):
                 for first in range(0, at.size, rows):
                     own = at[first : first + rows]
                     found = np.fromiter((digest(view[a : a + core]) for a in own.tolist()), np.uint64, own.size).view(np.int64)
-                    place = pack(np.full(own.size, tie), own, np.zeros(own.size))
-                    held.append([leading(data, own), found, beside(data, own - 1, -1), beside(data, own + core, 1), np.full(own.size, doc), place])
+                    place, row = pack(own, np.zeros(own.size)), [np.full(own.size, doc), np.full(own.size, tie)]
+                    held.append([leading(data, own), found, beside(data, own - 1, -1), beside(data, own + core, 1), *row, place])
                     n += own.size
                     if n >= rows:
                         yield batch_of(CELLS, [np.concatenate(c) for c in zip(*held, strict=True)])
@@ -233,14 +234,14 @@ def cell_windows(left: np.ndarray, right: np.ndarray, j: int) -> tuple[np.ndarra
 def single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One record for each window of a cell; no text is needed, the digest is made of core and sides."""
     for batch in batches:
-        lead, core, left, right, doc, place = (c.to_numpy() for c in batch.columns)
+        lead, core, left, right, doc, tie, place = (c.to_numpy() for c in batch.columns)
         start, _, _ = unpack(place)
         for j in range(CELL):
             a, b, fits = cell_windows(left, right, j)
             key = np.stack([core, a, b, np.full(core.size, j)], axis=1)[fits]
             found = np.fromiter((xxhash.xxh3_64_intdigest(k.tobytes()) for k in key), np.uint64, len(key)).view(np.int64)
-            own = pack(place[fits] >> 47, start[fits] - j, np.ones(len(key)))
-            yield batch_of(RECORD, [lead[fits], core[fits], found, doc[fits], own])
+            own = pack(start[fits] - j, np.ones(len(key)))
+            yield batch_of(RECORD, [lead[fits], core[fits], found, doc[fits], tie[fits], own])
 
 
 def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
@@ -276,10 +277,10 @@ def changes(columns: list[np.ndarray]) -> np.ndarray:
     return new
 
 
-def repeats_of_first(new: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+def repeats_of_first(new: np.ndarray, doc: np.ndarray, tie: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Rows behind the first of their group; the same place of the same row (from an equal row) is no repeat."""
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    return ~new & ((doc != doc[first]) | (place != place[first]))
+    return ~new & ((doc != doc[first]) | (tie != tie[first]) | (place != place[first]))
 
 
 def open_groups(group_new: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -310,10 +311,10 @@ def sort_bucket(single: bool):
         columns = whole_bucket(batches)
         if not columns:
             return
-        lead, gram, digest, doc, place = columns
+        lead, gram, digest, doc, tie, place = columns
         new = changes([lead, gram, digest])
         kind = np.full(new.size, -1, dtype=np.int32)
-        kind[repeats_of_first(new, doc, place)] = REPEATED
+        kind[repeats_of_first(new, doc, tie, place)] = REPEATED
         if single:
             kind[0] = FIRST
         else:
@@ -335,9 +336,9 @@ def sort_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     columns = whole_bucket(batches)
     if not columns:
         return
-    lead, core, left, right, doc, place = columns
+    lead, core, left, right, doc, tie, place = columns
     core_new, new = changes([lead, core]), changes([lead, core, left, right])
-    settled = repeats_of_first(new, doc, place)
+    settled = repeats_of_first(new, doc, tie, place)
     group = np.cumsum(core_new) - 1
     firsts = np.flatnonzero(new & (np.bincount(group[new]) > 1)[group])
     again = np.zeros((new.size, CELL), dtype=bool)
@@ -346,16 +347,16 @@ def sort_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again[settled, j] = fits[settled]
         own = firsts[fits[firsts]]
         if own.size:
-            order = own[np.lexsort((place[own], doc[own], b[own], a[own], group[own]))]
-            again[order[repeats_of_first(changes([group[order], a[order], b[order]]), doc[order], place[order])], j] = True
+            order = own[np.lexsort((place[own], tie[own], doc[own], b[own], a[own], group[own]))]
+            again[order[repeats_of_first(changes([group[order], a[order], b[order]]), doc[order], tie[order], place[order])], j] = True
     # Neighbouring windows of a cell become one run: column j starts j bytes before the core.
     edge = np.diff(np.pad(again.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     row, low = np.nonzero(edge == 1)
     _, high = np.nonzero(edge == -1)
     start, _, _ = unpack(place[row])
-    runs = pack(place[row] >> 47, start - (high - 1), high - low)
+    runs = pack(start - (high - 1), high - low)
     zero = np.zeros(row.size, np.int64)
-    yield from reported(CELLS, np.full(row.size, REPEATED, np.int32), [zero, zero, zero, zero, doc[row], runs])
+    yield from reported(CELLS, np.full(row.size, REPEATED, np.int32), [zero, zero, zero, zero, doc[row], tie[row], runs])
     at_end = np.flatnonzero(new & ((group == 0) | (group == group[-1])))
     yield from reported(CELLS, np.full(at_end.size, OPEN, np.int32), [c[at_end] for c in columns])
 
@@ -366,17 +367,18 @@ def in_buckets(records: DataFrame, buckets: int, names: list[str], fn) -> DataFr
     return cut_lineage(spread.mapInArrow(fn, f"kind int, bucket int, {longs(names)}"))
 
 
-def across_boundaries(found: DataFrame) -> list[tuple[int, int]]:
-    """(doc, place) of each bucket's first window that repeats the last key of a bucket before it."""
+def across_boundaries(found: DataFrame) -> list[tuple[int, int, int]]:
+    """(doc, tie, place) of each bucket's first window that repeats the last key of a bucket before it."""
     ends = found.filter(F.col("kind").isin(FIRST, LAST)).collect()  # two rows of each bucket
     firsts = {r["bucket"]: r for r in ends if r["kind"] == FIRST}
     lasts = {r["bucket"]: r for r in ends if r["kind"] == LAST}
     key = lambda r: (r["lead"], r["gram"], r["digest"])
+    own = lambda r: (r["doc"], r["tie"], r["place"])
     out, before = [], None
     for bucket in sorted(firsts):
         first, last = firsts[bucket], lasts[bucket]
-        if before is not None and key(first) == key(before) and (first["doc"], first["place"]) != (before["doc"], before["place"]):
-            out.append((first["doc"], first["place"]))
+        if before is not None and key(first) == key(before) and own(first) != own(before):
+            out.append(own(first))
         before = last
     return out
 
@@ -389,7 +391,7 @@ def repeated_windows(docs: DataFrame, length: int = 100, bucket_bytes: int = BUC
     several = lambda n: max(1, -(-n // bucket_bytes))
     size = rows.agg(F.sum(F.length("bytes"))).first()[0] or 0
     found = in_buckets(rows.mapInArrow(suffix_records(length), longs(RECORD)), several(size), RECORD, sort_bucket(False))
-    owner = ("doc", F.shiftright("place", 47).alias("tie"), "place")
+    owner = ("doc", "tie", "place")
     left_open = found.filter(F.col("kind") == OPEN)
     n_cells = (left_open.count() * 7) * 50  # about 50 bytes for each of some seven cells
     undecided = left_open.select(*owner).groupBy("doc", "tie").agg(F.collect_list("place").alias("places"))
@@ -398,10 +400,10 @@ def repeated_windows(docs: DataFrame, length: int = 100, bucket_bytes: int = BUC
     at_ends = cells.filter(F.col("kind") == OPEN).select(*CELLS)
     single = at_ends.mapInArrow(single_windows, longs(RECORD))
     single = in_buckets(single, several(at_ends.count() * CELL * 50), RECORD, sort_bucket(True))
-    late = spark.createDataFrame(across_boundaries(single), "doc long, place long")
+    late = spark.createDataFrame(across_boundaries(single), "doc long, tie long, place long")
     for table in (found, cells, single):
-        late = late.union(table.filter(F.col("kind") == REPEATED).select("doc", "place"))
-    return late.select(*owner).groupBy("doc", "tie").agg(F.collect_list("place").alias("places"))
+        late = late.union(table.filter(F.col("kind") == REPEATED).select(*owner))
+    return late.groupBy("doc", "tie").agg(F.collect_list("place").alias("places"))
 
 
 def removed_runs(places: list[int] | None, length: int) -> tuple[np.ndarray, np.ndarray]:

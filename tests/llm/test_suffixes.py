@@ -97,3 +97,18 @@ def test_multikey_order_sorts():
 def test_lengths_out_of_range(no_docs):
     with pytest.raises(ValueError):
         S.repeated_windows(no_docs, length=20)
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """Two texts of one id that agree in the low bits of their hash, and many texts without an id, keep what is theirs."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage, tail = text(200), text(150)
+    texts = [text(350) for _ in range(2000)] + [passage + tail]
+    hashes = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t", "xxhash64(t) & 1023 AS low").collect()
+    low = next(r["low"] for r in hashes if r["t"] == passage + tail)
+    other = next(r["t"] for r in hashes if r["low"] == low and r["t"] != passage + tail)
+    rows = [(1, passage), (5, passage + tail), (5, other)] + [(None, text(120)) for _ in range(300)]
+    got = S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), kept=False).collect()
+    removed = {(r["doc_id"], r["n_bytes"], r["kept_sha256"]): r["n_removed"] for r in got}
+    assert sum(removed.values()) == 200 and removed[(5, 350, hashlib.sha256(other.encode()).hexdigest())] == 0
