@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from shelfcast.catalog import aggregates, data, joins, models, windows  # noqa: F401
+from shelfcast.catalog import aggregates, data, joins, model_checks, models, windows  # noqa: F401

@@ -159,11 +159,11 @@ _BY_DAY = "(PARTITION BY id ORDER BY date"
 
 _LAGS_SQL = (
     f"WITH {R.SHIPMENTS_SQL}, "
-    "gappy AS MATERIALIZED (SELECT concat_ws('_', item_id, store_id) AS id, date, sum(l_quantity) AS sales FROM ship GROUP BY ALL) "
+    "gappy AS MATERIALIZED (SELECT concat_ws('_', item_id, store_id) AS id, date, sum(l_quantity) AS sales FROM ship GROUP BY ALL), "
+    f"later AS (SELECT id, CAST(date + n AS DATE) AS date, n, sales FROM gappy, (SELECT unnest([{', '.join(map(str, LAGS))}]) AS n)) "
     "SELECT g.id, g.date, "
-    + ", ".join(f"coalesce(l{n}.sales, 0.0) AS sales_lag_{n}" for n in LAGS)
-    + " FROM gappy g "
-    + " ".join(f"LEFT JOIN gappy l{n} ON l{n}.id = g.id AND l{n}.date = g.date - {n}" for n in LAGS)
+    + ", ".join(f"coalesce(max(CASE WHEN n = {n} THEN l.sales END), 0.0) AS sales_lag_{n}" for n in LAGS)
+    + " FROM gappy g LEFT JOIN later l ON l.id = g.id AND l.date = g.date GROUP BY g.id, g.date"
 )
 
 

@@ -94,15 +94,29 @@ def m7_early_stopping(spark, sf_dir):
     return G.history_table(_trained(spark, sf_dir)[0], spark)
 
 
-@query("s4_model_persistence")
+@query(
+    "s4_model_persistence",
+    R.with_panel(
+        """SELECT 'trees' AS model, count(*) AS n_rows, 0.0::DOUBLE AS max_gap FROM panel, bounds WHERE date > hi - 28
+        UNION ALL SELECT 'seasons', 28 * count(DISTINCT store_id), 0.0 FROM series"""
+    ),
+)
 def s4_model_persistence(spark, sf_dir):
-    """Largest difference between a model's forecasts before and after a round trip."""
+    """Largest difference between the forecasts of both kinds of model before and after a round trip."""
     model, _, val, *_ = _trained(spark, sf_dir)
     path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
-    model.save(spark, path)
-    again = G.TweedieModel.load(spark, path).predict(val).select("id", "date", F.col("forecast").alias("again"))
-    both = model.predict(val).select("id", "date", "forecast").join(again, ["id", "date"])
-    return both.agg(F.count("*").alias("n_rows"), F.max(F.abs(F.col("forecast") - F.col("again"))).alias("max_gap"))
+    model.save(spark, f"{path}/trees")
+    again = G.TweedieModel.load(spark, f"{path}/trees").predict(val)
+    groups = _group_model(spark, sf_dir, "store_id")
+    groups.save(f"{path}/seasons")
+    later = N.SeasonalModel.load(spark, f"{path}/seasons").predict(28)
+
+    def compared(name, before, after, keys, value):
+        both = before.select(*keys, F.col(value).alias("a")).join(after.select(*keys, F.col(value).alias("b")), keys)
+        return both.agg(F.lit(name).alias("model"), F.count("*").alias("n_rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("max_gap"))
+
+    trees = compared("trees", model.predict(val), again, ["id", "date"], "forecast")
+    return trees.unionByName(compared("seasons", groups.predict(28), later, ["store_id", "ds"], "yhat"))
 
 
 def _rolling_day_sql() -> str:
@@ -297,14 +311,14 @@ gap AS (
 def h1_ols_two_levels(spark, sf_dir):
     """Series and total only, where the projection spreads the gap evenly."""
     nodes, tree = _nodes(spark, sf_dir, ["total"])
-    done = REC.ols_reconcile(base_forecasts(nodes), H.membership_edges(tree, ["total"]))
+    done = REC.ols_reconcile(base_forecasts(nodes), H.membership_edges(tree, ["total"]), "direct")
     return R.rounded(done.select("node_id", F.weekday("date").alias("dow"), "forecast"))
 
 
 @query("h1_ols_all_levels")
 def h1_ols_all_levels(spark, sf_dir):
     nodes, tree = _nodes(spark, sf_dir, LEVELS)
-    return REC.ols_reconcile(base_forecasts(nodes), H.membership_edges(tree, LEVELS))
+    return REC.ols_reconcile(base_forecasts(nodes), H.membership_edges(tree, LEVELS), "direct")
 
 
 @query(
@@ -314,14 +328,14 @@ def h1_ols_all_levels(spark, sf_dir):
         FROM base JOIN gap USING (dow) JOIN vars USING (node_id)""",
         _BASE_SQL,
         """vars AS (SELECT node_id, var_pop(e) AS v FROM (
-            SELECT node_id, date, sales - lag(sales) OVER (PARTITION BY node_id ORDER BY date) AS e FROM base_nodes
-            WHERE date >= (SELECT hi FROM bounds) - 56) WHERE e IS NOT NULL GROUP BY node_id)""",
+            SELECT node_id, date, sales - lag(sales) OVER (PARTITION BY node_id ORDER BY date) AS e FROM base_nodes)
+            WHERE e IS NOT NULL GROUP BY node_id)""",
     ),
 )
 def h2_mint_wls_two_levels(spark, sf_dir):
     nodes, tree = _nodes(spark, sf_dir, ["total"])
-    residuals = REC.naive_residuals(nodes, 56)
-    done = REC.mint_reconcile(base_forecasts(nodes), H.membership_edges(tree, ["total"]), residuals, "wls")
+    residuals = REC.naive_residuals(nodes)
+    done = REC.mint_reconcile(base_forecasts(nodes), H.membership_edges(tree, ["total"]), residuals, "wls", "direct")
     return R.rounded(done.select("node_id", F.weekday("date").alias("dow"), "forecast"))
 
 
@@ -329,10 +343,19 @@ def h2_mint_wls_two_levels(spark, sf_dir):
 def h2_mint_shrink(spark, sf_dir):
     nodes, tree = _nodes(spark, sf_dir, LEVELS)
     residuals = cut_lineage(base_residuals(nodes))
-    return REC.mint_reconcile(base_forecasts(nodes), H.membership_edges(tree, LEVELS), residuals, "shrink")
+    return REC.mint_reconcile(base_forecasts(nodes), H.membership_edges(tree, LEVELS), residuals, "shrink", "direct")
 
 
-@query("h3_strategy_gaps")
+_AGGREGATES_SQL = " + ".join(f"count(DISTINCT {n}_id)" for n in ("store", "state", "cat", "dept")) + " + 1"
+
+
+@query(
+    "h3_strategy_gaps",
+    R.with_panel(
+        f"""SELECT method, true AS coherent, 7 * (SELECT {_AGGREGATES_SQL} FROM series) AS n_rows
+        FROM (SELECT unnest(['bottom_up', 'top_down', 'ols', 'mint']) AS method)"""
+    ),
+)
 def h3_strategy_gaps(spark, sf_dir):
     """Largest incoherence left by each strategy; all are near zero."""
     nodes, tree = _nodes(spark, sf_dir, LEVELS)
@@ -341,7 +364,7 @@ def h3_strategy_gaps(spark, sf_dir):
     edges = REC.aggregate_edges(H.membership_edges(tree, LEVELS))
     out = None
     for method in REC.METHODS:
-        done = REC.reconcile(method, base, tree, LEVELS, history, residuals)
+        done = REC.reconcile(method, base, tree, LEVELS, history, residuals, solver="direct")
         worst = REC.aggregate_gaps(done, edges, "date", "forecast").agg(
             F.max(F.abs("gap")).alias("max_gap"), F.count("*").alias("n_rows")
         )

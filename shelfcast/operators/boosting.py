@@ -72,13 +72,15 @@ class Tree:
     def leaf_of(self, inputs: np.ndarray, binned: bool) -> np.ndarray:
         """Node in which each column of the (features, rows) matrix ends."""
         feature, left = np.array(self.feature), np.array(self.left)
-        cut = np.array(self.bin) if binned else np.array(self.threshold)
+        cut = np.where(left < 0, np.inf, np.array(self.bin if binned else self.threshold, float))
+        # A leaf leads to itself: nothing lies above its cut.
+        left = np.where(left < 0, np.arange(left.size), left)
         node, rows = np.zeros(inputs.shape[1], np.int64), np.arange(inputs.shape[1])
-        while rows.size:
-            rows = rows[left[node[rows]] >= 0]
-            at = node[rows]
-            node[rows] = left[at] + (inputs[feature[at], rows] > cut[at])
-        return node
+        while True:
+            following = left[node] + (inputs[feature[node], rows] > cut[node])
+            if (following == node).all():
+                return node
+            node = following
 
     def scores(self, inputs: np.ndarray, binned: bool) -> np.ndarray:
         return np.array(self.value)[self.leaf_of(inputs, binned)]
@@ -206,11 +208,23 @@ def packed(cells: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cells), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(cells))])
 
 
+def larger(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Batches joined to at least ``rows``, so that what is done once for each of them weighs less."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def unpacked(batch: pa.RecordBatch, trees: list[Tree], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row numbers, sales, scores with those of ``trees`` added, and a (features, rows) matrix of bins."""
     row, sales, score, bins = batch.columns
     begin = bins.offset * width
-    cells = np.frombuffer(bins.buffers()[2], np.uint8)[begin : begin + batch.num_rows * width].reshape(-1, width)
+    cells = np.frombuffer(bins.buffers()[2] or b"", np.uint8)[begin : begin + batch.num_rows * width].reshape(-1, width)
     cells = np.ascontiguousarray(cells.T)
     score = score.to_numpy(zero_copy_only=False).copy()
     for tree in trees:
@@ -231,20 +245,22 @@ def histograms(rows: DataFrame, trees: list[Tree], growing: Tree, open_nodes: li
     place = np.full(len(growing.left), -1)
     place[open_nodes] = np.arange(len(open_nodes))
     n_bins, fraction = params["max_bins"], params["bagging_fraction"]
-    shape = (len(open_nodes), len(columns), n_bins)
+    shape, first_free = (len(open_nodes), len(columns)), len(open_nodes) * n_bins
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, *shape))
-        for batch in batches:
+        total = np.zeros((3, shape[1], shape[0] * n_bins))
+        for batch in larger(batches):
             row, sales, score, cells = unpacked(batch, trees, width)
             node = place[growing.leaf_of(cells, True)]
-            used = (node >= 0) if fraction >= 1 else (node >= 0) & drawn(row, seed, fraction)
+            used = np.flatnonzero((node >= 0) if fraction >= 1 else (node >= 0) & drawn(row, seed, fraction))
             g, h = derivatives(sales[used], score[used])
             first = node[used] * n_bins
             for i, f in enumerate(columns):
-                at = first + cells[f, used]
-                for k, weight in enumerate((g, h, None)):
-                    total[k, :, i] += np.bincount(at, weight, minlength=shape[0] * n_bins).reshape(shape[0], n_bins)
+                at = first + cells[f][used]
+                total[0, i] += np.bincount(at, g, minlength=first_free)
+                total[1, i] += np.bincount(at, h, minlength=first_free)
+                total[2, i] += np.bincount(at, minlength=first_free)
+        total = total.reshape(3, shape[1], shape[0], n_bins).transpose(0, 2, 1, 3)
         node, column = np.divmod(np.arange(shape[0] * shape[1]), shape[1])
         sums = [pa.FixedSizeListArray.from_arrays(pa.array(t.ravel()), n_bins).cast(pa.list_(pa.float64())) for t in total]
         yield pa.RecordBatch.from_arrays([pa.array(node, pa.int32()), pa.array(column, pa.int32()), *sums], ["node", "column", "g", "h", "n"])

