@@ -1,17 +1,18 @@
 """Personal data: patterns, and information-theoretic sanitisation of what reveals it.
 
-Patterns find e-mail addresses, IP addresses, card and phone numbers (the base spans).
-An entity is such a value. Terms of its documents, wherever they stand, can reveal it even
-when the value is masked: with counts of documents over the whole corpus, the pointwise
-mutual information of a term and an entity, divided by the information the entity itself carries, is the share of it that the term
-discloses. In documents that hold the entity, all uses of terms that disclose at least ``generalise``
-of it are replaced by their class, and those from ``remove`` on are removed. Pairs seen in fewer than
-``min_docs`` documents are no evidence; so an entity of fewer documents has its value masked,
-and no term is judged by it. Uses inside a span are masked with it and are no terms.
-
-Counts stay in Spark. Each document's distinct terms meet those of its entities that have
-``min_docs`` documents; pairs are combined before their shuffle, and a join meets each at most
-once on one side.
+Patterns find e-mail addresses, IP addresses, card and phone numbers (the base spans). Protected are their
+values and the parts that many values share: an address's domain and local part, a network, a card's issuer, an area.
+Terms of their documents, wherever they stand, can reveal a protected value even when it is masked. With counts
+of documents over the whole corpus, P(value | term) = (n_pair + prior P(value)) / (n_term + prior), and the pointwise mutual
+information log P(value | term) / P(value), divided by the value's own information, is the share of it that the
+term discloses. The prior counts as that many documents that say nothing, so a single meeting is weak evidence, but values
+of one and two documents are judged like all others, and their parts by all documents that hold them. Values in more than a
+quarter of all documents are masked, but no term is judged by them. In documents with a
+value, all uses of terms that disclose at least ``generalise`` of it are replaced by their class, and those
+from ``remove`` on are removed. Text inside a span is masked with it and holds no terms.
+
+Counts stay in Spark. A term can only disclose enough if it is rare enough beside the value, so terms meet their counts
+first, and only those that can still pass meet the values of their documents: frequent words are never paired.
 
 A null text is an empty one: no spans. Rows that repeat a ``doc_id`` and a text get equal
 answers, and each counts as a document; a null ``doc_id`` is a value like another. An empty
@@ -21,7 +22,6 @@ table gives an empty one; other columns are kept by ``sanitise`` and not read by
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,7 +35,9 @@ from shelfcast.session import cut_lineage
 # Kinds of personal data, in the order in which spans are listed.
 KINDS = ["email", "ip", "card", "phone"]
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
-MIN_DOCS = 3
+PRIOR = 1.0
+LARGEST_SHARE = 0.25  # what more documents hold carries less than two bits and identifies nobody
+SHORTEST = 2
 GENERALISE = 0.8
 REMOVE = 0.95
 
@@ -44,8 +46,8 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TERM = regex.compile(r"[\p{L}\p{N}]+")
-JAVA_TERM = r"[\p{L}\p{N}]+"
+# Java and Python pattern of a term.
+TERM = r"[\p{L}\p{N}]+"
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -104,125 +106,123 @@ def entities_of(text: str, found: dict[str, list[tuple[int, int]]]) -> list[str]
     return sorted({named(kind, text[a:b]) for kind, own in found.items() for a, b in own})
 
 
-def terms_of(text: str, found: dict[str, list[tuple[int, int]]]) -> dict[str, list[tuple[int, int]]]:
-    """The words of the whole text and where each stands, without those inside spans."""
-    covered = sorted(s for own in found.values() for s in own)
-    starts = [a for a, _ in covered]
-    reach, most = [], 0
-    for _, b in covered:
-        most = max(most, b)
-        reach.append(most)
+def parts_of(entity: str) -> list[str]:
+    """What an entity shares with others: domain and local part, the network, a card's issuer, a phone's area."""
+    kind, value = entity.split(":", 1)
+    if kind == "email":
+        local, domain = value.split("@", 1)
+        return [f"local:{local}", f"domain:{domain}"]
+    if kind == "ip":
+        return ["network:" + ".".join(value.split(".")[:2])]
+    return [f"issuer:{value[:6]}" if kind == "card" else f"area:{value[:-4]}"]
 
-    def inside(a: int, b: int) -> bool:
-        i = bisect_left(starts, b) - 1
-        return i >= 0 and reach[i] > a
 
-    out: dict[str, list[tuple[int, int]]] = {}
-    for m in TERM.finditer(text):
-        s, e = m.span()
-        if e - s >= 2 and not inside(s, e):
-            out.setdefault(m[0].lower(), []).append((s, e))
-    return out
+def protected(entities: list[str]) -> list[str]:
+    return sorted({v for e in entities for v in (e, *parts_of(e))})
 
 
-def contexts(text: str, found: dict[str, list[tuple[int, int]]]) -> list[tuple[str, str, list[tuple[int, int]]]]:
-    """(entity, term, spots) of every entity and every term of a text."""
-    terms = terms_of(text, found)
-    return [(entity, term, at) for entity in entities_of(text, found) for term, at in terms.items()]
+def blanked(text: str, found: dict[str, list[tuple[int, int]]]) -> str:
+    """The text with blanks in place of its spans; positions stay."""
+    out, free = [], 0
+    for a, b in sorted(s for own in found.values() for s in own):
+        if b > free:
+            out += [text[free : max(a, free)], " " * (b - max(a, free))]
+            free = b
+    return "".join(out) + text[free:]
 
 
-FOUND = (
-    "doc_id {id}, tie long, n_email long, n_ip long, n_card long, n_phone long, base string, "
-    "entities array<string>, terms array<struct<term:string,spots:array<struct<start:int,end:int>>>>"
-)
+FOUND = "doc_id {id}, tie long, n_email long, n_ip long, n_card long, n_phone long, base string, protected array<string>, rest string"
 
 
 def base_table(docs: DataFrame) -> DataFrame:
-    """Base spans and entities of every row, and the terms of rows with entities; ``tie`` tells apart rows of one ``doc_id``."""
+    """Base spans of every row, and for rows with spans the protected values and the text around them.
+
+    ``tie`` tells apart rows of one ``doc_id``, ``row`` all stored rows.
+    """
     kind = docs.schema["doc_id"].dataType
-    schema = FOUND.format(id=kind.simpleString())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spot = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-        used = pa.list_(pa.struct([("term", pa.string()), ("spots", pa.list_(spot))]))
         for batch in slices(batches):
             counts: list[list[int]] = [[] for _ in KINDS]
-            bases, entities, terms = [], [], []
+            bases, values, rests = [], [], []
             for text in batch.column(2).to_pylist():
                 found = base_spans(text or "")
                 for own, k in zip(counts, KINDS, strict=True):
                     own.append(len(found[k]))
                 bases.append(listed(found))
-                entities.append(entities_of(text, found) if bases[-1] else [])
-                own = terms_of(text, found) if bases[-1] else {}
-                terms.append([{"term": t, "spots": [{"start": a, "end": b} for a, b in s]} for t, s in own.items()])
+                values.append(protected(entities_of(text, found)) if bases[-1] else [])
+                rests.append(blanked(text, found) if bases[-1] else None)
             columns = [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in counts)]
-            columns += [pa.array(bases, pa.string()), pa.array(entities, pa.list_(pa.string())), pa.array(terms, used)]
-            names = ["doc_id", "tie", "n_email", "n_ip", "n_card", "n_phone", "base", "entities", "terms"]
+            columns += [pa.array(bases, pa.string()), pa.array(values, pa.list_(pa.string())), pa.array(rests, pa.string())]
+            names = ["doc_id", "tie", "n_email", "n_ip", "n_card", "n_phone", "base", "protected", "rest"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select("doc_id", tie(), "text").mapInArrow(run, schema)
+    found = docs.select("doc_id", tie(), "text").mapInArrow(run, FOUND.format(id=kind.simpleString()))
+    return cut_lineage(found.withColumn("row", F.monotonically_increasing_id()))
 
 
 def tie() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie")
 
 
-def paired(base: DataFrame, entities: DataFrame) -> DataFrame:
-    """``doc_id``, ``tie``, ``entity``, ``term`` and ``spots`` of every row, for the given entities.
+def terms_in(text: str) -> Column:
+    """The distinct terms of a text column."""
+    words = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+    return F.filter(words, lambda w: F.length(w) >= SHORTEST)
+
+
+def disclosures(docs: DataFrame, base: DataFrame, prior: float = PRIOR, at_least: float = GENERALISE) -> DataFrame:
+    """``row``, ``value``, ``term`` and ``risk``: the share of a value's information that a term of its row gives away."""
+    n = cut_lineage(docs.agg(F.count(F.lit(1)).cast("double").alias("n"))).scalar()
+    held = base.filter(F.size("protected") > 0)
+    values = held.select("row", F.explode("protected").alias("value"))
+    # Values of the same documents are disclosed alike, so one of them stands for all: a list of addresses is one value.
+    where = [F.bit_xor(F.xxhash64(F.lit(seed), "row")).alias(f"where{seed}") for seed in (1, 2)]
+    sizes = values.groupBy("value").agg(F.count(F.lit(1)).alias("n_value"), *where).filter(F.col("n_value") <= LARGEST_SHARE * n)
+    sizes = sizes.groupBy("n_value", "where1", "where2").agg(F.min("value").alias("value"))
+    # A term has at most as many pairs as its value has documents; that bounds how frequent a disclosing one can be.
+    most = (F.col("n_value") + prior) * F.pow(n / F.col("n_value"), F.lit(1.0 - at_least)) - prior
+    n_values = cut_lineage(sizes.select("value", "n_value", most.alias("most")))
+    n_terms = docs.select(F.explode(terms_in("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    rare = n_terms.filter(F.col("n_term") <= n_values.agg(F.max("most")).scalar())
+    # A term beside a span can be cut off by it, and so be missing in the whole text's terms: it counts its pairs then.
+    terms = held.select("row", F.explode(terms_in("rest")).alias("term")).join(rare, "term")
+    pairs = terms.join(values.join(n_values, "value"), "row").filter(F.col("n_term") <= F.col("most"))
+    pairs = cut_lineage(pairs.select("row", "value", "term", "n_value", "n_term"))
+    counted = pairs.groupBy("value", "term").agg(F.first("n_value").alias("n_value"), F.first("n_term").alias("n_term"), F.count(F.lit(1)).alias("n_pair"))
+    share = F.col("n_value") / n
+    given = (F.col("n_pair") + prior * share) / (F.greatest("n_term", "n_pair") + prior)
+    risk = F.log(given / share) / -F.log(share)
+    risks = counted.select("value", "term", risk.alias("risk")).filter(F.col("risk") >= at_least)
+    return pairs.select("row", "value", "term").join(risks, ["value", "term"])
+
+
+def revealing(base: DataFrame, found: DataFrame) -> DataFrame:
+    """``row`` and ``terms``: starts, ends and risks of all uses of the terms to be sanitised in each row."""
+    worst = found.groupBy("row", "term").agg(F.max("risk").alias("risk"))
+    risky = worst.groupBy("row").agg(F.collect_list(F.struct("term", "risk")).alias("risky"))
+    spot = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("risk", pa.float64())])
 
-    The entities are chosen before the terms come in, so terms travel once for a row and
-    not once for each of its entities.
-    """
-    held = base.select("doc_id", "tie", F.explode("entities").alias("entity")).join(entities, "entity", "left_semi")
-    held = held.groupBy("doc_id", "tie").agg(F.collect_set("entity").alias("held"))
-    rows = base.filter(F.size("entities") > 0).select("doc_id", "tie", "terms")
-    rows = rows.alias("b").join(held.alias("h"), same_row("b", "h")).select("b.doc_id", "b.tie", "b.terms", "h.held")
-    rows = rows.select("doc_id", "tie", "held", F.explode("terms").alias("t"))
-    return rows.select("doc_id", "tie", F.explode("held").alias("entity"), "t.term", "t.spots")
-
-
-def disclosure(docs: DataFrame, base: DataFrame, min_docs: int = MIN_DOCS, at_least: float = GENERALISE) -> DataFrame:
-    """``entity``, ``term`` and ``risk``: the share of an entity's information that a term gives away."""
-    with_entity = base.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    # A pair has no more documents than its entity.
-    with_entity = cut_lineage(with_entity.filter(F.col("n_entity") >= min_docs))
-    near = paired(base, with_entity).select("entity", "term")
-    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= min_docs)
-    # Each term once for each document that holds it, anywhere in its text. All terms are
-    # counted before the join, so that it meets each term once and not each of its uses.
-    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(JAVA_TERM), F.lit(0)), F.lower))
-    with_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    joined = pairs.join(with_entity, "entity").join(with_term, "term", "left")
-    n = total.scalar().cast("double")
-    n_term = F.greatest(F.coalesce("n_term", F.lit(0)), "n_pair")
-    shared = F.log(n * F.col("n_pair") / (n_term * F.col("n_entity")))
-    own = F.log(n / F.col("n_entity"))
-    risk = F.when(own > 0, shared / own).otherwise(0.0)
-    return joined.select("entity", "term", risk.alias("risk")).filter(F.col("risk") >= at_least)
-
-
-def revealing(base: DataFrame, risks: DataFrame) -> DataFrame:
-    """``doc_id``, ``tie`` and ``terms``: starts, ends and risks of the terms to be sanitised."""
-    risks = cut_lineage(risks)
-    risky = paired(base, risks.select("entity").distinct()).join(risks, ["entity", "term"])
-    spots = risky.select("doc_id", "tie", F.explode("spots").alias("s"), "risk")
-    worst = spots.groupBy("doc_id", "tie", "s").agg(F.max("risk").alias("risk"))
-    span = F.struct("s.start", "s.end", "risk")
-    return worst.groupBy("doc_id", "tie").agg(F.sort_array(F.collect_list(span)).alias("terms"))
-
-
-def same_row(left: str, right: str) -> Column:
-    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.tie") == F.col(f"{right}.tie"))
-
-
-def find(docs: DataFrame, min_docs: int = MIN_DOCS, generalise: float = GENERALISE) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pattern = regex.compile(TERM)
+        for batch in slices(batches):
+            out = []
+            for rest, terms in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                risk = {t["term"]: t["risk"] for t in terms}
+                uses = ((m.start(), m.end(), risk.get(m[0].lower())) for m in pattern.finditer(rest))
+                out.append([{"start": a, "end": b, "risk": r} for a, b, r in uses if r is not None])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(spot))], ["row", "terms"])
+
+    texts = base.select("row", "rest").join(risky, "row")
+    return texts.mapInArrow(run, "row long, terms array<struct<start:int,end:int,risk:double>>")
+
+
+def find(docs: DataFrame, prior: float = PRIOR, generalise: float = GENERALISE) -> DataFrame:
     """Counts, base spans and ``terms`` (start, end, risk) of every row."""
-    base = cut_lineage(base_table(docs))
-    terms = revealing(base, disclosure(docs, base, min_docs, generalise))
-    joined = base.alias("b").join(terms.alias("t"), same_row("b", "t"), "left")
-    return joined.select("b.doc_id", "b.tie", "b.n_email", "b.n_ip", "b.n_card", "b.n_phone", "b.base", "t.terms")
+    base = base_table(docs)
+    terms = revealing(base, disclosures(docs, base, prior, generalise))
+    joined = base.join(terms, "row", "left")
+    return joined.select("doc_id", "tie", "n_email", "n_ip", "n_card", "n_phone", "base", "terms")
 
 
 def term_class(word: str) -> str:
@@ -247,9 +247,9 @@ def masked(text: str, base: str, terms: list[dict] | None, remove: float = REMOV
     return "".join(out) + text[free:]
 
 
-def sanitise(docs: DataFrame, min_docs: int = MIN_DOCS, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def sanitise(docs: DataFrame, prior: float = PRIOR, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """The rows with sanitised texts; other columns stay. Rows without spans are left as they are."""
-    marks = find(docs, min_docs, generalise).filter("base <> ''").dropDuplicates(["doc_id", "tie"])
+    marks = find(docs, prior, generalise).filter("base <> ''").dropDuplicates(["doc_id", "tie"])
     marks = marks.select(*[F.col(c).alias(f"_mark_{c}") for c in ("doc_id", "tie", "base", "terms")])
     same = F.col("doc_id").eqNullSafe(F.col("_mark_doc_id")) & (F.col("_row_tie") == F.col("_mark_tie"))
     joined = docs.withColumn("_row_tie", tie()).join(marks, same, "left")

@@ -83,23 +83,81 @@ def telling(spark):
     return spark.createDataFrame(rows, "doc_id long, text string"), rows
 
 
+def brute_risks(rows, prior=1.0):
+    """(place of the row, term) to the largest share that the term discloses of a value of the row."""
+    values, words = [], []
+    for _, t in rows:
+        found = plain_spans(t or "")
+        values.append(set(P.protected(P.entities_of(t or "", found))))
+        words.append({w.lower() for w in re.findall(r"[^\W_]+", P.blanked(t or "", found)) if len(w) >= 2})
+    whole = [{w.lower() for w in re.findall(r"[^\W_]+", t or "")} for _, t in rows]
+    n, n_term = len(rows), Counter(w for own in whole for w in own)
+    n_value = Counter(v for own in values for v in own)
+    n_pair = Counter((v, w) for vs, ws in zip(values, words) for v in vs for w in ws)
+    out = {}
+    for i, (vs, ws) in enumerate(zip(values, words)):
+        for v in vs:
+            share = n_value[v] / n
+            for w in ws if share <= 0.25 else ():
+                given = (n_pair[v, w] + prior * share) / (max(n_term[w], n_pair[v, w]) + prior)
+                out[i, w] = max(out.get((i, w), -math.inf), math.log(given / share) / -math.log(share))
+    return out
+
+
+def check_terms(docs):
+    """Sanitised terms of every row beside brute force; rows of one id and text count each."""
+    rows = rows_of(docs)
+    want = Counter()
+    for (place, w), risk in brute_risks(rows).items():
+        if risk >= P.GENERALISE:
+            want[rows[place][0], w] += 1
+    got = Counter()
+    by_id = {}
+    for i, t in rows:
+        by_id.setdefault((i, hashlib.sha256(P.listed(plain_spans(t or "")).encode()).hexdigest()), t)
+    for r in P.find(docs).collect():
+        text = by_id[r["doc_id"], hashlib.sha256(r["base"].encode()).hexdigest()]
+        for w in {text[t["start"] : t["end"]].lower() for t in r["terms"] or []}:
+            got[r["doc_id"], w] += 1
+    assert got == +want
+    return got
+
+
 def test_risks_equal_brute_force(spark):
     docs, rows = telling(spark)
-    base = P.base_table(docs)
-    got = {(r["entity"], r["term"]): r["risk"] for r in P.disclosure(docs, base, 3, -10.0).collect()}
-    term = lambda t: {w.lower() for w in re.findall(r"[^\W_]+", t)}
-    n_term = Counter(w for _, t in rows for w in term(t))
-    pair, n_entity = Counter(), Counter()
-    for _, t in rows:
-        near = P.contexts(t, P.base_spans(t))
-        pair.update((e, w) for e, w, _ in near)
-        n_entity.update({e for e, _, _ in near})
-    want = {}
-    for (e, w), n in pair.items():
-        if n >= 3:
-            want[e, w] = math.log(len(rows) * n / (n_term[w] * n_entity[e])) / math.log(len(rows) / n_entity[e])
-    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
-    assert got["email:boss@corp.example", "zorblax"] == 1.0 and got["email:boss@corp.example", "common"] < 0.1
+    found = P.disclosures(docs, P.base_table(docs), at_least=P.GENERALISE)
+    risks = {r["term"]: r["risk"] for r in found.filter("value LIKE '%boss%' OR value LIKE '%corp%'").collect()}
+    want = brute_risks(rows)
+    assert abs(risks["zorblax"] - want[0, "zorblax"]) < 1e-9 and "common" not in risks and want[0, "common"] < 0.1
+    check_terms(docs)
+
+
+def test_values_of_one_and_two_documents_are_judged(spark):
+    rows = [(0, "Quimby Vexler pays with 4111 1111 1111 1111 today"), (1, "lone@a.example is Marisqua"), (2, "Marisqua again, lone@a.example")]
+    rows += [(10 + i, f"people pay with cards today and again is here {i % 7}") for i in range(60)]
+    got = check_terms(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got[0, "vexler"] and got[1, "marisqua"] and got[2, "marisqua"] and not got[0, "today"]
+
+
+def test_parts_pool_the_documents_of_many_values(spark):
+    """Each address stands once; a word that is only beside one domain discloses the domain."""
+    rows = [(i, f"Zorblax staff p{i}@corp.example wrote words{i % 3}") for i in range(12)]
+    rows += [(20 + i, f"others wrote words{i % 3} and staff") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = P.disclosures(docs, P.base_table(docs)).filter("value = 'domain:corp.example'")
+    assert {r["term"] for r in found.select("term").distinct().collect()} == {"zorblax"}
+    check_terms(docs)
+
+
+def test_a_list_of_addresses_is_one_value(spark):
+    many = " ".join(f"u{i}@mail{i}.example" for i in range(300)) + " " + " ".join(f"rare{i}" for i in range(300))
+    docs = spark.createDataFrame([(0, many)] + [(1 + i, "some other text") for i in range(80)], "doc_id long, text string")
+    assert P.disclosures(docs, P.base_table(docs)).count() == 300
+    check_terms(docs)
+
+
+def test_terms_of_the_given_documents(documents):
+    assert sum(check_terms(documents).values()) > 0
 
 
 def test_sanitised_texts(spark):
@@ -118,9 +176,7 @@ def test_terms_far_from_the_span(spark):
     rows = [(i, f"Zorblax writes: {filler} mail boss@corp.example {long} {filler} regards, ZORBLAX") for i in range(5)]
     rows += [(10 + i, f"{filler} and person{i}@mail.example") for i in range(30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    base = P.base_table(docs)
-    risks = {(r["entity"], r["term"]): r["risk"] for r in P.disclosure(docs, base).collect()}
-    assert {"zorblax", long} <= {t for e, t in risks if e == "email:boss@corp.example"}
+    assert {"zorblax", long} <= {r["term"] for r in P.disclosures(docs, P.base_table(docs)).collect()}
     got = {r["doc_id"]: r["text"] for r in P.sanitise(docs).collect()}
     assert all("zorblax" not in got[i].lower() and long not in got[i] and got[i].count("common7 ") == 2 for i in range(5))
     assert all(got[10 + i].startswith(f"{filler} and ") for i in range(30))
