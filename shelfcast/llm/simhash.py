@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.common import slices, utf8
@@ -229,7 +229,7 @@ def shard_links(radius: int):
 
 
 def groups(marked: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """``fp`` and ``component_id`` of each distinct fingerprint of a stored table of (doc_id, fp)."""
+    """``fp``, ``root`` (the group's least fingerprint) and ``component_id`` of each distinct fingerprint of a stored table of (doc_id, fp)."""
     if radius > 2:
         raise ValueError("shards hold every pair only up to a radius of 2")
     classes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")))
@@ -239,7 +239,7 @@ def groups(marked: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     named = named.select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    return named.join(least, "root").select("fp", "component_id")
+    return named.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = RADIUS) -> DataFrame:
@@ -248,3 +248,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = RADIUS) -> Da
     found = marked.join(groups(marked, radius), "fp")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
+
+
+def one_of_each(docs: DataFrame, width: int = 3, radius: int = RADIUS) -> DataFrame:
+    """One row of each group, with the columns of ``docs``.
+
+    It is the row with the smallest ``doc_id``, null ids last; of texts that share an id the one of the least
+    hash, of equal rows any.
+    """
+    tie = F.xxhash64(F.coalesce("text", F.lit("")))
+    marked = cut_lineage(fingerprints(docs.select("doc_id", "text", tie.alias("tie")), width, ("tie",)))
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "tie")
+    stays = marked.join(groups(marked, radius), "fp").groupBy("root").agg(F.min(place).alias("stay"))
+    stays = stays.select(F.col("stay.doc_id").alias("_stay_id"), F.col("stay.tie").alias("_stay_tie"))
+    same = F.col("doc_id").eqNullSafe(F.col("_stay_id")) & (F.col("_row_tie") == F.col("_stay_tie"))
+    kept = docs.withColumn("_row_tie", tie).join(stays, same, "left_semi")
+    one = F.row_number().over(Window.partitionBy("doc_id", "_row_tie").orderBy("_row_tie"))
+    return kept.withColumn("_one", one).filter("_one = 1").select(*docs.columns)

@@ -49,7 +49,7 @@ def test_recall_with_several_parts(spark):
     rows = clustered(3000)
     df = vectors(frame(spark, rows), nonzero=True)
     asked = df.filter(F.col("vec_id") % 20 == 0)
-    got = by_query(N.nearest(df, asked, 10, sample=1000, part_rows=200, block_rows=150, block_queries=40))
+    got = by_query(N.nearest(df, asked, 10, block_rows=150, block_queries=40))
     want = nearest_by_force(rows, [r for r in rows if r[0] % 20 == 0], 10)
     hits = [len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want]
     assert np.mean(hits) / 10 > 0.9 and all(len(v) == 10 for v in got.values())
@@ -61,11 +61,33 @@ def test_recall_with_several_parts(spark):
 def test_one_part_is_exact(spark):
     rows = clustered(120, 8)
     df = vectors(frame(spark, rows), nonzero=True)
-    got = by_query(N.nearest(df, df.filter("vec_id < 7"), 10))
+    got = by_query(N.nearest(df, df.filter("vec_id < 7"), 10, parts=1))
     want = nearest_by_force(rows, rows[:7], 10)
     assert {q: [i for _, i in v] for q, v in got.items()} == {q: [i for _, i in v] for q, v in want.items()}
 
 
+def test_parts_follow_the_rows():
+    assert [N.parts_for(n) for n in (0, 10, 200, 500, 2000, 51_282, 10**9)] == [1, 2, 8, 8, 16, 128, 4096]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_the_given_tables(spark, sf, monkeypatch):
+    """Several parts are learned on small tables too and recall stays above 0.9; 500 vectors give no part away, 2000 do."""
+    learned, learn = [], N.learn_router
+    monkeypatch.setattr(N, "learn_router", lambda *a: learned.append(learn(*a)) or learned[-1])
+    df = vectors(spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet"), nonzero=True)
+    got = by_query(N.nearest(df, df.filter("vec_id % 20 = 0"), 10))
+    assert learned[0].parts >= 4 and (sf == "sf0.01" or learned[0].probes < learned[0].parts)
+    rows = [(r["vec_id"], r["vec"]) for r in df.collect()]
+    x, ids = np.array([v for _, v in rows]), np.array([i for i, _ in rows])
+    hits = []
+    for q, found in got.items():
+        d = np.sqrt(((x - x[ids == q]) ** 2).sum(axis=1))
+        d[ids == q] = np.inf
+        hits.append(len({i for _, i in found} & set(ids[np.lexsort((ids, d))[:10]].tolist())))
+    assert np.mean(hits) / 10 >= 0.9
+
+
 def test_parts_are_balanced():
     x = np.array([v for _, v in clustered(1024, 8)])
     part = N.balanced_parts(N.neighbour_graph(x, 8), 8, np.random.default_rng(0))

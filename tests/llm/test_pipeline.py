@@ -1,142 +1,6 @@
-import itertools
-import math
-import random
-import re
-import string
 from collections import Counter
 
-import numpy as np
-import pytest
-
 import corpus_pipeline as C
-from shelfcast.llm import near_texts as N
-
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def shingles(text, width=5):
-    w = WORD.findall("".join(c.lower() if c in string.ascii_uppercase else c for c in text or ""))
-    return frozenset(tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1)))
-
-
-def plain_groups(texts, similarity=0.8):
-    """Text to the texts that links reach."""
-    sets = {t: shingles(t) for t in texts}
-    root = {t: t for t in texts}
-
-    def find(t):
-        while root[t] != t:
-            t = root[t]
-        return t
-
-    for a, b in itertools.combinations(texts, 2):
-        x, y = sets[a], sets[b]
-        if min(len(x), len(y)) >= similarity * max(len(x), len(y)) and len(x & y) >= similarity * len(x | y):
-            root[find(a)] = find(b)
-    return {t: find(t) for t in texts}
-
-
-def plain_stays(rows):
-    group = plain_groups(list({t for _, t in rows}))
-    least = {}
-    for i, t in rows:
-        g = group[t]
-        key = (i is None, i or 0)
-        if g not in least or key < least[g]:
-            least[g] = key
-    return sorted(least.values())
-
-
-def check_near(docs, **kw):
-    rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
-    got = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in N.without_near_duplicates(docs, **kw).collect())
-    assert got == plain_stays(rows)
-
-
-def near_copies(spark):
-    rng = random.Random(4)
-    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6)))
-    rows, passage = [], [word() for _ in range(60)]
-    for g in range(25):
-        base = [word() for _ in range(rng.randint(20, 300))]
-        if g % 3 == 0:
-            base[5:5] = passage
-        for _ in range(rng.randint(1, 12)):
-            own = list(base)
-            for _ in range(rng.choice([0, 1, len(own) // 60, len(own) // 15])):
-                own[rng.randrange(len(own))] = word()
-            rows.append(" ".join(own))
-    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
-
-
-@pytest.mark.parametrize("shard_rows", [1 << 12, 3])
-def test_near_copies(spark, shard_rows):
-    check_near(near_copies(spark), shard_rows=shard_rows)
-
-
-@pytest.mark.parametrize("shard_rows", [1 << 12, 50])
-def test_templates_hide_no_similar_pair(spark, shard_rows):
-    """Texts of one template at similarity 0.75, and among them pairs of 0.8."""
-    rng = random.Random(11)
-    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(8))
-    template, texts = [word() for _ in range(244)], []
-    own = lambda n: [word() for _ in range(n)]
-    for i in range(200):
-        text = template + own(40)
-        texts.append(text)
-        if i % 10 == 0:
-            texts.append(text[:-24] + own(24) if i % 20 else text[:-20] + own(20))
-    rng.shuffle(texts)
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert 0 < len(rows) - len(plain_stays(rows)) <= 20
-    check_near(docs, shard_rows=shard_rows)
-
-
-def test_short_texts_are_within_the_radius(spark):
-    """Eight words and a ninth: 4 of 5 shingles shared, exactly 0.8."""
-    rng = random.Random(12)
-    texts = []
-    for _ in range(300):
-        words = ["".join(rng.choice("abcdefgh") for _ in range(8)) for _ in range(9)]
-        texts += [" ".join(words[:8]), " ".join(words)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert sorted(r["doc_id"] for r in N.without_near_duplicates(docs).collect()) == list(range(0, 600, 2))
-
-
-def test_radius_holds_for_the_worst_sizes():
-    assert abs(N.bit_share(4, 0, 1) - 0.1875) < 1e-12 and N.worst_share(0.8) == N.bit_share(4, 0, 1)
-    tail = lambda r: sum(math.comb(256, k) * 0.1875**k * 0.8125 ** (256 - k) for k in range(r + 1, 257))
-    assert tail(N.radius_for(0.8)) <= 1e-7 < tail(N.radius_for(0.8) - 1)
-
-
-def test_forests_cut_on_the_way_are_least_too():
-    rng = np.random.default_rng(5)
-    marks = rng.integers(0, 2**63, (300, 4), dtype=np.uint64)
-    marks[:, 1:] = 0
-    marks[:, 0] &= np.uint64(0xFFFF)
-    ids, group = np.arange(300), np.repeat([0, 1, 2], 100)
-    weight, parts = [], []
-    for pairs in (1, 1 << 21):
-        a, b, n = N.spanning(ids, marks, group, 5, pairs)
-        assert (group[a] == group[b]).all() and len({*zip(a.tolist(), b.tolist(), strict=True)}) == a.size
-        for forest in range(N.FORESTS):
-            own, label = n == forest, np.arange(300)
-            assert N.take_spanning(label, a[own], b[own]).all()
-            if forest == 0:
-                parts.append(label.tolist())
-        first = n == 0
-        weight.append(int(np.bitwise_count(marks[a[first]] ^ marks[b[first]]).sum()))
-    assert weight[0] == weight[1] and parts[0] == parts[1]
-
-
-def test_documents_without_near_copies(documents):
-    check_near(documents)
-
-
-def test_awkward_near_copies(awkward, no_docs):
-    check_near(awkward.filter("coalesce(length(text), 0) < 100000"))
-    assert N.without_near_duplicates(no_docs).count() == 0
 
 
 def test_stages_keep_clean_documents(spark, tables, documents):
@@ -165,11 +29,3 @@ def test_run_and_empty_input(spark, tables, no_docs, awkward, tmp_path):
         docs.write.parquet(str(tmp_path / name / "documents.parquet"))
         rows = C.run(spark, str(tmp_path / name)).collect()
         assert (name == "none") == (not rows)
-
-
-def test_runs_of_groups():
-    import numpy as np
-
-    assert list(N.group_runs(np.zeros(0, int))) == []
-    group = np.repeat([0, 1, 2, 5], [3, 600, 2, 1])
-    assert [(s.start, s.stop) for s in N.group_runs(group)] == [(0, 3), (3, 603), (603, 606)]

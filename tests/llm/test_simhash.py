@@ -104,3 +104,48 @@ def test_components_of_a_path_and_a_star(spark):
 def test_larger_radius_is_refused(spark):
     with pytest.raises(ValueError):
         S.groups(spark.createDataFrame([(1, 2)], "doc_id long, fp long"), 3)
+
+
+def plain_stays(rows):
+    """The row that stays of each group that links of at most two bits reach, by comparing all texts."""
+    texts = sorted({t or "" for _, t in rows})
+    fps = [S.fingerprint(t.encode(), 3) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 2:
+                root[find(i)] = find(j)
+    place = {t: find(i) for i, t in enumerate(texts)}
+    least = {}
+    for i, t in rows:
+        g, key = place[t or ""], (i is None, i or 0)
+        least[g] = min(least.get(g, key), key)
+    return sorted(least.values())
+
+
+def check_stays(docs):
+    got = S.one_of_each(docs)
+    assert got.columns == docs.columns
+    want = plain_stays([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == want
+
+
+def test_one_of_each_given_document(documents):
+    check_stays(documents)
+
+
+def test_one_of_each_awkward_row(awkward, no_docs):
+    check_stays(awkward.filter("coalesce(length(text), 0) < 100000"))
+    assert S.one_of_each(no_docs).count() == 0
+
+
+def test_one_of_each_hot_group(spark):
+    rows = [(i, "the same words again and again in all of these rows") for i in range(200)] + [(500 + i, f"other {i} words {i * i} here {i} and there {i + 7}") for i in range(50)]
+    rows += [(None, rows[0][1]), (7, rows[0][1]), (7, "two texts have one id"), (7, "two texts have one id")]
+    check_stays(spark.createDataFrame(rows, "doc_id long, text string"))
