@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, language, mixing, near_texts, pii
+from shelfcast.llm import bpe, language, mixing, pii, simhash
 from shelfcast.llm.common import fresh_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -27,8 +27,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word shingle similarity 0.8 or more stays."""
-    return near_texts.without_near_duplicates(docs.select(*COLUMNS), width=5, similarity=0.8)
+    """One document of each group stays: fingerprints of three-word shingles, linked at two differing bits or fewer."""
+    return simhash.one_of_each(docs.select(*COLUMNS), width=3, radius=2)
 
 
 def sanitised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
