@@ -6,7 +6,10 @@ point's neighbours. Every row is indexed under its most probable part. A query v
 its most probable parts, as many as reach ``target`` recall on the sample, and all rows there are
 reranked by exact distance.
 
-The number of parts follows the number of rows. Parts and queries meet in cells of bounded size, so a part that holds
+The number of parts is half the square root of the number of rows, as a power of two, so parts and rows of a part grow
+alike. The sample holds ``SAMPLE_PER_PART`` rows for each part, ``SAMPLE`` at least and ``MAX_SAMPLE`` at most; that bounds
+the parts too, and only beyond some 67 million rows do parts grow with the table. Of few distinct vectors there
+are fewer parts, four vectors each. Parts and queries meet in cells of bounded size, so a part that holds
 most rows is many cells. Equal vectors: see ``topk``.
 
 Left out are null ids, and vectors that are null, zero, of another length than most, or
@@ -30,8 +33,9 @@ from shelfcast.llm.topk import query_classes, ranked, thinned, to_members
 from shelfcast.session import cut_lineage
 
 SAMPLE = 4096
-PART_ROWS = 1600
-MAX_PARTS = 256
+SAMPLE_PER_PART = 16
+MAX_SAMPLE = 65_536
+MAX_PARTS = MAX_SAMPLE // SAMPLE_PER_PART
 BLOCK_ROWS = 4096
 
 
@@ -100,6 +104,10 @@ class Router:
     layers: tuple[np.ndarray, ...]
     probes: int
 
+    @property
+    def parts(self) -> int:
+        return self.layers[3].size
+
     def order(self, x: np.ndarray) -> np.ndarray:
         """Parts of each vector, most probable first."""
         h = np.maximum((x - self.mean) / self.scale @ self.layers[0] + self.layers[1], 0)
@@ -135,7 +143,9 @@ def learn_router(x: np.ndarray, parts: int, k: int = 10, target: float = 0.97, s
     rng = np.random.default_rng(seed)
     x = x[rng.permutation(len(x))]
     mean, scale = x.mean(0), x.std(0) + 1e-9
-    if parts == 1 or len(x) < 4 * parts:
+    while parts > 1 and len(x) < 4 * parts:
+        parts //= 2
+    if parts == 1:
         d = x.shape[1]
         return Router(mean, scale, (np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)), 1)
     graph = neighbour_graph(x, min(k, len(x) - 1))
@@ -149,6 +159,11 @@ def learn_router(x: np.ndarray, parts: int, k: int = 10, target: float = 0.97, s
     return Router(mean, scale, layers, int(min(parts, np.searchsorted(hit, target) + 1)))
 
 
+def parts_for(rows: int) -> int:
+    """Half the square root of the rows, as a power of two."""
+    return min(MAX_PARTS, 1 << max(0, round(float(np.log2(max(rows, 1) ** 0.5 / 2)))))
+
+
 def sample_vectors(rows: DataFrame, limit: int) -> np.ndarray:
     """A pseudo-random choice of at most ``limit`` rows."""
     chosen = rows.select("vec", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(limit)
@@ -192,7 +207,7 @@ def rerank(k: int):
 
 
 def nearest(
-    rows: DataFrame, queries: DataFrame, k: int = 10, sample: int = SAMPLE, part_rows: int = PART_ROWS, target: float = 0.97,
+    rows: DataFrame, queries: DataFrame, k: int = 10, parts: int | None = None, target: float = 0.97,
     block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score`` (distance) of each query's ``k`` nearest found.
@@ -205,10 +220,10 @@ def nearest(
     empty = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not total:
         return empty
-    parts = 1
-    while parts < MAX_PARTS and parts * part_rows * 2 <= total * 1.5:
-        parts *= 2
+    parts = parts or parts_for(total)
+    sample = min(max(SAMPLE, SAMPLE_PER_PART * parts), MAX_SAMPLE)
     router = learn_router(sample_vectors(kept, sample), parts, k, target)
+    parts = router.parts
     indexed = cut_lineage(route(kept, router, 1).select("vec_id", "vec", F.element_at("parts", 1).alias("part")))
     counts = {r["part"]: r["count"] for r in indexed.groupBy("part").count().collect()}  # a row for each part
     classes = cut_lineage(query_classes(queries))
