@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.catalog import query
 from shelfcast.catalog import retail as R
-from shelfcast.catalog.joins import PROPORTIONS_SQL, TOP_SQL, WEIGHT_SQL, split_and_naive
+from shelfcast.catalog.joins import PROPORTIONS_SQL, TOP_SQL, WEIGHT_SQL, split_and_naive, val_and_naive
 from shelfcast.catalog.profiles import ERRORS_SQL, NAIVE_SQL, SPLIT_SQL
 from shelfcast.fixed_values import LEVELS
 from shelfcast.operators import explore as Q
@@ -40,7 +40,7 @@ def _levels_sql(source: str, value: str) -> str:
 )
 def flagship_naive_accuracy(spark, sf_dir):
     """Accuracy of the naive forecast at every level of the hierarchy."""
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     return R.rounded(M.evaluate_hierarchy(M.pair_forecasts(val, naive)))
 
 
@@ -51,7 +51,7 @@ def flagship_naive_accuracy(spark, sf_dir):
     ),
 )
 def a1_bottom_up(spark, sf_dir):
-    _, _, naive = split_and_naive(spark, sf_dir)
+    _, naive = val_and_naive(spark, sf_dir)
     hierarchy = P.build_hierarchy_map(R.daily_sales(spark, sf_dir))
     return R.rounded(H.bottom_up(naive, hierarchy))
 
@@ -116,7 +116,7 @@ def a5_coherence(spark, sf_dir):
 
 @query("a6_error_metrics", R.with_panel(f"SELECT {ERRORS_SQL} FROM pairs", NAIVE_SQL))
 def a6_error_metrics(spark, sf_dir):
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     return R.rounded(M.evaluate_forecasts(val, naive).drop("group", "level"))
 
 
@@ -131,7 +131,7 @@ def a6_error_metrics(spark, sf_dir):
     ),
 )
 def a7_report_by_level(spark, sf_dir):
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     return R.rounded(M.evaluate_levels(val, naive, ["store_id", "cat_id", "dept_id"]))
 
 
@@ -142,7 +142,7 @@ def a7_report_by_level(spark, sf_dir):
     ),
 )
 def a7_report_one_level(spark, sf_dir):
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     return R.rounded(M.evaluate_forecasts(val, naive, "state_id"))
 
 
@@ -199,7 +199,7 @@ def a10_wrmsse(spark, sf_dir):
     ),
 )
 def a11_naive_baseline(spark, sf_dir):
-    _, _, naive = split_and_naive(spark, sf_dir)
+    _, naive = val_and_naive(spark, sf_dir)
     return naive.groupBy("id").agg(F.count("*").alias("n_days"), R.r6(F.min("forecast")).alias("forecast"))
 
 
@@ -243,7 +243,7 @@ def a12_improvement(spark, sf_dir):
     ),
 )
 def a13_store_performance(spark, sf_dir):
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     return R.rounded(M.store_performance(M.pair_forecasts(val, naive)))
 
 
@@ -394,7 +394,7 @@ def _histogram_sql(source: str, column: str, bins: int) -> str:
     ),
 )
 def a24_residual_histogram(spark, sf_dir):
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     return R.rounded(M.histogram(M.residuals(M.pair_forecasts(val, naive)), "residual", 60))
 
 

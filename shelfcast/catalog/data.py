@@ -18,6 +18,7 @@ from shelfcast.operators import ordering as O
 from shelfcast.operators import panel as P
 from shelfcast.operators import reshape
 from shelfcast.session import shared_folder
+from shelfcast.sources import calendar as C
 from shelfcast.sources import tables as T
 
 
@@ -399,3 +400,19 @@ def p13_event_and_zero_filters(spark, sf_dir):
 def p14_min_history(spark, sf_dir):
     kept = P.with_min_history(R.daily_sales(spark, sf_dir), "id", 60)
     return kept.groupBy("id").agg(F.count("*").alias("n_days"), F.sum("sales").alias("sales"))
+
+
+@query(
+    "s3_last_entry_wins",
+    R.with_calendar(
+        """SELECT date, arg_max(event_name_1, place) AS event_name_1, arg_max(event_type_1, place) AS event_type_1 FROM (
+          SELECT 0 AS place, date, event_name_1, event_type_1 FROM events_found
+          UNION ALL SELECT 1, date, 'Payday', 'Local' FROM days WHERE day(date) IN (14, 25)) GROUP BY date"""
+    ),
+)
+def s3_last_entry_wins(spark, sf_dir):
+    """A list with two entries on some days: the later one replaces the earlier."""
+    listed = R.events(spark, sf_dir).select(F.lit(0).alias("place"), F.col("event_name_1").alias("name"), F.col("event_type_1").alias("type"), "date")
+    days = C.days_between(R.bounds(spark, sf_dir)).filter(F.dayofmonth("date").isin(14, 25))
+    paid = days.select(F.lit(1).alias("place"), F.lit("Payday").alias("name"), F.lit("Local").alias("type"), "date")
+    return C.one_event_per_day(listed.unionByName(paid), "place")

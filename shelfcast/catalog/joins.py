@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfcast.catalog import query
 from shelfcast.catalog import retail as R
 from shelfcast.catalog.profiles import ERRORS_SQL, NAIVE_SQL, OFF_EDGE, profile, profile_sql
-from shelfcast.fixed_values import LAGS, SCORED_LEVELS, WINDOWS
+from shelfcast.fixed_values import HORIZON, LAGS, SCORED_LEVELS, WINDOWS
 from shelfcast.operators import baselines as B
 from shelfcast.operators import events as E
 from shelfcast.operators import features as X
@@ -25,6 +25,12 @@ def split_and_naive(spark, sf_dir):
     return train, val, M.naive_baseline(val, train)
 
 
+def val_and_naive(spark, sf_dir):
+    """Validation days and their naive forecast, from the days that these two need."""
+    train, val = P.train_val_split(R.recent_panel(spark, sf_dir, HORIZON + 7))
+    return val, M.naive_baseline(val, train)
+
+
 @query(
     "j1_panel_calendar",
     R.with_dated(
@@ -86,7 +92,7 @@ def j3_overall_median(spark, sf_dir):
     R.with_panel("SELECT id, date, sales, round(forecast, 6) + 0.0 AS forecast FROM pairs", NAIVE_SQL),
 )
 def j4_actuals_forecasts(spark, sf_dir):
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     return R.rounded(M.pair_forecasts(val, naive).select("id", "date", "sales", "forecast"))
 
 
@@ -99,7 +105,7 @@ def j4_actuals_forecasts(spark, sf_dir):
     ),
 )
 def j5_metadata_enrichment(spark, sf_dir):
-    _, _, naive = split_and_naive(spark, sf_dir)
+    _, naive = val_and_naive(spark, sf_dir)
     hierarchy = P.build_hierarchy_map(R.daily_sales(spark, sf_dir))
     return R.rounded(H.with_hierarchy(naive, hierarchy))
 
@@ -404,6 +410,21 @@ def x3_multi_level_wrmsse(spark, sf_dir):
     return R.rounded(M.wrmsse_levels(val, naive, train, weights, hierarchy))
 
 
+@query(
+    "x3_average_wrmsse",
+    R.with_panel(
+        "SELECT round(avg(wrmsse), 6) + 0.0 AS wrmsse, count(*) AS n_levels FROM (" + " UNION ALL ".join(_level_sql(n, _LEVEL_KEYS[n]) for n in SCORED_LEVELS) + ")",
+        NAIVE_SQL,
+        R.PRICES_SQL,
+        WEIGHT_SQL,
+    ),
+)
+def x3_average_wrmsse(spark, sf_dir):
+    """The levels' scores count alike."""
+    levels = x3_multi_level_wrmsse(spark, sf_dir)
+    return levels.agg(R.r6(F.avg("wrmsse")).alias("wrmsse"), F.count("*").alias("n_levels"))
+
+
 @query(
     "x4_ratio_split",
     R.with_panel(

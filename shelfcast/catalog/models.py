@@ -21,8 +21,9 @@ from shelfcast.operators import ordering as O
 from shelfcast.operators import panel as P
 from shelfcast.operators import recursive as V
 from shelfcast.operators import reconcile as REC
+from shelfcast.operators import reshape
 from shelfcast.operators import seasonal as N
-from shelfcast.plans.forecast_run import preprocess_panel
+from shelfcast.plans.forecast_run import preprocess, preprocess_panel
 from shelfcast.session import cut_lineage, shared_folder
 from shelfcast.sources import calendar as C
 
@@ -197,20 +198,40 @@ def m13_build_features(spark, sf_dir):
 )
 def m14_preprocess(spark, sf_dir):
     done = preprocess_panel(R.dated_panel(spark, sf_dir), R.prices(spark, sf_dir), states=R.STATE_FLAGS)
-    sized = lambda name: (
-        done[name]
-        .groupBy("item_id", "store_id")
-        .agg(
-            F.count("*").alias("n_rows"),
-            F.sum("sales").alias("sales"),
-            F.sum("snap").alias("snap"),
-            R.r6(F.avg("sell_price") + OFF_EDGE).alias("sell_price"),
-            F.min("date").alias("first_day"),
-            F.max("date").alias("last_day"),
-        )
-        .withColumn("part", F.lit(name))
+    return _sized(done, "train").unionByName(_sized(done, "val"))
+
+
+def _sized(done: dict, name: str, digits: int = 6) -> DataFrame:
+    """Counts and totals of one part by item and store."""
+    return done[name].groupBy("item_id", "store_id").agg(
+        F.lit(name).alias("part"),
+        F.count("*").alias("n_rows"),
+        F.sum(F.col("sales").cast("double")).alias("sales"),
+        F.sum("snap").alias("snap"),
+        (F.round(F.avg("sell_price") + OFF_EDGE, digits) + 0.0).alias("sell_price"),
+        F.min("date").alias("first_day"),
+        F.max("date").alias("last_day"),
     )
-    return sized("train").unionByName(sized("val"))
+
+
+@query(
+    "m14_from_wide",
+    R.with_priced(
+        """SELECT part, k1.code AS item_id, k2.code AS store_id, count(*) AS n_rows, sum(sales) AS sales,
+        CAST(sum(snap) AS BIGINT) AS snap, round(avg(CAST(CAST(sell_price AS FLOAT) AS DOUBLE)) + 1.1e-8, 5) + 0.0 AS sell_price,
+        min(date) AS first_day, max(date) AS last_day FROM (
+          SELECT *, CASE WHEN date < (SELECT hi - 27 FROM bounds) THEN 'train' ELSE 'val' END AS part FROM priced)
+        JOIN codes k1 ON k1.col = 'item_id' AND k1.label = item_id
+        JOIN codes k2 ON k2.col = 'store_id' AND k2.label = store_id GROUP BY ALL""",
+        _LABELS_SQL,
+    ),
+)
+def m14_from_wide(spark, sf_dir):
+    """The whole preparation: wide sales, melt, day labels, prices, flags, codes, narrow types, split."""
+    first, last = R.bounds(spark, sf_dir).first()
+    wide = reshape.widen_sales(R.panel(spark, sf_dir), (last - first).days + 1)
+    done = preprocess(wide, R.calendar(spark, sf_dir), R.prices(spark, sf_dir), states=R.STATE_FLAGS)
+    return _sized(done, "train", 5).unionByName(_sized(done, "val", 5))
 
 
 def store_flags(stores: DataFrame, calendar: DataFrame) -> DataFrame:

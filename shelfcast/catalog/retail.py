@@ -7,6 +7,8 @@ stores. Sales are shipped quantities over the whole span of ship dates.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with item and store keys.
+def shipments(spark: SparkSession, sf_dir: str, since: date | None = None) -> DataFrame:
+    """Line items with item and store keys, of all days or from a day on; the day reaches the scan.
 
     The dimensions join one after the other without hints: Spark broadcasts
     those whose files are small and joins the others by shuffle, where a hot
@@ -39,7 +41,11 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     dept, item_noun = F.col("p_type"), F.split("p_name", " ").getItem(1)
     cat = F.when(dept.isin(CATEGORIES["CAT_A"]), "CAT_A").when(dept.isin(CATEGORIES["CAT_B"]), "CAT_B")
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem")
+    if since is not None:
+        start = F.lit(since.isoformat()).cast(lines.schema["l_shipdate"].dataType)
+        lines = lines.filter(F.col("l_shipdate") >= start)
+    lines = lines.select(
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.to_date("l_shipdate").alias("date")
     )
     joined = (
@@ -66,10 +72,10 @@ def bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.date_bounds(lines)
 
 
-def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_sales(spark: SparkSession, sf_dir: str, since: date | None = None) -> DataFrame:
     """Series and days with shipments; partial sums are combined before the shuffle."""
     keys = ["item_id", "dept_id", "cat_id", "store_id", "state_id"]
-    sums = shipments(spark, sf_dir).groupBy(*keys, "date").agg(F.sum("l_quantity").alias("sales"))
+    sums = shipments(spark, sf_dir, since).groupBy(*keys, "date").agg(F.sum("l_quantity").alias("sales"))
     return sums.select(F.concat_ws("_", "item_id", "store_id").alias("id"), *keys, "date", "sales")
 
 
@@ -89,6 +95,23 @@ def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(panel(spark, sf_dir))
 
 
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every series with its keys."""
+    keys = ["item_id", "dept_id", "cat_id", "store_id", "state_id"]
+    known = shipments(spark, sf_dir).select(*keys).distinct()
+    return known.select(F.concat_ws("_", "item_id", "store_id").alias("id"), *keys)
+
+
+def recent_panel(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+    """Every series on the last ``days`` days, written once; older shipments only name the series."""
+    last = bounds(spark, sf_dir).select("last").first()[0]
+    first = last - timedelta(days=days - 1)
+    every = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day"))).alias("date")
+    sold = daily_sales(spark, sf_dir, first).select("id", "date", "sales")
+    filled = series(spark, sf_dir).select("*", every).join(sold, ["id", "date"], "left")
+    return cut_lineage(filled.withColumn("sales", F.coalesce("sales", F.lit(0.0))))
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean unit price by store, item and ISO week."""
     unit = F.col("l_extendedprice") / F.col("l_quantity")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfcast.catalog import query
 from shelfcast.catalog import retail as R
 from shelfcast.catalog.data import _LAGS_SQL
-from shelfcast.catalog.joins import split_and_naive
+from shelfcast.catalog.joins import val_and_naive
 from shelfcast.catalog.profiles import NAIVE_SQL, SPLIT_SQL, calendar_feature_sql, profile, profile_sql
 from shelfcast.fixed_values import FEATURES, LAGS, WINDOWS
 from shelfcast.functions import dates as D
@@ -78,7 +78,7 @@ def w7_last_rows(spark, sf_dir):
     ),
 )
 def w8_first_rows(spark, sf_dir):
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     first = M.first_days(M.pair_forecasts(val, naive), 14)
     return R.rounded(first.select("id", "date", "sales", "forecast"))
 
@@ -146,7 +146,7 @@ def t4_series_tail(spark, sf_dir):
     ),
 )
 def t4_first_residuals(spark, sf_dir):
-    _, val, naive = split_and_naive(spark, sf_dir)
+    val, naive = val_and_naive(spark, sf_dir)
     return R.rounded(M.first_residuals(M.pair_forecasts(val, naive), 500))
 
 

@@ -19,8 +19,8 @@ def node_name(level: str, keys: list[str]) -> Column:
     return F.concat_ws(NODE_SEPARATOR, F.lit(level), *[F.col(k) for k in keys])
 
 
-def roll_up(df: DataFrame, value: str = "forecast", levels: list[str] | None = None) -> DataFrame:
-    """Sums of a bottom table at every level, long: level, keys, date, value.
+def roll_up(df: DataFrame, value: str | list[str] = "forecast", levels: list[str] | None = None) -> DataFrame:
+    """Sums of a bottom table at every level, long: level, keys, date and the value, or several values.
 
     The rows are grouped once by item and once by department and store; every
     higher level is summed from the latter, which has no items left. Bottom
@@ -30,29 +30,31 @@ def roll_up(df: DataFrame, value: str = "forecast", levels: list[str] | None = N
     for name in levels:
         if name not in LEVELS:
             raise ValueError(f"unknown level {name!r}; known: {list(LEVELS)}")
-    shape = ["level", *ID_COLUMNS, "date", value]
+    values = [value] if isinstance(value, str) else value
+    sums = [F.sum(v).alias(v) for v in values]
+    shape = ["level", *ID_COLUMNS, "date", *values]
 
     def shaped(part: DataFrame, level: Column, kept: list[str]) -> DataFrame:
         typed = lambda c: F.col(c) if c in kept else F.lit(None).cast(df.schema[c].dataType).alias(c)
-        return part.select(level.alias("level"), *[typed(c) for c in ID_COLUMNS], "date", value)
+        return part.select(level.alias("level"), *[typed(c) for c in ID_COLUMNS], "date", *values)
 
     parts = []
     if "item_store" in levels:
         parts.append(shaped(df, F.lit("item_store"), ["id"]))
     if "item" in levels:
-        items = df.groupBy("item_id", "date").agg(F.sum(value).alias(value))
+        items = df.groupBy("item_id", "date").agg(*sums)
         parts.append(shaped(items, F.lit("item"), ["item_id"]))
     upper = [n for n in levels if n not in ("item_store", "item")]
     if upper:
         held = ["dept_id", "cat_id", "store_id", "state_id"]
-        base = df.groupBy(*held, "date").agg(F.sum(value).alias(value))
+        base = df.groupBy(*held, "date").agg(*sums)
         sets = [[*LEVELS[n], "date"] for n in upper]
-        sums = base.groupingSets(sets, *held, "date").agg(F.grouping_id().alias("_gid"), F.sum(value).alias(value))
+        grouped = base.groupingSets(sets, *held, "date").agg(F.grouping_id().alias("_gid"), *sums)
         level = F.lit(None).cast("string")
         for n in upper:
             gid = sum(2 ** (len(held) - i) for i, c in enumerate(held) if c not in LEVELS[n])
             level = F.when(F.col("_gid") == gid, n).otherwise(level)
-        parts.append(shaped(sums, level, held))
+        parts.append(shaped(grouped, level, held))
     return reduce(DataFrame.unionByName, parts).select(*shape)
 
 

@@ -50,12 +50,8 @@ def evaluate_levels(actuals: DataFrame, forecasts: DataFrame, level_cols: list[s
 
 
 def evaluate_hierarchy(pairs: DataFrame, levels: list[str] | None = None) -> DataFrame:
-    """Error report of each hierarchy level, on sums of sales and forecasts."""
-    node = F.concat_ws("|", *ID_COLUMNS).alias("node")
-    keys = ["level", node, "date"]
-    sales = roll_up(pairs, "sales", levels).select(*keys, "sales")
-    forecast = roll_up(pairs, "forecast", levels).select(*keys, "forecast")
-    both = sales.join(forecast, ["level", "node", "date"])
+    """Error report of each hierarchy level, on sums of sales and forecasts, which one roll-up carries."""
+    both = roll_up(pairs, ["sales", "forecast"], levels)
     return both.groupBy("level").agg(*report_columns(F.col("sales"), F.col("forecast")))
 
 
