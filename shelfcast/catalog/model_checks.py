@@ -13,7 +13,6 @@ from shelfcast.catalog.profiles import SPLIT_SQL
 from shelfcast.catalog.windows import _FAMILY_SQL
 from shelfcast.fixed_values import FEATURES, HORIZON, TWEEDIE_POWER
 from shelfcast.functions import scalars as S
-from shelfcast.operators import boosting as G
 from shelfcast.operators import hierarchy as H
 from shelfcast.operators import panel as P
 from shelfcast.operators import reconcile as REC

@@ -229,7 +229,7 @@ def _sized(done: dict, name: str, digits: int = 6) -> DataFrame:
 def m14_from_wide(spark, sf_dir):
     """The whole preparation: wide sales, melt, day labels, prices, flags, codes, narrow types, split."""
     first, last = R.bounds(spark, sf_dir).first()
-    wide = reshape.widen_sales(R.panel(spark, sf_dir), (last - first).days + 1)
+    wide = cut_lineage(reshape.widen_sales(R.panel(spark, sf_dir), (last - first).days + 1))
     done = preprocess(wide, R.calendar(spark, sf_dir), R.prices(spark, sf_dir), states=R.STATE_FLAGS)
     return _sized(done, "train", 5).unionByName(_sized(done, "val", 5))
 

@@ -141,7 +141,8 @@ def moments(rows: DataFrame, group_col: str, width: int) -> DataFrame:
 def solve_moments(products: np.ndarray, largest: float, widths: np.ndarray) -> tuple[np.ndarray, float, float]:
     """Coefficients under normal priors, residual deviation and the noise level that the priors were weighed by.
 
-    The noise level is found by repeated fits; the first input is constant, so sums stand beside it.
+    The noise level, as a share of the largest y, is found by repeated fits; the first input is constant, so sums
+    stand beside it.
     """
     scale = max(largest, 1e-12)
     gram, target, squares, n = products[:-1, :-1], products[:-1, -1] / scale, products[-1, -1] / scale**2, products[0, 0]
@@ -152,7 +153,7 @@ def solve_moments(products: np.ndarray, largest: float, widths: np.ndarray) -> t
         rest = squares - 2 * beta @ target + beta @ gram @ beta
         mean = (target[0] - gram[0] @ beta) / n
         noise = float(np.sqrt(max(rest / n - mean**2, 0.0)))
-    return beta * scale, noise * scale, used * scale
+    return beta * scale, noise * scale, used
 
 
 @dataclass

@@ -1,4 +1,3 @@
-from datetime import timedelta
 
 import numpy as np
 import pytest
