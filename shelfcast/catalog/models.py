@@ -27,9 +27,9 @@ from shelfcast.plans.forecast_run import preprocess, preprocess_panel
 from shelfcast.session import cut_lineage, shared_folder
 from shelfcast.sources import calendar as C
 
-ROUNDS = 50
+ROUNDS = 30
 DEPTH = 5
-PATIENCE = 10
+PATIENCE = 5
 _fitted: dict[tuple, tuple] = {}
 
 
@@ -40,7 +40,7 @@ def _trained(spark, sf_dir):
         done = preprocess_panel(R.dated_panel(spark, sf_dir), R.prices(spark, sf_dir), states=R.STATE_FLAGS)
         full = done["full"]
         train, val = X.split_features(full, P.validation_start(full), context_lag=28)
-        model = G.fit_tweedie(train, val, early_stopping_rounds=PATIENCE, rounds=ROUNDS, max_depth=DEPTH, learning_rate=0.1)
+        model = G.fit_tweedie(train, val, early_stopping_rounds=PATIENCE, rounds=ROUNDS, max_depth=DEPTH, learning_rate=0.15)
         _fitted[key] = (model, train, val, full, done["encoders"])
     return _fitted[key]
 
