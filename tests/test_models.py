@@ -3,6 +3,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast.catalog import retail as R
 from shelfcast.operators import boosting as G
 from shelfcast.operators import metrics as M
 from shelfcast.operators import panel as P
@@ -98,6 +99,41 @@ def test_a_resumed_fit_equals_an_unbroken_one(spark, boosted, tmp_path, monkeypa
         assert (a.feature, a.bin, a.left) == (b.feature, b.bin, b.left) and a.value == pytest.approx(b.value)
 
 
+def test_a_pass_reads_blocks_and_joins_few_parts(spark, boosted):
+    df, model = boosted
+    edges = G.bin_edges(df, model, 256)
+    rows = G.binned(df, model, edges)
+    assert rows.count() == df.rdd.getNumPartitions() < df.count()
+    found = list(G.unpacked(iter(rows.toArrow().to_batches()), model.trees[:2]))
+    assert sum(len(r) for r, *_ in found) == len({i for r, *_ in found for i in r}) == df.count()
+    for _, _, score, cells in found:
+        # The sweep over the nodes ends where the walk down from the root does.
+        whole = np.array([[edges[f][b] if b < len(edges[f]) else np.inf for b in row] for f, row in enumerate(cells)])
+        want = model.start + sum(t.scores(whole, False) for t in model.trees[:2])
+        np.testing.assert_allclose(score, want, rtol=1e-12)
+    tasks = []
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    best, G.best_splits = G.best_splits, lambda parts, params, n: tasks.append(n) or best(parts, params, n)
+    try:
+        G.grow_tree(rows, [], edges, [0, 1, 2], model.params, 1)
+    finally:
+        G.best_splits = best
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert tasks == [1] * len(tasks) and tasks
+
+
+def test_training_reads_the_line_items_once_for_sales_and_prices(spark, tables):
+    sold = R.sold_days(spark, tables)
+    for df in (R.dated_panel_of(spark, tables, sold), R.prices_of(sold)):
+        assert not any("lineitem" in f for f in df.inputFiles())
+    keys = ["store_id", "item_id", "wm_yr_wk"]
+    whole = R.prices(spark, tables)
+    both = whole.join(R.prices_of(sold).withColumnRenamed("sell_price", "again"), keys)
+    assert both.filter(F.abs(F.col("sell_price") - F.col("again")) < 1e-9).count() == whole.count() > 0
+    order = ["id", "date"]
+    assert R.dated_panel_of(spark, tables, sold).orderBy(*order).collect() == R.dated_panel(spark, tables).orderBy(*order).collect()
+
+
 def test_scoring_plans_do_not_grow_with_the_trees(spark, boosted):
     df, model = boosted
     many = G.TweedieModel(model.params, model.feature_cols, model.start, model.trees * 50)
