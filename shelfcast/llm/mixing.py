@@ -165,6 +165,12 @@ def assign(
     )
 
 
+def in_training_order(taken: DataFrame) -> DataFrame:
+    """The rows of ``assign`` by the ``first_position`` of their copies (a range sort); what is not taken comes last."""
+    first = F.try_element_at("copies", F.lit(1)).getField("position")
+    return taken.withColumn("first_position", first).orderBy(F.asc_nulls_last("first_position"), "doc_id")
+
+
 def mixed_documents(docs: DataFrame, weight: Callable[[int], float] = cyclic_weight, schedule: Callable[[int], Knots] = cyclic_schedule, cap: float = 3.0) -> DataFrame:
     """The mix itself in training order: a row for each copy, the last one cut to its words."""
     taken = assign(docs, ["text", "lang", "n_chars"], weight, schedule, cap)

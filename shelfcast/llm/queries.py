@@ -66,9 +66,8 @@ def op9_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.assign(table(spark, sf_dir, "documents"))
-    first = F.try_element_at("copies", F.lit(1)).getField("position")
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position"))
+    mixed = mixing.in_training_order(mixing.assign(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
 def op11_rank_merged_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

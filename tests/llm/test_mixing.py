@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from shelfcast.llm import mixing as M
+from shelfcast.llm import queries
 
 
 def plain_targets(sizes, cap=3.0):
@@ -101,6 +102,14 @@ def test_mixed_documents(documents):
     assert single == sorted(single)
 
 
+def test_the_query_stands_in_training_order(spark, tmp_path, awkward, documents):
+    awkward.unionByName(documents, allowMissingColumns=True).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op10_curriculum_mix(spark, str(tmp_path)).collect()
+    order = [(r["first_position"] is None, r["first_position"] or 0.0) for r in got]
+    assert order == sorted(order) and order[0] < order[-1] and len(got) == awkward.count() + documents.count()
+    assert all((r["taken"] == 0) == (r["first_position"] is None) for r in got)
+
+
 def test_bad_schedules():
     for knots in ([(0.0, 1.0)], [(0.0, 0.0), (1.0, 0.0)], [(0.0, 1.0), (0.0, 2.0)], [(0.0, -1.0), (1.0, 3.0)]):
         with pytest.raises(ValueError):
