@@ -184,9 +184,9 @@ def disclosures(docs: DataFrame, base: DataFrame, prior: float = PRIOR, at_least
     most = (F.col("n_value") + prior) * F.pow(n / F.col("n_value"), F.lit(1.0 - at_least)) - prior
     n_values = cut_lineage(sizes.select("value", "n_value", most.alias("most")))
     n_terms = docs.select(F.explode(terms_in("text")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    rare = n_terms.filter(F.col("n_term") <= n_values.agg(F.max("most")).scalar())
-    # A term beside a span can be cut off by it, and so be missing in the whole text's terms: it counts its pairs then.
-    terms = held.select("row", F.explode(terms_in("rest")).alias("term")).join(rare, "term")
+    # A term beside a span can be cut off by it, and so be missing in the whole texts' terms: it counts its pairs then.
+    terms = held.select("row", F.explode(terms_in("rest")).alias("term")).join(n_terms, "term", "left")
+    terms = terms.withColumn("n_term", F.coalesce("n_term", F.lit(0))).filter(F.col("n_term") <= n_values.agg(F.max("most")).scalar())
     pairs = terms.join(values.join(n_values, "value"), "row").filter(F.col("n_term") <= F.col("most"))
     pairs = cut_lineage(pairs.select("row", "value", "term", "n_value", "n_term"))
     counted = pairs.groupBy("value", "term").agg(F.first("n_value").alias("n_value"), F.first("n_term").alias("n_term"), F.count(F.lit(1)).alias("n_pair"))

@@ -156,6 +156,15 @@ def test_a_list_of_addresses_is_one_value(spark):
     check_terms(docs)
 
 
+def test_a_term_cut_off_by_a_span_is_judged(spark):
+    """No text as a whole holds the name as a term: its last letters belong to the address."""
+    rows = [(0, "ask Żółćanna@corp.example"), (1, "ask Żółćanna@corp.example")] + [(10 + i, f"ask about item {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert "żółć" in {r["term"] for r in P.disclosures(docs, P.base_table(docs)).collect()}
+    assert check_terms(docs)[0, "żółć"] == 1
+    assert P.sanitise(docs).filter("doc_id = 0").first()["text"] == "ask [NAME][EMAIL]"
+
+
 def test_terms_of_the_given_documents(documents):
     assert sum(check_terms(documents).values()) > 0
 
