@@ -79,6 +79,24 @@ def test_a_full_store_is_emptied(monkeypatch, documents):
         assert codec.encode_batch([r["text"]])[0].tolist() == plain(r["text"])[0] and codec.held <= 20_000
 
 
+def test_a_full_store_serves_until_the_next_is_full(monkeypatch):
+    codec = B.Codec(PATH)
+    first = [f"some passage number {k} " * 20 for k in range(30)]
+    want = [x.tolist() for x in codec.encode_batch(first)]
+    # The next batch alone does not fit beside the first one.
+    monkeypatch.setattr(B, "STORE_BYTES", codec.held)
+    codec.encode_batch([f"another text {k} " * 20 for k in range(20)])
+    sent = []
+
+    class Counting:
+        def __getattr__(self, name):
+            encode = getattr(PLAIN, name)
+            return lambda given, **options: sent.extend(given) or encode(given, **options)
+
+    codec.tokenizer = Counting()
+    assert [x.tolist() for x in codec.encode_batch(first)] == want and not sent
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         B.Codec(public_tokenizers.path("word_bpe_49k.json"))
