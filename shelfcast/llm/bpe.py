@@ -2,11 +2,15 @@
 
 A rolling hash over characters cuts texts into chunks, so documents that share a passage
 share the chunks inside it. A chunk is encoded once in a task and reused from a bounded
-store. Joins are then repaired: around each cut the text is encoded again, from the last
-position before the cut to the first one behind it at which the pre-tokenizer surely
-starts anew (a blank or line feed behind a visible character: no pattern of the
-pre-tokenizer reaches across it). Ids on both sides of such a position do not depend on
-what lies beyond it, so the repaired ids agree exactly with those of the whole text.
+store. Joins are kept apart: a part around each cut reaches from the last position before
+the cut to the first one behind it at which the pre-tokenizer surely starts anew (a blank
+or line feed behind a visible character: no pattern of the pre-tokenizer reaches across
+it). Ids on both sides of such a position do not depend on what lies beyond it, so the
+ids of chunks and joins add up exactly to those of the whole text.
+
+A part that is new is put together from its words, the pieces between all its sure
+positions, which have a bounded store of their own. The library encodes the words that no
+store holds, many of them in one text.
 
 Decoding joins the bytes of the tokens and reads them as UTF-8.
 
@@ -20,6 +24,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,7 +37,24 @@ from shelfcast.llm.common import slices
 ROLL = 8
 ROWS = 128
 STORE_BYTES = 24 << 20
-FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in range(ROLL)]
+WORD_BYTES = 64 << 20
+# Longer words, such as unspaced texts, are not kept.
+LONGEST_WORD = 256
+# Characters of new parts that are split into words at once.
+SPAN = 1 << 18
+FACTORS = [np.uint64(pow(0x9E3779B97F4A7C15, i, 1 << 64)) for i in (1, 2, 4)]
+
+# Characters that are, or were in some version of Unicode, white space or invisible; all others are visible.
+UNSEEN = [
+    (0, 0x20), (0x7F, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000, 0x200F), (0x2028, 0x202F), (0x205F, 0x206F),
+    (0x3000, 0x3000), (0xFEFF, 0xFEFF),
+]
+VISIBLE = np.ones(0x110000, dtype=bool)
+for a, b in UNSEEN:
+    VISIBLE[a : b + 1] = False
+NOT = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in UNSEEN)
+# A word ends with a visible character before a blank or line feed, or with its part.
+WORD = re.compile(rf"[{NOT}]*[^{NOT}]+(?:(?![ \n])[{NOT}]+[^{NOT}]*)*+|[{NOT}]+")
 
 
 def characters_of_bytes() -> dict[str, int]:
@@ -51,6 +73,9 @@ class Codec:
     store: dict[str, bytes] = field(default_factory=dict)
     older: dict[str, bytes] = field(default_factory=dict)
     held: int = 0
+    words: dict[str, bytes] = field(default_factory=dict)
+    older_words: dict[str, bytes] = field(default_factory=dict)
+    words_held: int = 0
 
     def __post_init__(self) -> None:
         from tokenizers import Tokenizer
@@ -77,15 +102,18 @@ class Codec:
         self.bytes_of: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_of[i] = token.encode() if i in self.special else bytes(back[c] for c in token)
+        self.lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
 
     def cuts(self, chars: np.ndarray) -> np.ndarray:
         """Content-defined cuts: where a hash of the last characters has its high bits 0."""
         if chars.size < 2 * ROLL:
             return np.zeros(0, dtype=np.int64)
-        wide, n = chars.astype(np.uint64), chars.size - ROLL + 1
-        rolling = np.zeros(n, dtype=np.uint64)
-        for i in range(ROLL):
-            rolling += wide[i : i + n] * FACTORS[ROLL - 1 - i]
+        # The hash of 2, 4 and 8 characters, each from two of the one before.
+        rolling = chars.astype(np.uint64)
+        for half, factor in zip((1, 2, 4), FACTORS, strict=True):
+            rolling = rolling[:-half] * factor + rolling[half:]
         rolling ^= rolling >> np.uint64(29)
         rolling *= np.uint64(0xBF58476D1CE4E5B9)
         return np.flatnonzero(rolling >> np.uint64(64 - self.chunk_bits) == 0) + ROLL
@@ -93,8 +121,8 @@ class Codec:
     def parts(self, text: str) -> list[str]:
         """The text as insides of chunks and repaired joins, in turn; they add up to the text."""
         chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        visible = ((chars > 0x20) & (chars < 0x7F)) | ((chars >= 0xC0) & (chars < 0x250))
-        sure = np.flatnonzero(visible[:-1] & ((chars[1:] == 0x20) | (chars[1:] == 0x0A))) + 1
+        blank = np.flatnonzero((chars[1:] == 0x20) | (chars[1:] == 0x0A))
+        sure = blank[VISIBLE[chars[blank]]] + 1
         cuts = self.cuts(chars)
         if not sure.size or not cuts.size:
             return [text]
@@ -109,9 +137,7 @@ class Codec:
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.parts(t) if t else [] for t in texts]
         new = list(dict.fromkeys(p for own in parts for p in own if p not in self.store and p not in self.older))
-        # The fast call leaves out the offsets, which nothing here reads.
-        encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(new, encodings, strict=True)}
+        fresh = self.encode_parts(new)
         # Every part has a byte, and so an id.
         find = lambda p: fresh.get(p) or self.store.get(p) or self.older[p]
         out = [np.frombuffer(b"".join(map(find, own)), dtype="<u4") for own in parts]
@@ -124,8 +150,55 @@ class Codec:
             self.held += size
         return out
 
+    def encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of each part, from those of its words."""
+        out: dict[str, bytes] = {}
+        at = 0
+        while at < len(parts):
+            split, size = {}, 0
+            while at < len(parts) and size < SPAN:
+                split[parts[at]] = WORD.findall(parts[at])
+                size += len(parts[at])
+                at += 1
+            used = set().union(*split.values())
+            absent = used.difference(self.words)
+            # Words in use move on to the newer store.
+            found = {w: self.older_words[w] for w in absent if w in self.older_words}
+            found |= self.encode_words(list(absent.difference(found)))
+            ids_of = {w: self.words[w] for w in used.difference(absent)} | found
+            out |= {p: b"".join(map(ids_of.__getitem__, own)) for p, own in split.items()}
+            kept = {w: v for w, v in found.items() if len(w) <= LONGEST_WORD}
+            self.words |= kept
+            self.words_held += sum(2 * len(w) + len(v) + 200 for w, v in kept.items())
+            if self.words_held > WORD_BYTES:
+                self.older_words, self.words, self.words_held = self.words, {}, 0
+        return out
+
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of each word; those between sure positions are encoded in one text, then told apart by their bytes."""
+        inner = [w for w in words if w[0] in " \n" and VISIBLE[ord(w[-1])]]
+        out: dict[str, bytes] = {}
+        if inner:
+            ids = self.encode_each(["".join(inner)])[0]
+            ends = np.cumsum(self.lengths[ids])
+            wanted = np.cumsum([len(w.encode()) for w in inner])
+            # A vocabulary without some byte leaves it out; such words are encoded one by one.
+            if ends.size and ends[-1] == wanted[-1]:
+                data, edges = ids.tobytes(), (4 * np.searchsorted(ends, wanted) + 4).tolist()
+                out = {w: data[a:b] for w, a, b in zip(inner, [0, *edges], edges, strict=False)}
+        rest = [w for w in words if w not in out]
+        return out | {w: x.tobytes() for w, x in zip(rest, self.encode_each(rest), strict=True)}
+
+    def encode_each(self, texts: list[str]) -> list[np.ndarray]:
+        # The fast call leaves out the offsets, which nothing here reads.
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        # The place of each byte of the text among the bytes of all tokens.
+        places = np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1] if ends.size else 0)
+        return self.all_bytes[places].tobytes().decode("utf-8", "replace")
 
 
 @functools.cache
